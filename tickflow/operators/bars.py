@@ -23,7 +23,9 @@ def _order_key(order: Sequence[str]) -> Column:
 
 
 def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time", "tick_number"),
-                   zero_volume: float | None = None) -> list[Column]:
+                   zero_volume: float | None = None, full: bool = True) -> list[Column]:
+    """Bar columns. ``full=False`` keeps OHLCV, VWAP and tick_count only
+    (for sources that carry no indicators)."""
     key = _order_key(order)
     if source == "tick_ohlc":
         o, h, l = F.min_by("open", key), F.max("high"), F.min("low")  # noqa: E741
@@ -35,11 +37,15 @@ def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time",
     vwap = F.try_divide(F.sum(F.col("price") * F.col("volume")), vol)
     if zero_volume is not None:
         vwap = F.when(vol == 0, F.lit(float(zero_volume))).otherwise(vwap)
-    return [
+    core = [
         o.alias("open"), h.alias("high"), l.alias("low"),
         F.max_by("price", key).alias("close"),
         vol.alias("volume"),
         vwap.alias("vwap"),
+    ]
+    if not full:
+        return core + [F.count(F.lit(1)).alias("tick_count")]
+    return core + [
         F.avg("realized_vol").alias("avg_realized_vol"),
         F.avg("spread").alias("avg_spread"),
         F.count(F.lit(1)).alias("tick_count"),
@@ -51,7 +57,8 @@ def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time",
 
 def bars(df: DataFrame, size: str = "1 minute", slide: str | None = "30 seconds",
          source: str = "price", zero_volume: float | None = None,
-         order: Sequence[str] = ("event_time", "tick_number"), time_col: str = "event_time") -> DataFrame:
+         order: Sequence[str] = ("event_time", "tick_number"), time_col: str = "event_time",
+         full: bool = True, extra: Sequence[Column] = ()) -> DataFrame:
     """OHLCV + VWAP bars. ``slide=None`` gives tumbling bars.
 
     Ticks without a price are left out (a NULL price with a volume would
@@ -60,10 +67,10 @@ def bars(df: DataFrame, size: str = "1 minute", slide: str | None = "30 seconds"
     w = F.window(time_col, size, slide) if slide else F.window(time_col, size)
     agg = (df.filter(F.col("price").isNotNull())
              .groupBy(w.alias("window"), "symbol", "asset_type")
-             .agg(*bar_aggregates(source, order, zero_volume)))
+             .agg(*bar_aggregates(source, order, zero_volume, full), *extra))
+    rest = [c for c in agg.columns if c != "window"]
     return agg.select(F.col("window.start").alias("window_start"),
-                      F.col("window.end").alias("window_end"),
-                      *[c for c in BAR_FIELDS if c not in ("window_start", "window_end")])
+                      F.col("window.end").alias("window_end"), *rest)
 
 
 def round_bars(df: DataFrame, rounding: dict[str, int] = BAR_ROUNDING) -> DataFrame:

@@ -118,13 +118,14 @@ def bar_starts(size: str, slide: str | None, ts: str = "event_time") -> str:
 
 
 def bars_sql(src: str, size: str, slide: str | None, source: str = "price",
-             zero_volume: float | None = None, rounded: bool = True) -> str:
+             zero_volume: float | None = None, rounded: bool = True, extra: str = "") -> str:
     """Bars over CTE ``src`` (needs the alerted tick columns)."""
     if source == "price":
         o, h, l = f"arg_min(price, row({ORDER}))", "max(price)", "min(price)"  # noqa: E741
     else:
         o, h, l = f"arg_min(open, row({ORDER}))", "max(high)", "min(low)"  # noqa: E741
     vwap = "sum(price * volume) / NULLIF(sum(volume), 0)"
+    extra = f", {extra}" if extra else ""
     if zero_volume is not None:
         vwap = f"CASE WHEN sum(volume) = 0 THEN {float(zero_volume)!r}::DOUBLE ELSE {vwap} END"
     r = (lambda x, n: R(x, n)) if rounded else (lambda x, n: x)
@@ -137,7 +138,7 @@ def bars_sql(src: str, size: str, slide: str | None, source: str = "price",
          {r('avg(spread)', 6)} AS avg_spread,
          count(*) AS tick_count, count(price_alert) AS alert_count,
          {r('avg(returns_pct)', 4)} AS avg_return_pct,
-         {r('stddev_samp(returns_pct)', 4)} AS stddev_return_pct
+         {r('stddev_samp(returns_pct)', 4)} AS stddev_return_pct{extra}
   FROM (SELECT *, {bar_starts(size, slide)} AS ws FROM {src} WHERE price IS NOT NULL AND event_time IS NOT NULL)
   GROUP BY ws, symbol, asset_type"""
 
@@ -146,7 +147,11 @@ BAR_SIZE, BAR_SLIDE = "1 hour", "30 minutes"
 BARS = f"""{ALERTED},
 bars AS ({bars_sql('alerted', BAR_SIZE, BAR_SLIDE)})"""
 
-STAGING = f"""{BARS},
+STORED = f"""{ALERTED},
+rbars AS ({bars_sql('alerted', BAR_SIZE, BAR_SLIDE, rounded=False)}),
+stored AS (SELECT *, window_end AS created_at FROM rbars)"""
+
+STAGING = f"""{STORED},
 stg AS (
   SELECT window_start, window_end, symbol, asset_type,
          {R('open', 4)} AS open, {R('high', 4)} AS high, {R('low', 4)} AS low, {R('close', 4)} AS close,
@@ -155,7 +160,7 @@ stg AS (
          {R('avg_return_pct', 4)} AS avg_return_pct, {R('stddev_return_pct', 4)} AS stddev_return_pct,
          {R('CAST(alert_count AS DOUBLE) / NULLIF(tick_count, 0) * 100.0::DOUBLE', 2)} AS alert_rate_pct,
          window_end AS created_at
-  FROM bars WHERE close > 0 AND volume > 0 AND high >= low)"""
+  FROM stored WHERE close > 0 AND volume > 0 AND high >= low)"""
 
 
 def with_cte(ctes: str, body: str) -> str:
@@ -254,3 +259,218 @@ ORACLE["bars_ohlc_valid"] = with_cte(
 SELECT window_start, symbol, open, high, low, close,
        (low <= open AND open <= high AND low <= close AND close <= high AND low <= high) AS ohlc_valid
 FROM bars""")
+
+
+# --- stored bars, staging, marts ---------------------------------------------
+
+AS_OF = "2024-01-30 22:00:00"
+VERSION_SPLIT = "2024-01-16 00:00:00"
+_NONOVERLAP = "epoch_us(window_start) % (epoch_us(window_end) - epoch_us(window_start)) = 0"
+
+ORACLE["staging_bars"] = with_cte(STAGING, "SELECT * FROM stg")
+
+
+def _risk(src_rate: str = "alert_rate_pct") -> str:
+    s = f"sum(CAST(round({src_rate} * 100) AS BIGINT))"
+    n = f"count({src_rate})"
+    return (f"CASE WHEN {s} > 1000 * {n} THEN 'HIGH_RISK' WHEN {s} > 500 * {n} THEN 'MEDIUM_RISK' "
+            f"ELSE 'NORMAL' END")
+
+
+def hourly_sql(where: str = "true") -> str:
+    o, c = "arg_min(open, window_start)", "arg_max(close, window_start)"
+    return with_cte(STAGING, f"""
+SELECT date_trunc('hour', window_start) AS hour_bucket, symbol, asset_type,
+       {o} AS hour_open, max(high) AS hour_high, min(low) AS hour_low, {c} AS hour_close,
+       {R(f'({c} - {o}) / NULLIF({o}, 0) * 100.0::DOUBLE', 2)} AS hour_return_pct,
+       CAST(sum(volume) AS BIGINT) AS hour_volume,
+       {R('avg(vwap)', 4)} AS avg_vwap, {R('avg(realized_vol)', 6)} AS avg_volatility,
+       CAST(sum(alert_count) AS BIGINT) AS total_alerts, CAST(sum(tick_count) AS BIGINT) AS total_ticks,
+       {R('avg(alert_rate_pct)', 2)} AS avg_alert_rate_pct,
+       {_risk()} AS risk_level
+FROM stg WHERE {where}
+GROUP BY 1, 2, 3""")
+
+
+ORACLE["mart_hourly"] = hourly_sql()
+ORACLE["mart_hourly_nonoverlap"] = hourly_sql(_NONOVERLAP)
+
+_W = "(PARTITION BY symbol, date_trunc('hour', window_start) ORDER BY window_start " \
+     "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+ORACLE["mart_hourly_window_form"] = with_cte(f"""{STAGING},
+hourly AS (
+  SELECT date_trunc('hour', window_start) AS hour_bucket, symbol, asset_type,
+         first_value(open) OVER {_W} AS hour_open, max(high) OVER {_W} AS hour_high,
+         min(low) OVER {_W} AS hour_low, last_value(close) OVER {_W} AS hour_close,
+         CAST(sum(volume) OVER {_W} AS BIGINT) AS hour_volume, avg(vwap) OVER {_W} AS avg_vwap,
+         avg(realized_vol) OVER {_W} AS avg_volatility,
+         CAST(sum(alert_count) OVER {_W} AS BIGINT) AS total_alerts,
+         CAST(sum(tick_count) OVER {_W} AS BIGINT) AS total_ticks,
+         avg(alert_rate_pct) OVER {_W} AS avg_alert_rate,
+         sum(CAST(round(alert_rate_pct * 100) AS BIGINT)) OVER {_W} AS _rate_sum,
+         count(alert_rate_pct) OVER {_W} AS _rate_n
+  FROM stg)""", f"""
+SELECT DISTINCT hour_bucket, symbol, asset_type, hour_open, hour_high, hour_low, hour_close,
+       {R('(hour_close - hour_open) / NULLIF(hour_open, 0) * 100.0::DOUBLE', 2)} AS hour_return_pct,
+       hour_volume, {R('avg_vwap', 4)} AS avg_vwap, {R('avg_volatility', 6)} AS avg_volatility,
+       total_alerts, total_ticks, {R('avg_alert_rate', 2)} AS avg_alert_rate_pct,
+       CASE WHEN _rate_sum > 1000 * _rate_n THEN 'HIGH_RISK' WHEN _rate_sum > 500 * _rate_n
+            THEN 'MEDIUM_RISK' ELSE 'NORMAL' END AS risk_level
+FROM hourly""")
+
+ORACLE["mart_daily_anomaly"] = with_cte(STAGING, f"""
+SELECT date_trunc('day', window_start) AS trading_day, symbol, asset_type,
+       count(*) AS total_windows, CAST(sum(tick_count) AS BIGINT) AS total_ticks,
+       CAST(sum(alert_count) AS BIGINT) AS total_anomalies,
+       {R('avg(alert_rate_pct)', 2)} AS avg_anomaly_rate_pct,
+       {R('max(high)', 4)} AS day_high, {R('min(low)', 4)} AS day_low,
+       {R('avg(vwap)', 4)} AS day_avg_vwap, {R('avg(realized_vol)', 6)} AS avg_daily_vol,
+       {R('max(stddev_return_pct)', 4)} AS max_return_stddev
+FROM stg GROUP BY 1, 2, 3
+ORDER BY 1 DESC, total_anomalies DESC""")
+
+ORACLE["bars_latest_version"] = with_cte(
+    f"{ALERTED},\nbars AS ({bars_sql('alerted', BAR_SIZE, BAR_SLIDE, extra='max(event_time) AS _last')})",
+    f"""
+SELECT * EXCLUDE (_last), CASE WHEN _last >= TIMESTAMP '{VERSION_SPLIT}' THEN 1 ELSE 0 END AS batch_id
+FROM bars""")
+
+ORACLE["bars_daily_lineitem"] = f"""
+WITH lt AS (
+  SELECT CAST(l_partkey % 50 AS VARCHAR) AS symbol, l_shipdate AS event_time, l_orderkey, l_linenumber,
+         l_extendedprice / l_quantity AS price, CAST(l_quantity AS BIGINT) AS volume
+  FROM lineitem)
+SELECT time_bucket(INTERVAL '1 day', event_time) AS window_start,
+       time_bucket(INTERVAL '1 day', event_time) + INTERVAL '1 day' AS window_end,
+       symbol, 'part' AS asset_type,
+       arg_min(price, row(event_time, l_orderkey, l_linenumber, price)) AS open,
+       max(price) AS high, min(price) AS low,
+       arg_max(price, row(event_time, l_orderkey, l_linenumber, price)) AS close,
+       CAST(sum(volume) AS BIGINT) AS volume,
+       {R('sum(price * volume) / NULLIF(sum(volume), 0)', 4)} AS vwap,
+       count(*) AS tick_count
+FROM lt WHERE price IS NOT NULL AND event_time IS NOT NULL
+GROUP BY 1, 2, 3"""
+
+
+# --- data quality --------------------------------------------------------------
+
+def _msg(name: str, *vals: str) -> str:
+    parts = CHECK_MESSAGES[name].split("{}")
+    out = []
+    for i, p in enumerate(parts):
+        if p:
+            out.append("'" + p.replace("'", "''") + "'")
+        if i < len(vals):
+            out.append(f"CAST({vals[i]} AS VARCHAR)")
+    return " || ".join(out)
+
+
+def checks_sql(lookback: str, coverage: str, ohlc: str = "tolerant",
+               min_symbols: int = 4, n_symbols: int = 5) -> str:
+    asof = f"TIMESTAMP '{AS_OF}'"
+    recent = f"created_at > {asof} - INTERVAL '{lookback}'"
+    bad_ohlc = ("low > high * 1.01" if ohlc == "tolerant" else
+                "NOT (low <= open AND open <= high AND low <= close AND close <= high AND low <= high)")
+    return f"""{STORED},
+b AS (SELECT stored.*, rng.lo, rng.hi FROM stored LEFT JOIN {ranges_values()} ON stored.symbol = rng.symbol
+      WHERE window_start <= {asof}),
+c AS (
+  SELECT count(*) FILTER (WHERE window_start > {asof} - INTERVAL '{lookback}') AS fresh,
+         count(*) FILTER (WHERE {recent} AND (close < lo OR close > hi)) AS bad_price,
+         count(*) FILTER (WHERE {recent} AND volume <= 0) AS bad_volume,
+         count(*) FILTER (WHERE {recent} AND {bad_ohlc}) AS bad_ohlc,
+         count(DISTINCT CASE WHEN window_start > {asof} - INTERVAL '{coverage}' THEN symbol END) AS symbols
+  FROM b),
+checks AS (
+  SELECT 'data_freshness' AS name, fresh > 0 AS passed, {_msg('data_freshness', 'fresh')} AS detail FROM c
+  UNION ALL SELECT 'price_range_validity', bad_price = 0, {_msg('price_range_validity', 'bad_price')} FROM c
+  UNION ALL SELECT 'positive_volume', bad_volume = 0, {_msg('positive_volume', 'bad_volume')} FROM c
+  UNION ALL SELECT 'ohlc_consistency', bad_ohlc = 0, {_msg('ohlc_consistency', 'bad_ohlc')} FROM c
+  UNION ALL SELECT 'symbol_coverage', symbols >= {min_symbols},
+                   {_msg('symbol_coverage', 'symbols', str(n_symbols))} FROM c)"""
+
+
+ORACLE["dq_checks"] = with_cte(checks_sql("2 hours", "1 hour"), "SELECT * FROM checks")
+ORACLE["dq_checks_wide"] = with_cte(checks_sql("240 hours", "240 hours"), "SELECT * FROM checks")
+ORACLE["dq_checks_strict"] = with_cte(checks_sql("240 hours", "240 hours", "strict"), "SELECT * FROM checks")
+
+ORACLE["dq_not_null"] = with_cte(STORED, " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"count(*) FILTER (WHERE {c} IS NULL) = 0 AS passed FROM stored"
+    for c in ("symbol", "window_start", "close", "volume")))
+
+ORACLE["dq_unknown_symbols"] = f"""
+SELECT event_type AS symbol, count(*) AS n_ticks FROM events
+WHERE event_type NOT IN ({", ".join(repr(s) for s, *_ in __import__('tickflow.schemas', fromlist=['x']).MARKET_ASSETS)})
+   OR event_type IS NULL
+GROUP BY 1"""
+
+ORACLE["dq_report"] = with_cte(checks_sql("240 hours", "240 hours"), f"""
+SELECT date_trunc('hour', TIMESTAMP '{AS_OF}') AS report_hour,
+       count(*) FILTER (WHERE passed) AS checks_passed,
+       count(*) FILTER (WHERE NOT passed) AS checks_failed,
+       '{{"checks":[' || string_agg('{{"name":"' || name || '","passed":' ||
+            CASE WHEN passed THEN 'true' ELSE 'false' END || ',"detail":"' || detail || '"}}', ','
+            ORDER BY name) ||
+       '],"passed":' || CAST(count(*) FILTER (WHERE passed) AS VARCHAR) ||
+       ',"failed":' || CAST(count(*) FILTER (WHERE NOT passed) AS VARCHAR) || '}}' AS details,
+       TIMESTAMP '{AS_OF}' AS created_at
+FROM checks""")
+
+
+# --- market views ------------------------------------------------------------------
+
+_LATEST = f"""{TICKS},
+latest AS (SELECT symbol, arg_max(price, row({ORDER})) AS price FROM ticks GROUP BY symbol)"""
+
+ORACLE["price_board"] = with_cte(_LATEST, f"""
+SELECT l.symbol, reg.reg_asset_type AS asset_type, l.price, reg.initial_price,
+       {R('(l.price / reg.initial_price - 1.0::DOUBLE) * 100.0::DOUBLE', 2)} AS pnl_pct
+FROM latest l JOIN {registry_values()} ON l.symbol = reg.symbol""")
+
+_MOVERS = f"""{_RET_ONLY},
+r2 AS (SELECT *, {R(f'({RET}) * 100.0::DOUBLE', 4)} AS returns_pct FROM r1),
+latest AS (SELECT symbol, arg_max(returns_pct, row({ORDER})) AS returns_pct FROM r2 GROUP BY symbol),
+ranked AS (SELECT symbol, returns_pct,
+                  row_number() OVER (ORDER BY returns_pct DESC NULLS LAST, symbol) AS rank,
+                  count(*) OVER () AS _n FROM latest)"""
+ORACLE["top_movers"] = with_cte(_MOVERS, """
+SELECT 'gainer' AS side, rank, symbol, returns_pct AS return_pct FROM ranked WHERE rank <= 3
+UNION ALL
+SELECT 'loser' AS side, rank, symbol, returns_pct AS return_pct FROM ranked WHERE rank > _n - 3""")
+
+ORACLE["market_summary"] = with_cte(f"""{ENRICHED},
+latest AS (
+  SELECT symbol, arg_max(returns_pct, row({ORDER})) AS returns_pct, arg_max(volume, row({ORDER})) AS volume,
+         arg_max(is_anomaly, row({ORDER})) AS is_anomaly, arg_max(anomaly_type, row({ORDER})) AS anomaly_type
+  FROM enriched GROUP BY symbol)""", """
+SELECT CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS n_symbols,
+       count(*) FILTER (WHERE returns_pct > 0) AS n_advancing,
+       CASE WHEN count(*) FILTER (WHERE returns_pct > 0) > count(*) / 2.0 THEN 'BULLISH' ELSE 'BEARISH' END
+         AS market_mood,
+       COALESCE(string_agg(CASE WHEN is_anomaly THEN symbol || ':' || anomaly_type END, ','
+                           ORDER BY CASE WHEN is_anomaly THEN symbol || ':' || anomaly_type END), '')
+         AS anomalies
+FROM latest""")
+
+ORACLE["assets_by_type"] = with_cte(TICKS, """
+SELECT asset_type, count(DISTINCT symbol) AS n_symbols,
+       string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols
+FROM ticks GROUP BY asset_type""")
+
+ORACLE["symbol_filter_latest_n"] = with_cte(TICKS, """
+SELECT symbol, event_time, tick_number, price, volume FROM ticks WHERE symbol = 'click'
+ORDER BY event_time DESC, tick_number DESC LIMIT 50""")
+
+ORACLE["tick_totals"] = with_cte(ENRICHED, """
+SELECT symbol, count(*) AS sent_ticks, count(*) FILTER (WHERE is_anomaly) AS sent_anomalies
+FROM enriched GROUP BY symbol""")
+
+ORACLE["market_snapshot"] = with_cte(f"""{ENRICHED},
+per AS (
+  SELECT time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS snapshot_end, symbol,
+         arg_max(tick_number, row({ORDER})) AS tick_number, arg_max(price, row({ORDER})) AS price,
+         arg_max(returns_pct, row({ORDER})) AS returns_pct, arg_max(volume, row({ORDER})) AS volume
+  FROM enriched GROUP BY 1, 2)""", """
+SELECT snapshot_end, symbol AS entry_symbol, tick_number, price, returns_pct, volume FROM per""")

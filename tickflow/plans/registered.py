@@ -149,3 +149,149 @@ def q_bars_bollinger(spark, sf_dir):
 def q_bars_ohlc_valid(spark, sf_dir):
     b = B.ohlc_valid(sliding_bars(spark, sf_dir, source="tick_ohlc"))
     return b.select("window_start", "symbol", "open", "high", "low", "close", "ohlc_valid")
+
+
+# --- stored bars, staging, marts --------------------------------------------
+
+from tickflow.operators import market as M  # noqa: E402
+from tickflow.operators import quality as Q  # noqa: E402
+from tickflow.operators.versions import latest_version  # noqa: E402
+from tickflow.plans import marts as MT  # noqa: E402
+from tickflow.plans.staging import stamp, staging  # noqa: E402
+
+AS_OF = "2024-01-30 22:00:00"
+VERSION_SPLIT = "2024-01-16 00:00:00"
+
+
+def stored_bars(spark, sf_dir):
+    """Bars as the bar sink stores them (created_at = window_end)."""
+    return stamp(sliding_bars(spark, sf_dir))
+
+
+def stg(spark, sf_dir):
+    return staging(stored_bars(spark, sf_dir))
+
+
+@register("staging_bars")
+def q_staging_bars(spark, sf_dir):
+    return stg(spark, sf_dir)
+
+
+@register("mart_hourly")
+def q_mart_hourly(spark, sf_dir):
+    return MT.hourly_kpis(stg(spark, sf_dir), overlapping=True)
+
+
+@register("mart_hourly_window_form")
+def q_mart_hourly_window_form(spark, sf_dir):
+    return MT.hourly_kpis_window_form(stg(spark, sf_dir), overlapping=True)
+
+
+@register("mart_hourly_nonoverlap")
+def q_mart_hourly_nonoverlap(spark, sf_dir):
+    return MT.hourly_kpis(stg(spark, sf_dir), overlapping=False)
+
+
+@register("mart_daily_anomaly")
+def q_mart_daily_anomaly(spark, sf_dir):
+    return MT.daily_anomalies(stg(spark, sf_dir), overlapping=True)
+
+
+@register("bars_latest_version")
+def q_bars_latest_version(spark, sf_dir):
+    """Two update-mode batches: batch 0 emits bars of ticks before the
+    split; batch 1 re-emits every bar that a later tick touched. The
+    newest version per key must equal the bars over all ticks."""
+    t = alerted(spark, sf_dir)
+    split = F.lit(VERSION_SPLIT).cast("timestamp_ntz")
+    v0 = B.bars(t.filter(F.col("event_time") < split), BAR_SIZE, BAR_SLIDE).withColumn("batch_id", F.lit(0))
+    v1 = (B.bars(t, BAR_SIZE, BAR_SLIDE, extra=[F.max("event_time").alias("_last")])
+          .filter(F.col("_last") >= split).drop("_last").withColumn("batch_id", F.lit(1)))
+    return B.round_bars(latest_version(v0.unionByName(v1)))
+
+
+@register("bars_daily_lineitem")
+def q_bars_daily_lineitem(spark, sf_dir):
+    li = S.lineitem_ticks(spark, sf_dir)
+    b = B.bars(li, "1 day", None, order=("event_time", "l_orderkey", "l_linenumber", "price"), full=False)
+    return B.round_bars(b, {"vwap": 4})
+
+
+# --- data quality -------------------------------------------------------------
+
+def _checks(spark, sf_dir, lookback, coverage, ohlc="tolerant"):
+    return Q.run_checks(stored_bars(spark, sf_dir), S.price_ranges(spark), AS_OF, lookback, coverage,
+                        min_symbols=4, n_symbols=5, ohlc=ohlc)
+
+
+@register("dq_checks")
+def q_dq_checks(spark, sf_dir):
+    return _checks(spark, sf_dir, "2 hours", "1 hour")
+
+
+@register("dq_checks_wide")
+def q_dq_checks_wide(spark, sf_dir):
+    return _checks(spark, sf_dir, "240 hours", "240 hours")
+
+
+@register("dq_checks_strict")
+def q_dq_checks_strict(spark, sf_dir):
+    return _checks(spark, sf_dir, "240 hours", "240 hours", ohlc="strict")
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return Q.not_null(stored_bars(spark, sf_dir), ["symbol", "window_start", "close", "volume"])
+
+
+@register("dq_unknown_symbols")
+def q_dq_unknown_symbols(spark, sf_dir):
+    unknown = Q.unknown_symbols(ticks(spark, sf_dir), S.registry(spark, "markets"))
+    return unknown.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_ticks"))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    return Q.report(_checks(spark, sf_dir, "240 hours", "240 hours"), AS_OF)
+
+
+# --- market views ---------------------------------------------------------------
+
+@register("price_board")
+def q_price_board(spark, sf_dir):
+    return M.price_board(ticks(spark, sf_dir), S.registry(spark))
+
+
+@register("top_movers")
+def q_top_movers(spark, sf_dir):
+    return M.top_movers(I.with_returns(ticks(spark, sf_dir)))
+
+
+@register("market_summary")
+def q_market_summary(spark, sf_dir):
+    return M.market_summary(enriched(spark, sf_dir))
+
+
+@register("assets_by_type")
+def q_assets_by_type(spark, sf_dir):
+    return M.assets_by_type(ticks(spark, sf_dir))
+
+
+@register("symbol_filter_latest_n")
+def q_symbol_filter_latest_n(spark, sf_dir):
+    return M.latest_ticks(ticks(spark, sf_dir), 50, symbol="click").select(
+        "symbol", "event_time", "tick_number", "price", "volume")
+
+
+@register("tick_totals")
+def q_tick_totals(spark, sf_dir):
+    return M.tick_totals(enriched(spark, sf_dir))
+
+
+@register("market_snapshot")
+def q_market_snapshot(spark, sf_dir):
+    from tickflow.sources.topic import decode_snapshot
+    snap = M.market_snapshot(enriched(spark, sf_dir), every="1 hour")
+    return decode_snapshot(snap).select(
+        F.col("snapshot_ts").cast("timestamp_ntz").alias("snapshot_end"), "entry_symbol",
+        "tick_number", "price", "returns_pct", "volume")
