@@ -474,3 +474,18 @@ per AS (
          arg_max(returns_pct, row({ORDER})) AS returns_pct, arg_max(volume, row({ORDER})) AS volume
   FROM enriched GROUP BY 1, 2)""", """
 SELECT snapshot_end, symbol AS entry_symbol, tick_number, price, returns_pct, volume FROM per""")
+
+
+# --- streaming: same answers as the batch forms ----------------------------------
+
+ORACLE["stream_bars"] = ORACLE["bars_sliding"]
+ORACLE["stream_alerts"] = ORACLE["alert_messages"]
+ORACLE["stream_raw_ticks"] = with_cte(ALERTED, """
+SELECT symbol, tick_number, event_time, price, volume, returns_pct, price_alert, alert_severity
+FROM alerted""")
+ORACLE["stream_indicators"] = with_cte(ENRICHED, """
+SELECT symbol, event_time, tick_number, price, returns_pct, sma5, sma20, realized_vol, signal,
+       false AS late
+FROM enriched""")
+ORACLE["stream_dedup"] = with_cte(TICKS, """
+SELECT symbol, asset_type, event_time, tick_number, price, volume FROM ticks""")

@@ -295,3 +295,86 @@ def q_market_snapshot(spark, sf_dir):
     return decode_snapshot(snap).select(
         F.col("snapshot_ts").cast("timestamp_ntz").alias("snapshot_end"), "entry_symbol",
         "tick_number", "price", "returns_pct", "volume")
+
+
+# --- streaming (run to completion over a replay of the table) ------------------
+
+from tickflow.streaming import runner as SR  # noqa: E402
+from tickflow.streaming import stateful as ST  # noqa: E402
+from tickflow.streaming.runs import run_replay  # noqa: E402
+from tickflow.sinks import sink_bars  # noqa: E402
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@register("stream_bars")
+def q_stream_bars(spark, sf_dir):
+    """Update-mode bar stream, 5 min watermark, newest version per bar."""
+    stored, _ = run_replay(
+        spark, enriched(spark, sf_dir),
+        lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
+        mode="update", sink=lambda out: sink_bars(out), name="stream-bars")
+    return B.round_bars(latest_version(stored.drop("created_at"))).drop("batch_id")
+
+
+@register("stream_alerts")
+def q_stream_alerts(spark, sf_dir):
+    stored, _ = run_replay(spark, enriched(spark, sf_dir),
+                           lambda raw: SR.stream_alerts(SR.parse(raw)), name="stream-alerts")
+    fields = "symbol string, asset_type string, timestamp string, price double, " \
+             "returns_pct double, volume bigint, price_alert string, alert_severity string"
+    return stored.select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
+
+
+@register("stream_raw_ticks")
+def q_stream_raw_ticks(spark, sf_dir):
+    stored, _ = run_replay(spark, enriched(spark, sf_dir),
+                           lambda raw: SR.stream_raw(SR.parse(raw)), name="stream-raw")
+    return _ntz(stored, "event_time").select(
+        "symbol", "tick_number", "event_time", "price", "volume", "returns_pct",
+        "price_alert", "alert_severity")
+
+
+@register("stream_indicators")
+def q_stream_indicators(spark, sf_dir):
+    """Indicators computed on the stream from plain ticks (keyed state)."""
+    stored, _ = run_replay(spark, ticks(spark, sf_dir),
+                           lambda raw: ST.stream_indicators(SR.parse(raw)), name="stream-ind")
+    return _ntz(stored, "event_time").select(
+        "symbol", "event_time", "tick_number", "price", "returns_pct", "sma5", "sma20",
+        "realized_vol", "signal", "late")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Every tick is sent twice; the stream keeps one copy per key."""
+    stored, _ = run_replay(spark, ticks(spark, sf_dir),
+                           lambda raw: ST.dedup(SR.parse(raw)), resend=True, name="stream-dedup")
+    return _ntz(stored, "event_time").select("symbol", "asset_type", "event_time", "tick_number",
+                                             "price", "volume")
+
+
+@register("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """Slices replayed out of order (the second half first): ticks behind
+    the watermark are dropped from the bars; the count of dropped window
+    assignments is reported next to each stored bar batch."""
+    stored, progress = run_replay(
+        spark, enriched(spark, sf_dir),
+        lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
+        mode="update", sink=lambda out: sink_bars(out), order=[2, 3, 0, 1], name="stream-late")
+    dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+                  for p in progress)
+    bars_ = latest_version(stored.drop("created_at"))
+    return B.round_bars(bars_).withColumn("dropped_window_rows", F.lit(dropped).cast("bigint"))
+
+
+@register("stream_hourly_rollup")
+def q_stream_hourly_rollup(spark, sf_dir):
+    stored, _ = run_replay(
+        spark, enriched(spark, sf_dir),
+        lambda raw: ST.hourly_rollup(SR.parse(raw), "1 hour", "30 minutes", None, "5 minutes"),
+        name="stream-rollup")
+    return stored.drop("batch_id")
