@@ -489,3 +489,31 @@ SELECT symbol, event_time, tick_number, price, returns_pct, sma5, sma20, realize
 FROM enriched""")
 ORACLE["stream_dedup"] = with_cte(TICKS, """
 SELECT symbol, asset_type, event_time, tick_number, price, volume FROM ticks""")
+
+
+# --- topic codec, quarantine, store layout, hourly job -------------------------------
+
+ORACLE["tick_decode_json"] = with_cte(ENRICHED, """
+SELECT symbol, asset_type, currency, event_time, event_time AS kafka_ts, tick_number, price, volume,
+       open, high, low, bid, ask, spread, returns_pct, sma5, sma20, realized_vol,
+       is_anomaly, anomaly_type, signal
+FROM enriched""")
+
+ORACLE["tick_bad_records"] = """
+SELECT 'ok' AS reason, count(*) AS n FROM events
+UNION ALL SELECT 'no_symbol', count(*) FROM events
+UNION ALL SELECT 'malformed', count(*) FROM events"""
+
+ORACLE["bars_partitioned_read"] = ORACLE["bars_sliding"]
+
+ORACLE["hourly_job_report"] = with_cte(checks_sql("2 hours", "1 hour"), f"""
+SELECT date_trunc('hour', TIMESTAMP '{AS_OF}') AS report_hour,
+       count(*) FILTER (WHERE passed) AS checks_passed,
+       count(*) FILTER (WHERE NOT passed) AS checks_failed,
+       '{{"checks":[' || string_agg('{{"name":"' || name || '","passed":' ||
+            CASE WHEN passed THEN 'true' ELSE 'false' END || ',"detail":"' || detail || '"}}', ','
+            ORDER BY name) ||
+       '],"passed":' || CAST(count(*) FILTER (WHERE passed) AS VARCHAR) ||
+       ',"failed":' || CAST(count(*) FILTER (WHERE NOT passed) AS VARCHAR) || '}}' AS details,
+       TIMESTAMP '{AS_OF}' AS created_at
+FROM checks""")

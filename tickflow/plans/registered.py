@@ -378,3 +378,67 @@ def q_stream_hourly_rollup(spark, sf_dir):
         lambda raw: ST.hourly_rollup(SR.parse(raw), "1 hour", "30 minutes", None, "5 minutes"),
         name="stream-rollup")
     return stored.drop("batch_id")
+
+
+# --- topic codec, quarantine, store layout, hourly job ------------------------------
+
+import os  # noqa: E402
+
+from tickflow.plans.jobs import JobPaths, hourly_job  # noqa: E402
+from tickflow.session import scratch_path  # noqa: E402
+from tickflow.sinks import write_bars  # noqa: E402
+from tickflow.sources.topic import decode_ticks, encode_ticks, iso_utc, split_bad  # noqa: E402
+
+
+@register("tick_decode_json")
+def q_tick_decode_json(spark, sf_dir):
+    """Encode enriched ticks as topic records and decode them back."""
+    rec = encode_ticks(enriched(spark, sf_dir))
+    d = decode_ticks(rec)
+    return _ntz(d, "event_time", "kafka_ts").select(
+        "symbol", "asset_type", "currency", "event_time", "kafka_ts", "tick_number", "price", "volume",
+        "open", "high", "low", "bid", "ask", "spread", "returns_pct", "sma5", "sma20", "realized_vol",
+        "is_anomaly", "anomaly_type", "signal")
+
+
+@register("tick_bad_records")
+def q_tick_bad_records(spark, sf_dir):
+    """A tick topic that also carries misrouted payloads (the events'
+    props objects: valid JSON, no symbol) and ticks whose volume is a
+    decimal (wrong type for a long). Every row is counted once, either
+    good or under its quarantine reason."""
+    ev = S.read_table(spark, sf_dir, "events")
+    good = encode_ticks(ticks(spark, sf_dir))
+    misrouted = ev.select(F.lit(None).cast("binary").alias("key"),
+                          F.col("props").cast("binary").alias("value"),
+                          F.col("ts").cast("timestamp").alias("timestamp"))
+    wrong_type = ev.select(
+        F.col("event_type").cast("binary").alias("key"),
+        F.to_json(F.struct(F.col("event_type").alias("symbol"),
+                           iso_utc(F.col("ts")).alias("timestamp"),
+                           (F.lit(100.0) + F.col("value") / F.lit(20.0)).alias("price"),
+                           F.col("value").alias("volume"))).cast("binary").alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
+    topic = good.unionByName(misrouted).unionByName(wrong_type)
+    ok, bad = split_bad(decode_ticks(topic, keep_corrupt=True))
+    return (ok.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("bars_partitioned_read")
+def q_bars_partitioned_read(spark, sf_dir):
+    """Bars written by day (partitioned, sorted by symbol and start) and
+    read back through the date-partitioned layout."""
+    path = scratch_path(spark, "bars-by-date")
+    write_bars(B.round_bars(sliding_bars(spark, sf_dir)), path)
+    return spark.read.parquet(path).drop("date")
+
+
+@register("hourly_job_report")
+def q_hourly_job_report(spark, sf_dir):
+    """The hourly job over stored bar versions; returns the report."""
+    root = scratch_path(spark, "hourly-job")
+    paths = JobPaths(os.path.join(root, "bars"), os.path.join(root, "reports"), os.path.join(root, "marts"))
+    stamp(sliding_bars(spark, sf_dir)).withColumn("batch_id", F.lit(0)).write.parquet(paths.bars)
+    return hourly_job(spark, AS_OF, paths, S.price_ranges(spark), "2 hours", "1 hour",
+                      min_symbols=4, n_symbols=5, raise_on_failure=False)
