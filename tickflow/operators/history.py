@@ -93,13 +93,15 @@ def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
     cond = (keyed[key].eqNullSafe(assign["_k"])) & (keyed["_fb"].eqNullSafe(assign["_fb"]))
     joined = keyed.join(assign, cond).drop(assign["_fb"]).drop("_k")
     w = Window.partitionBy(key, "_part").orderBy(*order)
-    out = joined
-    for stage in stages:
-        out = out.withColumns({name: fn(w) for name, fn in stage.items()})
+    stages = [dict(s) for s in stages] or [{}]
     if seq_col:
-        running = F.sum(F.col("_own").cast("bigint")).over(
+        # same partitioning and order as the first stage: one Window operator
+        stages[0][seq_col] = lambda w: F.col("_start") + F.sum(F.col("_own").cast("bigint")).over(
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = out.withColumn(seq_col, F.col("_start") + running)
+    out = joined
+    for stage in stages:
+        if stage:
+            out = out.withColumns({name: fn(w) for name, fn in stage.items()})
     return out.filter("_own").drop("_fb", "_part", "_start", "_own")
 
 
