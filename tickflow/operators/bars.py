@@ -4,7 +4,12 @@ One ``groupBy(window, symbol, asset_type)``: partial aggregation on the
 map side, one shuffle by (window, symbol, asset_type), final aggregate.
 The window is part of the key, so a hot symbol spreads over many tasks.
 open/close are ``min_by``/``max_by`` on a total order key
-(event_time, tick_number), never arrival order.
+(event_time, tick_number), never arrival order. When the ticks carry
+``tick_seq`` (the per-symbol running number from ``enrich``, monotone
+in that order) it is used as the key: a single BIGINT keeps the
+aggregation buffer fixed-width, so Spark plans a hash aggregate with
+map-side combine instead of sorting every partition (a struct key forces
+a sort-based aggregate).
 """
 
 from __future__ import annotations
@@ -19,9 +24,15 @@ from tickflow.schemas import BAR_FIELDS, BAR_ROUNDING
 
 
 def _order_key(order: Sequence[str]) -> Column:
+    if len(order) == 1:
+        return F.col(order[0])
     return F.struct(*[F.col(c) for c in order])
 
 
+def default_order(df: DataFrame) -> tuple[str, ...]:
+    return ("tick_seq",) if "tick_seq" in df.columns else ("event_time", "tick_number")
+
+
 def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time", "tick_number"),
                    zero_volume: float | None = None, full: bool = True) -> list[Column]:
     """Bar columns. ``full=False`` keeps OHLCV, VWAP and tick_count only
@@ -57,13 +68,14 @@ def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time",
 
 def bars(df: DataFrame, size: str = "1 minute", slide: str | None = "30 seconds",
          source: str = "price", zero_volume: float | None = None,
-         order: Sequence[str] = ("event_time", "tick_number"), time_col: str = "event_time",
+         order: Sequence[str] | None = None, time_col: str = "event_time",
          full: bool = True, extra: Sequence[Column] = ()) -> DataFrame:
     """OHLCV + VWAP bars. ``slide=None`` gives tumbling bars.
 
     Ticks without a price are left out (a NULL price with a volume would
     bias VWAP); ticks without event time fall out of every window.
     """
+    order = order or default_order(df)
     w = F.window(time_col, size, slide) if slide else F.window(time_col, size)
     agg = (df.filter(F.col("price").isNotNull())
              .groupBy(w.alias("window"), "symbol", "asset_type")
