@@ -19,7 +19,7 @@ from tickflow.operators.versions import latest_version
 from tickflow.plans.marts import daily_anomalies, hourly_kpis
 from tickflow.plans.staging import staging
 from tickflow.schemas import BAR_NOT_NULL
-from tickflow.sinks import materialize, write_report
+from tickflow.sinks import materialize, read_reports, write_report
 from tickflow.sources.topic import read_bars
 
 
@@ -40,7 +40,7 @@ def hourly_job(spark: SparkSession, as_of: str, paths: JobPaths, ranges: DataFra
         stored = latest_version(stored).drop("batch_id")
     checks = run_checks(stored, ranges, as_of, lookback, coverage_lookback, min_symbols, n_symbols, ohlc)
     rep = report(checks, as_of)
-    write_report(rep, paths.reports)
+    write_report(rep, paths.reports, as_of[:13].replace("-", "").replace(" ", ""))
 
     stg = materialize(spark, staging(stored), "stg_ohlcv", "view")
     materialize(spark, hourly_kpis(stg, overlapping), "mart_market_kpis", "table",
@@ -53,5 +53,6 @@ def hourly_job(spark: SparkSession, as_of: str, paths: JobPaths, ranges: DataFra
     if raise_on_failure:
         if failed_cols:
             raise QualityGateError(f"NOT NULL failed on {failed_cols}")
-        gate(spark.read.parquet(paths.reports).filter(F.col("created_at") == F.lit(as_of).cast("timestamp_ntz")))
-    return spark.read.parquet(paths.reports)
+        gate(read_reports(spark, paths.reports)
+             .filter(F.col("created_at") == F.lit(as_of).cast("timestamp_ntz")))
+    return read_reports(spark, paths.reports)

@@ -28,14 +28,33 @@ DEFAULTS = {
 }
 
 
+# Starting point for a large cluster (~1000 executors, ~100 TB of ticks):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each,
+# 512 MB scan splits, skew splitting for hot symbols, a broadcast bound
+# well above the small derived tables (bucket maps, registries).
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
 def build_session(app: str = "tickflow", master: str | None = None,
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Session with UTC time, AQE and no UI. ANSI mode is left on."""
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Session with UTC time, AQE and no UI. ANSI mode is left on.
+    ``cluster=True`` adds the ``CLUSTER`` sizing."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULTS)
+    if cluster:
+        conf.update(CLUSTER)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -80,10 +80,15 @@ def sink_many(*sinks: BatchFn, persist: bool = True) -> BatchFn:
 
 def write_bars(df: DataFrame, path: str, partition: str = "date") -> None:
     """Bars by day: partition pruning on date, row-group statistics on
-    (symbol, window_start) for the store's access paths."""
+    (symbol, window_start) for the store's access paths.
+
+    Range partitioning on (date, symbol) gives each task a contiguous
+    slice, so files per day stay few while a busy day is still split
+    over several tasks (hash-partitioning on date alone would send a
+    whole day to one task)."""
     (df.withColumn(partition, F.to_date("window_start"))
-       .repartition(partition)
-       .sortWithinPartitions("symbol", "window_start")
+       .repartitionByRange(partition, "symbol")
+       .sortWithinPartitions(partition, "symbol", "window_start")
        .write.mode("overwrite").partitionBy(partition).parquet(path))
 
 
@@ -104,6 +109,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     raise ValueError(f"unknown kind {kind!r}")
 
 
-def write_report(df: DataFrame, target: str) -> None:
-    """Append the report row."""
-    df.write.mode("append").parquet(target)
+def write_report(df: DataFrame, target: str, hour_key: str) -> None:
+    """Store the report row of one hour. The hour's own folder is
+    overwritten, so a retried or re-run job leaves one row per hour."""
+    df.write.mode("overwrite").parquet(os.path.join(target, f"hour={hour_key}"))
+
+
+def read_reports(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop("hour")
