@@ -44,7 +44,7 @@ Stage = dict[str, Callable[[WindowSpec], Column]]
 def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
                  stages: Sequence[Stage], seq_col: str | None = None,
                  unit: str = "minute", target_rows: int = 2_000_000,
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Add backward-looking window columns computed per ``key``.
 
     ``order[0]`` must be the event-time column. ``stages`` are applied in
