@@ -13,18 +13,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.numeric import rnd
-from tickflow.operators.joins import with_dimension
+from tickflow.operators.joins import broadcast_if_small, with_dimension
 from tickflow.schemas import TICK
 
 ORDER_KEY = ("event_time", "tick_number")
 
 
-def latest_per_symbol(df: DataFrame, order=ORDER_KEY) -> DataFrame:
-    """Newest tick per symbol (map-side partial ``max_by``)."""
+def latest_per_symbol(df: DataFrame, order=ORDER_KEY, two_pass: bool = True,
+                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Newest tick per symbol.
+
+    A ``max_by`` over a struct of columns has a variable-width buffer, so
+    Spark aggregates it sort-based. Over a plain scan that would sort
+    every input partition; ``two_pass`` avoids it: (1) ``max(event_time)``
+    per symbol — a fixed-width hash aggregate; (2) a broadcast semi join
+    keeps only the rows at that time (ties), and the struct ``max_by``
+    runs on those few rows (the per-symbol table is broadcast after a
+    size check). Over indicator output (``enrich``), rows already come
+    sorted by symbol from the window stage, so the single sort-based
+    aggregate needs no extra sort and ``two_pass=False`` is cheaper than
+    evaluating the windows twice.
+    """
+    if not two_pass:
+        others = [c for c in df.columns if c != "symbol"]
+        return (df.groupBy("symbol")
+                  .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("t"))
+                  .select("symbol", "t.*"))
+    ts = order[0]
+    newest = broadcast_if_small(
+        df.groupBy("symbol").agg(F.max(ts).alias("_newest")), max_broadcast_rows)
+    cand = df.join(newest, (df["symbol"] == newest["symbol"]) & (df[ts] == newest["_newest"]), "left_semi")
     others = [c for c in df.columns if c != "symbol"]
-    return (df.groupBy("symbol")
-              .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("t"))
-              .select("symbol", "t.*"))
+    return (cand.groupBy("symbol")
+                .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("t"))
+                .select("symbol", "t.*"))
 
 
 def price_board(df: DataFrame, registry: DataFrame) -> DataFrame:
@@ -38,12 +60,13 @@ def price_board(df: DataFrame, registry: DataFrame) -> DataFrame:
                     .alias("pnl_pct"))
 
 
-def top_movers(df: DataFrame, k: int = 3) -> DataFrame:
+def top_movers(df: DataFrame, k: int = 3, two_pass: bool = False) -> DataFrame:
     """Top-k gainers and bottom-k losers by returns_pct over the latest
     tick of each symbol. Both lists come from one descending order
     (ties by symbol, NULL returns last); losers are its last k rows, in
     that order (worst last). rank is the position in the descending list."""
-    latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct"))
+    latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct"),
+                               two_pass=two_pass)
     w = Window.orderBy(F.col("returns_pct").desc_nulls_last(), F.col("symbol"))
     ranked = latest.select("symbol", "returns_pct", F.row_number().over(w).alias("rank"),
                            F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
@@ -53,12 +76,12 @@ def top_movers(df: DataFrame, k: int = 3) -> DataFrame:
                                               F.col("returns_pct").alias("return_pct"))
 
 
-def market_summary(df: DataFrame) -> DataFrame:
+def market_summary(df: DataFrame, two_pass: bool = False) -> DataFrame:
     """Total volume, advancers, mood (BULLISH iff strictly more than half
     of the symbols rose) and the current anomalies, over each symbol's
     latest tick. The anomaly list holds at most one entry per symbol."""
     latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct",
-                                         "volume", "is_anomaly", "anomaly_type"))
+                                         "volume", "is_anomaly", "anomaly_type"), two_pass=two_pass)
     n = F.count(F.lit(1))
     up = F.count_if(F.col("returns_pct") > 0)
     return latest.agg(
