@@ -142,6 +142,9 @@ def test_stream_job_two_queries(spark):
         assert q.exception() is None
     n = R.ticks(spark, SF001).count()
     assert spark.read.parquet(t.raw).count() == n
+    observed = sum(p["observedMetrics"]["tick_totals"]["sent_ticks"]
+                   for p in qs[0].recentProgress if "tick_totals" in p.get("observedMetrics", {}))
+    assert observed == n + 2
     assert spark.read.parquet(t.quarantine).count() == 2
     alerts = spark.read.parquet(t.alerts).count()
     assert alerts == R.alerted(spark, SF001).filter("price_alert IS NOT NULL").count()
