@@ -11,12 +11,15 @@ running counts) while partitioning by (key, chunk):
    not by the number of rows.
 2. On that small table, number rows cumulatively per key and cut the key
    into chunks of about ``target_rows`` rows (chunks follow bucket
-   boundaries, so a chunk is a contiguous time range).
+   boundaries, so a chunk is a contiguous time range). All of it runs in
+   one key-partitioned window pass over the bucket table.
 3. Every bucket that holds one of the last ``lookback`` rows before a
-   later chunk is also sent to that chunk as *carry* rows. Bucket → chunk
-   assignments (own and carry) form a small map table, joined to the
-   ticks on (key, bucket); it is broadcast only when its row count is
-   under ``max_broadcast_rows``, otherwise AQE plans the join.
+   later chunk is also sent to that chunk as *carry* rows (found with a
+   look-ahead frame of ``lookback`` buckets, so the list is bounded).
+   Bucket → chunk assignments (own and carry) form a small map table,
+   joined to the ticks on (key, bucket); it is broadcast only when its
+   row count is under ``max_broadcast_rows``, otherwise AQE plans the
+   join.
 4. One shuffle by (key, chunk), one sort, the user's window columns over
    ``partitionBy(key, chunk).orderBy(order)``, then carry rows are
    dropped. ``_seq`` (1-based row number within the key) comes from the
@@ -56,7 +59,8 @@ def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
     ts = order[0]
     fb = F.date_trunc(unit, F.col(ts))
 
-    # 1-2. bucket statistics and chunking (small tables only)
+    # 1-2. bucket statistics and chunking (small tables only): one
+    # aggregate exchange, then everything stays partitioned by key
     stats = df.groupBy(F.col(key).alias("_k"), fb.alias("_fb")).agg(F.count(F.lit(1)).alias("_n"))
     by_key = Window.partitionBy("_k").orderBy("_fb")
     stats = (stats
@@ -65,27 +69,27 @@ def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
                  F.lit(0)).cast("bigint"))
              .withColumn("_after", F.col("_before") + F.col("_n"))
              .withColumn("_chunk", F.floor(F.col("_before") / F.lit(target_rows)).cast("bigint")))
-    chunks = stats.groupBy("_k", "_chunk").agg(F.min("_before").alias("_start"))
-
-    own = stats.join(chunks, ["_k", "_chunk"]).select(
-        "_k", "_fb", F.col("_chunk").alias("_part"), "_start", F.lit(True).alias("_own"))
-
-    # 3. carry: bucket b feeds chunk c when start(c) ∈ [after(b), after(b)+lookback-1]
+    # chunk start = first offset of the chunk (partitioning by key already
+    # clusters (key, chunk): a sort, no exchange)
+    stats = stats.withColumn("_start", F.min("_before").over(Window.partitionBy("_k", "_chunk")))
+
+    # 3. carry: bucket b feeds chunk c when start(c) ∈ [after(b), after(b)+lookback-1];
+    # such a chunk starts within the next `lookback` buckets (each holds ≥ 1 row),
+    # so a bounded look-ahead frame finds every target
+    own = F.array(F.struct(F.col("_chunk").alias("p"), F.col("_start").alias("s"), F.lit(True).alias("o")))
     if lookback > 0:
-        cand = stats.select(
-            "_k", "_fb", "_after",
-            F.explode(F.sequence(
-                F.floor(F.col("_after") / F.lit(target_rows)).cast("bigint"),
-                F.floor((F.col("_after") + F.lit(lookback - 1)) / F.lit(target_rows)).cast("bigint"),
-            )).alias("_chunk"))
-        carry = (cand.join(chunks, ["_k", "_chunk"])
-                 .filter((F.col("_start") >= F.col("_after"))
-                         & (F.col("_start") <= F.col("_after") + F.lit(lookback - 1)))
-                 .select("_k", "_fb", F.col("_chunk").alias("_part"), "_start",
-                         F.lit(False).alias("_own")))
-        assign = own.unionByName(carry)
+        starts_ahead = F.collect_list(
+            F.when(F.col("_before") == F.col("_start"),
+                   F.struct(F.col("_chunk").alias("p"), F.col("_start").alias("s"), F.lit(False).alias("o")))
+        ).over(by_key.rowsBetween(1, lookback))
+        stats = stats.withColumn("_ahead", starts_ahead)
+        targets = F.filter("_ahead", lambda x: x["s"] <= F.col("_after") + F.lit(lookback - 1))
+        assignments = F.concat(own, targets)
     else:
-        assign = own
+        assignments = own
+    assign = (stats.select("_k", "_fb", F.explode(assignments).alias("a"))
+                   .select("_k", "_fb", F.col("a.p").alias("_part"), F.col("a.s").alias("_start"),
+                           F.col("a.o").alias("_own")))
     assign = broadcast_if_small(assign, max_broadcast_rows)
 
     # 4. one shuffle by (key, chunk); carry rows precede own rows in time
