@@ -315,7 +315,7 @@ def q_stream_bars(spark, sf_dir):
     stored, _ = run_replay(
         spark, enriched(spark, sf_dir),
         lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
-        mode="update", sink=lambda out: sink_bars(out), name="stream-bars")
+        mode="update", sink=lambda out: sink_bars(out), name="stream-bars", files_per_slice=2)
     return B.round_bars(latest_version(stored.drop("created_at"))).drop("batch_id")
 
 

@@ -24,7 +24,6 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -41,6 +40,8 @@ CLUSTER = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # large state: commit a changelog per batch instead of a full snapshot
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

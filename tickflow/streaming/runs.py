@@ -23,22 +23,27 @@ from tickflow.streaming.runner import file_topic, start
 def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame], DataFrame],
                mode: str = "append", n_slices: int = 4, resend: bool = False,
                sink: Callable[[str], BatchFn] | None = None, order: list[int] | None = None,
-               name: str = "replay") -> tuple[DataFrame, list]:
+               name: str = "replay", files_per_slice: int = 1) -> tuple[DataFrame, list]:
     """Replay ``ticks`` → ``build(raw_stream)`` → stored output.
 
     ``order`` replays slices in another order (late data); returns the
-    stored rows and the query's progress reports.
+    stored rows and the query's progress reports. Each slice is written
+    as ``files_per_slice`` files and each micro-batch reads exactly one
+    slice (``maxFilesPerTrigger``); raise it for large replays so no
+    single task writes a whole slice (every slice needs at least that
+    many rows). On a cluster the source is the live topic instead.
     """
     root = scratch_path(spark, name)
     topic = os.path.join(root, "topic")
-    dirs = write_replay(ticks, topic, n_slices=n_slices, resend=resend)
+    dirs = write_replay(ticks, topic, n_slices=n_slices, resend=resend, files_per_slice=files_per_slice)
     if order is not None:
         # re-write the slices in the requested order into a second topic
         topic = os.path.join(root, "topic-reordered")
         for i, j in enumerate(order):
-            spark.read.parquet(dirs[j]).write.mode("overwrite").parquet(os.path.join(topic, f"s{i:05d}"))
+            (spark.read.parquet(dirs[j]).repartition(files_per_slice)
+             .write.mode("overwrite").parquet(os.path.join(topic, f"s{i:05d}")))
     out = os.path.join(root, "out")
-    raw = file_topic(spark, os.path.join(topic, "*"), files_per_trigger=1)
+    raw = file_topic(spark, os.path.join(topic, "*"), files_per_trigger=files_per_slice)
     fn = sink(out) if sink else (lambda df, i: write_batch(df, i, out))
     q = start(build(raw), name, mode, os.path.join(root, "checkpoint"), fn, {"availableNow": True})
     q.awaitTermination()
