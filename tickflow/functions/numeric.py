@@ -60,3 +60,18 @@ def exact_mean_gt(c, threshold: float, decimals: int = 2) -> Column:
     scaled = F.sum(F.round(_col(c) * F.lit(scale)).cast("bigint"))
     n = F.count(_col(c))
     return scaled > F.lit(int(round(threshold * scale))) * n
+
+
+def price_decimals(asset_type="asset_type") -> Column:
+    """Decimal places of a price by asset type (forex 4, else 2)."""
+    out = None
+    for kind, n in PRICE_DECIMALS.items():
+        cond = _col(asset_type) == F.lit(kind)
+        out = F.when(cond, F.lit(n)) if out is None else out.when(cond, F.lit(n))
+    return out.otherwise(F.lit(DEFAULT_PRICE_DECIMALS))
+
+
+def price_precision(df, cols=("price",)):
+    """Add ``price_decimals`` and round the given price columns by it."""
+    out = df.withColumn("price_decimals", price_decimals())
+    return out.withColumns({c: price_round(c) for c in cols})
