@@ -34,35 +34,45 @@ def default_order(df: DataFrame) -> tuple[str, ...]:
 
 
 def bar_aggregates(source: str = "price", order: Sequence[str] = ("event_time", "tick_number"),
-                   zero_volume: float | None = None, full: bool = True) -> list[Column]:
+                   zero_volume: float | None = None, full: bool = True,
+                   where: Column | None = None) -> list[Column]:
     """Bar columns. ``full=False`` keeps OHLCV, VWAP and tick_count only
-    (for sources that carry no indicators)."""
+    (for sources that carry no indicators). ``where`` restricts every
+    aggregate to the rows where it holds (SQL ``FILTER (WHERE ...)``), so
+    several bar variants can come out of one aggregation pass."""
+    def c(name: str) -> Column:
+        return F.col(name) if where is None else F.when(where, F.col(name))
+
     key = _order_key(order)
+    if where is not None:
+        key = F.when(where, key)  # rows outside ``where`` have no order: min_by/max_by skip them
     if source == "tick_ohlc":
-        o, h, l = F.min_by("open", key), F.max("high"), F.min("low")  # noqa: E741
+        o, h, l = F.min_by(c("open"), key), F.max(c("high")), F.min(c("low"))  # noqa: E741
     elif source == "price":
-        o, h, l = F.min_by("price", key), F.max("price"), F.min("price")  # noqa: E741
+        o, h, l = F.min_by(c("price"), key), F.max(c("price")), F.min(c("price"))  # noqa: E741
     else:
         raise ValueError(f"unknown bar source {source!r}")
-    vol = F.sum("volume")
-    vwap = F.try_divide(F.sum(F.col("price") * F.col("volume")), vol)
+    vol = F.sum(c("volume"))
+    vwap = F.try_divide(F.sum(c("price") * c("volume")), vol)
     if zero_volume is not None:
         vwap = F.when(vol == 0, F.lit(float(zero_volume))).otherwise(vwap)
+    n = F.count(F.lit(1)) if where is None else F.count_if(where)
     core = [
         o.alias("open"), h.alias("high"), l.alias("low"),
-        F.max_by("price", key).alias("close"),
+        F.max_by(c("price"), key).alias("close"),
         vol.alias("volume"),
         vwap.alias("vwap"),
     ]
     if not full:
-        return core + [F.count(F.lit(1)).alias("tick_count")]
+        return core + [n.alias("tick_count")]
+    alerting = F.col("price_alert").isNotNull() if where is None else where & F.col("price_alert").isNotNull()
     return core + [
-        F.avg("realized_vol").alias("avg_realized_vol"),
-        F.avg("spread").alias("avg_spread"),
-        F.count(F.lit(1)).alias("tick_count"),
-        F.count_if(F.col("price_alert").isNotNull()).alias("alert_count"),
-        F.avg("returns_pct").alias("avg_return_pct"),
-        F.stddev_samp("returns_pct").alias("stddev_return_pct"),
+        F.avg(c("realized_vol")).alias("avg_realized_vol"),
+        F.avg(c("spread")).alias("avg_spread"),
+        n.alias("tick_count"),
+        F.count_if(alerting).alias("alert_count"),
+        F.avg(c("returns_pct")).alias("avg_return_pct"),
+        F.stddev_samp(c("returns_pct")).alias("stddev_return_pct"),
     ]
 
 

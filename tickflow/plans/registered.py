@@ -199,15 +199,28 @@ def q_mart_daily_anomaly(spark, sf_dir):
 
 @register("bars_latest_version")
 def q_bars_latest_version(spark, sf_dir):
-    """Two update-mode batches: batch 0 emits bars of ticks before the
-    split; batch 1 re-emits every bar that a later tick touched. The
-    newest version per key must equal the bars over all ticks."""
+    """Two update-mode batches: batch 0 emits the bars of the ticks before
+    the split; batch 1 re-emits every bar that a later tick touched. Both
+    versions come out of one aggregation pass (batch 0's aggregates are
+    filtered to the early ticks). The newest version per key must equal
+    the bars over all ticks."""
     t = alerted(spark, sf_dir)
     split = F.lit(VERSION_SPLIT).cast("timestamp_ntz")
-    v0 = B.bars(t.filter(F.col("event_time") < split), BAR_SIZE, BAR_SLIDE).withColumn("batch_id", F.lit(0))
-    v1 = (B.bars(t, BAR_SIZE, BAR_SLIDE, extra=[F.max("event_time").alias("_last")])
-          .filter(F.col("_last") >= split).drop("_last").withColumn("batch_id", F.lit(1)))
-    return B.round_bars(latest_version(v0.unionByName(v1)))
+    early = F.col("event_time") < split
+    order = B.default_order(t)
+    agg = (t.filter(F.col("price").isNotNull())
+            .groupBy(F.window("event_time", BAR_SIZE, BAR_SLIDE).alias("w"), "symbol", "asset_type")
+            .agg(F.struct(*B.bar_aggregates(order=order, where=early)).alias("v0"),
+                 F.struct(*B.bar_aggregates(order=order)).alias("v1"),
+                 F.count_if(early).alias("_n0"), F.max("event_time").alias("_last")))
+    versions = (agg.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "asset_type",
+        F.explode(F.array(
+            F.when(F.col("_n0") > 0, F.struct(F.lit(0).alias("batch_id"), "v0.*")),
+            F.when(F.col("_last") >= split, F.struct(F.lit(1).alias("batch_id"), "v1.*")))).alias("v"))
+        .filter(F.col("v").isNotNull())
+        .select("window_start", "window_end", "symbol", "asset_type", "v.*"))
+    return B.round_bars(latest_version(versions))
 
 
 @register("bars_daily_lineitem")
