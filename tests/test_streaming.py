@@ -13,7 +13,7 @@ from tickflow.plans import registered as R
 from tickflow.schemas import TOPIC_RECORD
 from tickflow.session import scratch_path
 from tickflow.sinks import sink_bars, write_batch
-from tickflow.sources.topic import decode_snapshot, decode_ticks, split_bad
+from tickflow.sources.topic import decode_snapshot, decode_ticks, split_bad, topic_options
 from tickflow.streaming import runner as SR
 from tickflow.streaming.replay import write_replay
 
@@ -32,6 +32,16 @@ def _tick(symbol="AAPL", ts="2024-01-01T12:00:00+00:00", price=100.0, volume=5,
     return json.dumps(d)
 
 
+def test_topic_options_bound_batches():
+    o = topic_options("ticks", "broker:9092")
+    assert o["subscribe"] == "ticks" and o["kafka.bootstrap.servers"] == "broker:9092"
+    assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
+    assert o["maxOffsetsPerTrigger"] == "5000000" and "minPartitions" not in o
+    o = topic_options("ticks", "b:1", "earliest", max_per_trigger=1000, min_partitions=64)
+    assert (o["startingOffsets"], o["maxOffsetsPerTrigger"], o["minPartitions"]) == ("earliest", "1000", "64")
+    assert "maxOffsetsPerTrigger" not in topic_options("t", "b:1", max_per_trigger=None)
+
+
 def test_bad_records_are_quarantined(spark):
     recs = [
         _rec(_tick()),

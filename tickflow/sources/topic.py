@@ -16,21 +16,35 @@ from tickflow.schemas import BAR_FIELDS, TICK, TICK_FIELDS
 CORRUPT = "_corrupt_record"
 
 
-def topic_options(topic: str, servers: str, starting: str = "latest") -> dict[str, str]:
-    """Options of the tick subscription: latest offsets, tolerate loss."""
-    return {
+def topic_options(topic: str, servers: str, starting: str = "latest",
+                  max_per_trigger: int | None = 5_000_000,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Options of the tick subscription: latest offsets, tolerate loss.
+
+    ``max_per_trigger`` caps the records of one micro-batch
+    (``maxOffsetsPerTrigger``), which bounds every per-batch group the
+    stream builds (the keyed-state indicators see at most one batch of
+    one symbol per call); ``min_partitions`` splits large topic
+    partitions across more read tasks."""
+    opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
     }
+    if max_per_trigger is not None:
+        opts["maxOffsetsPerTrigger"] = str(int(max_per_trigger))
+    if min_partitions is not None:
+        opts["minPartitions"] = str(int(min_partitions))
+    return opts
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str,
-               starting: str = "latest") -> DataFrame:
-    """Streaming subscription to a topic (needs the Kafka connector)."""
+               starting: str = "latest", **limits) -> DataFrame:
+    """Streaming subscription to a topic (needs the Kafka connector).
+    ``limits`` go to ``topic_options`` (max_per_trigger, min_partitions)."""
     return (spark.readStream.format("kafka")
-            .options(**topic_options(topic, servers, starting)).load())
+            .options(**topic_options(topic, servers, starting, **limits)).load())
 
 
 def decode_ticks(df: DataFrame, schema: T.StructType = TICK, keep_corrupt: bool = False) -> DataFrame:
