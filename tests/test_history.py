@@ -29,9 +29,9 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-def _check(df, target_rows, unit="minute"):
+def _check(df, target_rows, unit="minute", **kw):
     a = over_history(df, "symbol", ORDER, 19, _stages(), seq_col="_seq",
-                     unit=unit, target_rows=target_rows)
+                     unit=unit, target_rows=target_rows, **kw)
     b = over_key(df, "symbol", ORDER, _stages(), seq_col="_seq")
     assert _rows(a) == _rows(b)
 
@@ -43,6 +43,24 @@ def test_chunked_equals_per_key_on_events(spark):
     _check(t, 25, unit="hour")
 
 
+def test_chunk_map_over_broadcast_bound(spark):
+    # past the row bound the chunk map gets no broadcast hint; with the
+    # size threshold off, only the hint can make the join a broadcast
+    t = events_ticks(spark, SF001)
+    _check(t, 37, max_broadcast_rows=10)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        def plan(bound):
+            a = over_history(t, "symbol", ORDER, 19, _stages(), target_rows=37, max_broadcast_rows=bound)
+            return a._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan(10)
+        assert "BroadcastHashJoin" in plan(1_000_000)
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_hot_symbol_is_split(spark):
     # one symbol holds most rows and many rows share a minute
     base = dt.datetime(2024, 1, 1)
