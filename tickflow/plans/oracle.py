@@ -517,3 +517,15 @@ SELECT date_trunc('hour', TIMESTAMP '{AS_OF}') AS report_hour,
        ',"failed":' || CAST(count(*) FILTER (WHERE NOT passed) AS VARCHAR) || '}}' AS details,
        TIMESTAMP '{AS_OF}' AS created_at
 FROM checks""")
+
+# append mode: an hour is out once the watermark (newest event time − 5 min)
+# has passed its end; bars are 30 min tumbling, so each sits in one hour
+ORACLE["stream_hourly_rollup"] = with_cte(f"""{ALERTED},
+b30 AS ({bars_sql('alerted', '30 minutes', None, rounded=False)}),
+wm AS (SELECT max(event_time) - INTERVAL '300 seconds' AS w FROM alerted)""", """
+SELECT time_bucket(INTERVAL '3600 seconds', window_start) AS hour_start, symbol, asset_type,
+       CAST(sum(volume) AS BIGINT) AS hour_volume, CAST(sum(tick_count) AS BIGINT) AS hour_ticks,
+       CAST(sum(alert_count) AS BIGINT) AS hour_alerts, count(*) AS n_bars
+FROM b30
+GROUP BY 1, 2, 3
+HAVING time_bucket(INTERVAL '3600 seconds', window_start) + INTERVAL '3600 seconds' <= (SELECT w FROM wm)""")
