@@ -67,18 +67,22 @@ def build_session(app: str = "tickflow", master: str | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when unset."""
+    """The shared checkpoint folder, as the URI Spark knows it by.
+
+    Only a local session may set a folder of its own; on a cluster a
+    machine-local folder would be written piecemeal by each executor, so
+    a missing setting is an error there.
+    """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-        if conf_dir:
-            sc.setCheckpointDir(conf_dir)
-        else:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickflow-ckpt-"))
+        if not conf_dir:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            conf_dir = tempfile.mkdtemp(prefix="tickflow-ckpt-")
+        sc.setCheckpointDir(conf_dir)
         d = sc.getCheckpointDir()
-    if d.startswith("file:"):
-        d = d[len("file:"):]
     return d
 
 
