@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.exact_dedup import exact_groups
+from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 
 
@@ -22,9 +23,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
