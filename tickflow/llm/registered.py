@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.exact_dedup import exact_groups
+from tickflow.llm.langid import identify
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
+from tickflow.llm.quality import score
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +29,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
