@@ -11,6 +11,7 @@ from tickflow.llm.langid import identify
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.quality import score
+from tickflow.llm.urls import judge, judge_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +38,14 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
@@ -52,4 +58,5 @@ ORACLE: dict[str, str] = {
              g AS (SELECT *, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
     """,
+    "op7_url_filter": judge_sql(),
 }
