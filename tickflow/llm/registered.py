@@ -11,6 +11,7 @@ from tickflow.llm.langid import identify
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.quality import score
+from tickflow.llm.topk import top_k
 from tickflow.llm.urls import judge, judge_sql
 
 
@@ -42,7 +43,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages"))
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_topk": op1_exact_topk,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
@@ -52,6 +58,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+                   FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
     "op6_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
                    FROM documents),
