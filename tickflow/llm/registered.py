@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.langid import identify
+from tickflow.llm.licenses import scan, scan_sql
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.quality import score
@@ -47,8 +48,13 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
@@ -72,5 +78,6 @@ ORACLE: dict[str, str] = {
              g AS (SELECT *, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
     """,
+    "op3_license_scan": scan_sql(),
     "op7_url_filter": judge_sql(),
 }
