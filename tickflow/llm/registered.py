@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.langid import identify
 from tickflow.llm.licenses import scan, scan_sql
+from tickflow.llm.mixing import mixture
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.quality import score
@@ -52,10 +53,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_source_mixing": op5_source_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
