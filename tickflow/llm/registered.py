@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.langid import identify
 from tickflow.llm.licenses import scan, scan_sql
+from tickflow.llm.main_text import main_text
 from tickflow.llm.mixing import mixture
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
@@ -57,8 +58,13 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_html_extraction": op2_html_extraction,
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
