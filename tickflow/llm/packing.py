@@ -18,11 +18,11 @@ length that holds much of the table is split over SALTS rank ranges.
 from __future__ import annotations
 
 import bisect
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,8 +33,10 @@ from tickflow.llm.common import batch, columns, map_arrow, materialise, texts
 SEQUENCE = 2048
 GROUP_ROWS = 1_000_000
 SALTS = 16
-#: Words whose ids a worker keeps at hand, about 100 MB; when it has more it starts anew.
-WORD_CACHE = 400_000
+#: Words whose ids a worker keeps at hand, about 250 MB; when it has more it starts anew.
+WORD_CACHE = 1_200_000
+#: Words that go to the tokenizer in one call.
+CALL = 1024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -52,7 +54,26 @@ def default_tokenizer() -> str:
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+    return tokenizer, special, {}
+
+
+def _encode_words(tokenizer, special: dict[str, int], words: list[str]) -> Iterator[bytes]:
+    """Ids of each word: many in one call, a special token between them; words that hold one go alone."""
+    between, cut = next(iter(special.items()), (None, None))
+    alone = [between is None or any(s in w for s in special) for w in words]
+    joined = "".join(w + between for w, one in zip(words, alone, strict=True) if not one)
+    ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+    raw, at = ids.tobytes(), 0
+    ends = iter((4 * np.flatnonzero(ids == cut)).tolist())
+    for w, one in zip(words, alone, strict=True):
+        if one:
+            yield np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            end = next(ends)
+            yield raw[at:end]
+            at = end + 4
 
 
 def encode(path: str, docs: list[bytes]) -> list[bytes]:
@@ -62,7 +83,7 @@ def encode(path: str, docs: list[bytes]) -> list[bytes]:
     ids of a text are those of its blank-separated words in order, and a
     word's ids are looked up once per worker rather than once per use.
     """
-    tokenizer, known = _tokenizer(path)
+    tokenizer, special, known = _tokenizer(path)
     words = [d.split() for d in docs]
     if len(known) > WORD_CACHE:
         known.clear()
@@ -70,10 +91,9 @@ def encode(path: str, docs: list[bytes]) -> list[bytes]:
     for w in words:
         new.update(set(w).difference(known))
     todo = list(new)
-    for k in range(0, len(todo), 20_000):
-        part = todo[k:k + 20_000]
-        for word, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-            known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+    for k in range(0, len(todo), CALL):
+        part = todo[k:k + CALL]
+        known.update(zip(part, _encode_words(tokenizer, special, [w.decode("utf-8", "replace") for w in part]), strict=True))
     return [b"".join(map(known.__getitem__, w)) for w in words]
 
 
