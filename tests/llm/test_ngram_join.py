@@ -80,10 +80,10 @@ def test_equals_brute_force(spark, monkeypatch, seed, width, percent, tight):
 def test_nulls_repeats_long_texts_and_empty_table(spark):
     long = " ".join(f"t{k}" for k in range(30_000))
     rows = [(1, None, None, None), (None, "a b c d e", None, None), (2, "a b c d e", None, None), (2, "a b c d e", None, None),
-            (3, long, 0, ""), (4, long + " end", 0, ""), (5, "", 0, "")]
+            (3, long, 0, ""), (4, long + " end", 0, ""), (5, "", 0, ""), (5, "words of another kind", 0, ""), (5, "a b c d e", 0, "")]
     got = similar_groups(spark.createDataFrame(rows, SCHEMA))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(
-        [(1, 0, 1), (None, 2, None), (2, 2, 2), (2, 2, 2), (3, 29_997, 3), (4, 29_998, 3), (5, 0, 5)], key=repr)
+        [(1, 0, 1), (None, 2, None), (2, 2, 2), (2, 2, 2), (3, 29_997, 3), (4, 29_998, 3), (5, 0, 5), (5, 1, 5), (5, 2, 2)], key=repr)
     assert similar_groups(spark.createDataFrame([], SCHEMA)).count() == 0
 
 

@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow.llm.common import BROADCAST_ROWS, batch, columns, join_by_share, map_arrow, materialise, texts
 from tickflow.llm.graph import components
@@ -196,10 +197,10 @@ def _block_links(key: tuple, table: pa.Table, percent: int) -> pa.Table:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("node", pa.int64()), ("cid", pa.int64()), ("full", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("full", pa.list_(pa.int64()))])
     for b in batches:
         found = [shingles(t, width) for t in texts(b.column("text"))]
-        yield batch(schema, [b.column("doc_id"), [_identity(s) if len(s) else None for s in found], found])
+        yield batch(schema, [[_identity(s) if len(s) else None for s in found], found])
 
 
 def similar_groups(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -209,30 +210,70 @@ def similar_groups(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFr
     similarity of at least ``percent`` in a hundred; component_id is the
     smallest doc_id that links reach. Words are split at ASCII white space
     after lower-casing A-Z. Null, empty or blank text has no shingle and is
-    its own component. A set goes by the smallest id of the rows that have
-    it; sets that go by the same (repeated) id are one node. Rows without
-    an id link nothing and have no component. An empty table gives no rows.
+    its own component. An id that occurs several times has a component for
+    each of its texts. Rows without an id link nothing and have no
+    component. An empty table gives no rows.
     """
-    docs = columns(docs, doc_id="long", text="string")
+    out = _grouped(columns(docs, doc_id="long", text="string"), width, percent)
+    return out.select("doc_id", F.shiftright("nm", 32).alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with one document of every group that ``similar_groups`` finds: the one with the smallest id.
+
+    Rows without an id and texts without a word stay. An id that occurs
+    several times goes row by row: the rows of its texts outside the group
+    stay, and of equal rows one.
+    """
+    groups = materialise(_grouped(columns(docs, doc_id="long", text="string"), width, percent).filter(
+        "doc_id IS NOT NULL AND cid IS NOT NULL").select("doc_id", "cid", "grp", "component_id"), "ngram-groups")
+    again = groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    own, key = "__id", "__cid"
+    while {own, key} & set(docs.columns):
+        own, key = own + "_", key + "_"
+    if again.isEmpty():
+        dropped = materialise(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(own)), "ngram-dropped")
+        return docs.join(_listed(dropped), F.col("doc_id").cast("long") == F.col(own), "left_anti")
+    first = groups.filter("doc_id = component_id").groupBy("grp").agg(F.min("cid").alias("first"))
+    kept = groups.join(first, "grp").filter("doc_id = component_id AND cid = first").select(
+        F.col("doc_id").alias(own), F.col("cid").alias(key + "k")).distinct()
+    shown = map_arrow(docs, partial(_with_identity, width=width, name=key), T.StructType([*docs.schema.fields, T.StructField(key, T.LongType())]))
+    grouped = F.col("doc_id").isNotNull() & F.col(key).isNotNull()
+    chosen = shown.filter(grouped).join(kept, (F.col("doc_id").cast("long") == F.col(own)) & (F.col(key) == F.col(key + "k")), "left_semi")
+    return shown.filter(~grouped).unionByName(chosen.dropDuplicates(["doc_id", key])).drop(key)
+
+
+def _with_identity(batches: Iterator[pa.RecordBatch], width: int, name: str) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [shingles(t, width) for t in texts(b.column("text"))]
+        cids = pa.array([_identity(s) if len(s) else None for s in found], pa.int64())
+        yield pa.RecordBatch.from_arrays([*b.columns, cids], [*b.schema.names, name])
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Row by row: doc_id, cid and nm (identity and size of the set, null and 0 without a word), grp (its group) and component_id."""
     limit = int(min(1.0, SPREAD * (100 - percent) / 100) * 2**64) - 2**63
     sets = materialise(map_arrow(docs, partial(_scan, width=width, percent=percent, limit=limit),
                                  "doc_id long, cid long, nm long, tokens array<bigint>, heavy boolean"), "ngram-sets")
     rows = sets.filter("NOT heavy").select("doc_id", "cid", "nm")
+    # a node of the graph is a set, by its identity; ``id`` is the smallest id that has it
     classes = materialise(rows.filter("cid IS NOT NULL").groupBy("cid", "nm").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("rows")), "ngram-classes")
-    keys = _index(sets, percent, limit).join(classes.filter("node IS NOT NULL").select("cid", "nm", "node"), ["cid", "nm"])
+        F.min("doc_id").alias("id"), F.count("*").alias("rows")).withColumn("node", F.col("cid")), "ngram-classes")
+    keys = _index(sets, percent, limit).join(classes.filter("id IS NOT NULL").select("cid", "nm", "node"), ["cid", "nm"])
     keys = materialise(keys.select("sig", "node", F.shiftright("nm", 32).alias("n"), "rare"), "ngram-keys")
     # the set with the fewest rare tokens stands for a key: in a group of edited copies, the original
     order = F.shiftleft(F.least("rare", F.lit(65535)), 47).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 17))
     buckets = materialise(keys.groupBy("sig").agg(F.count("*").alias("members"), F.min("node").alias("lo"), F.max("node").alias("hi"),
                                                   F.min_by("node", order).alias("hub")).filter("lo <> hi").drop("lo", "hi"), "ngram-buckets")
     links = _links(docs, sets, classes, keys, buckets, width, percent)
-    label = components(links)
-    known = classes.join(label, "node", "left").select("cid", "nm", "rows", F.coalesce("label", "node").alias("component_id"))
+    linked = components(links).join(classes.select("node", "id"), "node")
+    linked = linked.join(linked.groupBy("label").agg(F.min("id").alias("least")), "label").select("node", "label", "least")
+    known = classes.join(linked, "node", "left").select("cid", "nm", "rows", F.coalesce("label", "node").alias("grp"),
+                                                        F.coalesce("least", "id").alias("component_id"))
     out = join_by_share(rows.filter("cid IS NOT NULL"), known, ["cid", "nm"], F.col("rows"), rows.count())
-    out = out.select("doc_id", "nm", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    bare = rows.filter("cid IS NULL").select("doc_id", "nm", F.col("doc_id").alias("component_id"))
-    return out.unionByName(bare).select("doc_id", F.shiftright("nm", 32).alias("n_shingles"), "component_id")
+    out = out.select("doc_id", "cid", "nm", "grp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    bare = rows.filter("cid IS NULL").select("doc_id", "cid", "nm", F.lit(None).cast("long").alias("grp"), F.col("doc_id").alias("component_id"))
+    return out.unionByName(bare)
 
 
 def _listed(df: DataFrame) -> DataFrame:
@@ -257,8 +298,8 @@ def _possible(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: in
                          .join(classes.select("cid", "nm", "node"), "node"), "ngram-wanted")
     in_u = F.col("nm").bitwiseAND(0xFFFFFFFF).cast("int")
     part = sets.filter("NOT heavy AND tokens IS NOT NULL").join(_listed(wanted), ["cid", "nm"]).select(
-        "node", "cid", F.slice("tokens", F.lit(1), in_u).alias("u"), (F.shiftright("nm", 32) - in_u).alias("more")).dropDuplicates(["node", "cid"])
-    part = materialise(part.drop("cid"), "ngram-part")
+        "node", F.slice("tokens", F.lit(1), in_u).alias("u"), (F.shiftright("nm", 32) - in_u).alias("more")).dropDuplicates(["node"])
+    part = materialise(part, "ngram-part")
     side = lambda c: part.select(F.col("node").alias(c), F.col("u").alias("u" + c), F.col("more").alias("more" + c))
     common = F.size(F.array_intersect("ux", "uy")) + F.least("morex", "morey")
     return pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.col("nx"), F.col("ny"), percent)).select("x", "y").distinct()
@@ -286,7 +327,7 @@ def _cells(stars: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame, buckets: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (u, v): all pairs under small keys, spanning links within the blocks of large keys."""
-    classes = classes.filter("node IS NOT NULL")
+    classes = classes.filter("id IS NOT NULL")
     pairs = materialise(_candidate_pairs(keys, buckets, percent), "ngram-pairs")
     pairs = materialise(_possible(pairs, sets, classes, percent), "ngram-possible")
     stars = keys.join(buckets.filter(F.col("members") > SMALL).select("sig", "hub"), "sig").filter("node <> hub").select(
@@ -294,11 +335,10 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame
     cells = materialise(_cells(stars, classes, percent), "ngram-cells")
     wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).unionByName(
         cells.select("node")).distinct()
-    wanted = materialise(wanted.join(classes.select("node", "cid"), "node"), "ngram-full-ids")
-    listed = _listed(wanted)
-    rows = docs.join(listed.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    full = map_arrow(rows, partial(_full_sets, width=width), "node long, cid long, full array<bigint>")
-    full = materialise(full.join(listed, ["node", "cid"]).dropDuplicates(["node", "cid"]).select("node", "full"), "ngram-full")
+    wanted = _listed(materialise(wanted.join(classes.select("node", "id"), "node"), "ngram-full-ids"))
+    rows = docs.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    full = map_arrow(rows, partial(_full_sets, width=width), "node long, full array<bigint>")
+    full = materialise(full.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-full")
     side = lambda c: full.select(F.col("node").alias(c), F.col("full").alias("f" + c))
     common = F.size(F.array_intersect("fx", "fy"))
     by_pair = pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(
