@@ -43,7 +43,7 @@ from tickflow.llm.graph import components
 #: Share of the hash range that is U, in units of 1 - p.
 SPREAD = 1.45
 FREQUENT = 32
-COMBINED = 256
+COMBINED = 64
 SMALL = 32
 #: A chunk of a block has about so many sets and tokens at most.
 CHUNK_SETS, CHUNK_TOKENS = 1024, 600_000
