@@ -1,11 +1,14 @@
 """The chunked per-key window equals the one-task-per-key window."""
 
 import datetime as dt
+import os
 
+import pandas as pd
 from hypothesis import given, settings, strategies as st, HealthCheck
 from pyspark.sql import functions as F
 
 from tickflow.operators import indicators as I
+from tickflow.operators import market as M
 from tickflow.operators.history import over_history, over_key
 from tickflow.sources.tables import events_ticks, registry
 
@@ -43,39 +46,63 @@ def test_chunked_equals_per_key_on_events(spark):
     _check(t, 25, unit="hour")
 
 
-def test_chunk_map_over_broadcast_bound(spark):
-    # past the row bound the chunk map gets no broadcast hint; with the
-    # size threshold off, only the hint can make the join a broadcast
+def test_chunk_map_shuffled_when_it_is_too_large_to_broadcast(spark):
+    # nothing but its size decides: with the threshold off, both sides are shuffled, with the same rows
     t = events_ticks(spark, SF001)
-    _check(t, 37, max_broadcast_rows=10)
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
     try:
-        def plan(bound):
-            a = over_history(t, "symbol", ORDER, 19, _stages(), target_rows=37, max_broadcast_rows=bound)
-            return a._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan(10)
-        assert "BroadcastHashJoin" in plan(1_000_000)
+        _check(t, 37)
+        plan = over_history(t, "symbol", ORDER, 19, _stages(), target_rows=37)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def test_hot_symbol_is_split(spark):
-    # one symbol holds most rows and many rows share a minute
+def test_a_busy_minute_is_split_over_tasks(spark):
+    # 5,000 rows of one symbol in one minute, 100 to a chunk: counted after a real window over (symbol, chunk)
     base = dt.datetime(2024, 1, 1)
-    rows = [("hot", base + dt.timedelta(seconds=i // 7), i, 100.0 + (i % 13)) for i in range(3000)]
+    rows = [("hot", base + dt.timedelta(milliseconds=12 * i), i, 100.0 + (i % 13)) for i in range(5000)]
     rows += [("cold", base + dt.timedelta(minutes=i), 10_000 + i, 50.0 + i % 5) for i in range(40)]
     df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, tick_number bigint, price double")
     _check(df, 100)
-    # the hot symbol spreads over many (symbol, chunk) partitions
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        a = over_history(df, "symbol", ORDER, 19, [{"_p": lambda w: F.spark_partition_id()}],
-                         target_rows=100)
-        assert a.filter("symbol = 'hot'").select("_p").distinct().count() > 1
+        out = over_history(df, "symbol", ORDER, 19, [{"_prev": lambda w: F.lag("price").over(w)}], target_rows=100)
+        # the window's column is used, or it would be pruned together with its exchange
+        tasks = out.filter("symbol = 'hot'").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("_prev"))
+        assert "Window" in tasks._jdf.queryExecution().optimizedPlan().toString()
+        per_task = [r["n"] for r in tasks.collect()]
+        assert sum(per_task) == 5000 and len(per_task) > 20 and max(per_task) < 1000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_folder_that_grows_between_two_reads(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    base = dt.datetime(2024, 1, 1)
+
+    def ticks(first):
+        rows = [("s", base + dt.timedelta(minutes=i), i, 100.0 + i) for i in range(first, first + 10)]
+        return pd.DataFrame(rows, columns=["symbol", "event_time", "tick_number", "price"])
+
+    def read():
+        return spark.read.schema("symbol string, event_time timestamp_ntz, tick_number bigint, price double").parquet(path)
+
+    os.makedirs(path)
+    ticks(0).to_parquet(os.path.join(path, "a.parquet"), coerce_timestamps="us")
+    assert I.with_returns(read()).count() == 10
+    registry_rows = spark.createDataFrame([("s", "stock", 100.0), ("silent", "stock", 7.0)], "symbol string, asset_type string, initial_price double")
+    assert {(r.symbol, r.price) for r in M.price_board(read(), registry_rows).collect()} == {("s", 109.0), ("silent", 7.0)}
+    ticks(10).to_parquet(os.path.join(path, "b.parquet"), coerce_timestamps="us")  # another writer, not this session
+    assert I.with_returns(read()).count() == 20
+    assert {(r.symbol, r.price) for r in M.price_board(read(), registry_rows).collect()} == {("s", 119.0), ("silent", 7.0)}
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

@@ -31,10 +31,8 @@ def alert_messages(df: DataFrame) -> DataFrame:
 
 
 def route(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Copy each row to every topic whose predicate holds: one
-    ``topic`` column, the union of the filtered copies (no shuffle)."""
-    parts = [df.filter(pred).withColumn("topic", F.lit(topic)) for topic, pred in rules.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Copy each row to every topic whose predicate holds (one ``topic``
+    column). One pass: the rows' topics are an array that is exploded, so
+    the input, be it a stream, is read once."""
+    topics = F.array_compact(F.array(*[F.when(pred, F.lit(topic)) for topic, pred in rules.items()]))
+    return df.withColumn("topic", F.explode(topics))

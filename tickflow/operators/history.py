@@ -6,9 +6,11 @@ is one task over a third of the table. ``over_history`` keeps the exact
 semantics of backward row frames (``lag``, ``rowsBetween(-k, 0)``,
 running counts) while partitioning by (key, chunk):
 
-1. Count rows per (key, fine time bucket) — a narrow scan with a map-side
+1. Count rows per (key, time bucket) — a narrow scan with a map-side
    partial aggregate; the result is bounded by keys × time span / unit,
-   not by the number of rows.
+   not by the number of rows. A bucket with more than ``target_rows``
+   rows is split into buckets of ``hot_unit`` (a busy minute into its
+   seconds); other buckets stay whole, so the table stays small.
 2. On that small table, number rows cumulatively per key and cut the key
    into chunks of about ``target_rows`` rows (chunks follow bucket
    boundaries, so a chunk is a contiguous time range). All of it runs in
@@ -17,9 +19,11 @@ running counts) while partitioning by (key, chunk):
    later chunk is also sent to that chunk as *carry* rows (found with a
    look-ahead frame of ``lookback`` buckets, so the list is bounded).
    Bucket → chunk assignments (own and carry) form a small map table,
-   joined to the ticks on (key, bucket); it is broadcast only when its
-   row count is under ``max_broadcast_rows``, otherwise AQE plans the
-   join.
+   part of the same plan as the ticks (nothing is cached, so a later read
+   of a grown folder sees its new files). The ticks are left-joined to it
+   on (key, bucket) without a hint: AQE broadcasts the map while it is
+   small and otherwise shuffles both sides. A tick without a bucket
+   would be an error in the plan and fails the job; it is never dropped.
 4. One shuffle by (key, chunk), one sort, the user's window columns over
    ``partitionBy(key, chunk).orderBy(order)``, then carry rows are
    dropped. ``_seq`` (1-based row number within the key) comes from the
@@ -39,15 +43,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tickflow.operators.joins import broadcast_if_small
-
 Stage = dict[str, Callable[[WindowSpec], Column]]
 
 
 def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
                  stages: Sequence[Stage], seq_col: str | None = None,
-                 unit: str = "minute", target_rows: int = 2_000_000,
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 unit: str = "minute", target_rows: int = 2_000_000, hot_unit: str = "second") -> DataFrame:
     """Add backward-looking window columns computed per ``key``.
 
     ``order[0]`` must be the event-time column. ``stages`` are applied in
@@ -57,12 +58,16 @@ def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
     if lookback < 0 or target_rows <= lookback:
         raise ValueError("need 0 <= lookback < target_rows")
     ts = order[0]
-    fb = F.date_trunc(unit, F.col(ts))
+    fb, sub = F.date_trunc(unit, F.col(ts)), F.date_trunc(hot_unit, F.col(ts))
 
     # 1-2. bucket statistics and chunking (small tables only): one
     # aggregate exchange, then everything stays partitioned by key
-    stats = df.groupBy(F.col(key).alias("_k"), fb.alias("_fb")).agg(F.count(F.lit(1)).alias("_n"))
-    by_key = Window.partitionBy("_k").orderBy("_fb")
+    stats = df.groupBy(F.col(key).alias("_k"), fb.alias("_fb"), sub.alias("_sub")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.sum("_n").over(Window.partitionBy("_k", "_fb")) > target_rows
+    stats = (stats.withColumn("_hot", hot)
+             .withColumn("_sub", F.when(F.col("_hot"), F.col("_sub")).otherwise(F.col("_fb")))
+             .groupBy("_k", "_fb", "_sub", "_hot").agg(F.sum("_n").alias("_n")))
+    by_key = Window.partitionBy("_k").orderBy("_sub")
     stats = (stats
              .withColumn("_before", F.coalesce(
                  F.sum("_n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)),
@@ -87,15 +92,17 @@ def over_history(df: DataFrame, key: str, order: Sequence[str], lookback: int,
         assignments = F.concat(own, targets)
     else:
         assignments = own
-    assign = (stats.select("_k", "_fb", F.explode(assignments).alias("a"))
-                   .select("_k", "_fb", F.col("a.p").alias("_part"), F.col("a.s").alias("_start"),
-                           F.col("a.o").alias("_own")))
-    assign = broadcast_if_small(assign, max_broadcast_rows)
+    assign = (stats.select("_k", "_fb", "_sub", "_hot", F.explode(assignments).alias("a"))
+                   .select("_k", F.col("_fb").alias("_kfb"), F.col("_sub").alias("_ksub"), "_hot",
+                           F.col("a.p").alias("_part"), F.col("a.s").alias("_start"), F.col("a.o").alias("_own")))
 
     # 4. one shuffle by (key, chunk); carry rows precede own rows in time
-    keyed = df.withColumn("_fb", fb)
-    cond = (keyed[key].eqNullSafe(assign["_k"])) & (keyed["_fb"].eqNullSafe(assign["_fb"]))
-    joined = keyed.join(assign, cond).drop(assign["_fb"]).drop("_k")
+    keyed = df.withColumn("_fb", fb).withColumn("_sub", sub)
+    cond = (F.col(key).eqNullSafe(F.col("_k")) & F.col("_fb").eqNullSafe(F.col("_kfb"))
+            & (~F.col("_hot") | F.col("_sub").eqNullSafe(F.col("_ksub"))))
+    joined = keyed.join(assign, cond, "left").drop("_k", "_kfb", "_ksub", "_hot", "_sub")
+    joined = joined.withColumn("_part", F.coalesce(
+        F.col("_part"), F.raise_error(F.lit("a tick has no history chunk")).cast("bigint")))
     w = Window.partitionBy(key, "_part").orderBy(*order)
     stages = [dict(s) for s in stages] or [{}]
     if seq_col:

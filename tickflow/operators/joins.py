@@ -1,29 +1,14 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` when it has at most ``max_rows`` rows.
-
-    ``df`` must be a small derived table (a dimension or an aggregate);
-    it is persisted so the count and the join evaluate it once. Past the
-    bound no hint is given and AQE picks the strategy from runtime sizes
-    (sort-merge with skew-join splitting when it is large).
-    """
-    cached = df.persist()
-    n = cached.count()
-    return F.broadcast(cached) if n <= max_rows else cached
 
 
 def with_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join a fact table to a fixed dimension (registry, price ranges).
+    """Join a fact table to a dimension (registry, price ranges).
 
-    The dimensions here are literal lists of at most a few hundred rows
-    (``tickflow.schemas``), so their size is bounded by construction and
-    they are always broadcast: the fact side is never shuffled.
+    No hint: the size threshold and AQE decide from the dimension's real
+    size whether it is broadcast.
     """
-    return facts.join(F.broadcast(dim), on, how)
+    return facts.join(dim, on, how)

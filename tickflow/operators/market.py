@@ -2,9 +2,10 @@
 type, latest ticks, totals and the periodic whole-market snapshot.
 
 Every view first reduces to one row per symbol (or per bucket and
-symbol) with a hash aggregate (``max_by`` on the order key), so the
-per-symbol lists and the final small sorts are bounded by the number of
-symbols, never by the number of ticks.
+symbol) with ``max_by`` on the order key, partially on the map side, so
+the per-symbol lists and the final small sorts are bounded by the number
+of symbols, never by the number of ticks. (A ``max_by`` of several
+columns at once is sort-based; see ``latest_per_symbol``.)
 """
 
 from __future__ import annotations
@@ -13,23 +14,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.numeric import rnd
-from tickflow.operators.joins import broadcast_if_small, with_dimension
+from tickflow.operators.joins import with_dimension
 from tickflow.schemas import TICK
 
 ORDER_KEY = ("event_time", "tick_number")
 
 
-def latest_per_symbol(df: DataFrame, order=ORDER_KEY, two_pass: bool = True,
-                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def latest_per_symbol(df: DataFrame, order=ORDER_KEY, two_pass: bool = True) -> DataFrame:
     """Newest tick per symbol.
 
     A ``max_by`` over a struct of columns has a variable-width buffer, so
     Spark aggregates it sort-based. Over a plain scan that would sort
     every input partition; ``two_pass`` avoids it: (1) ``max(event_time)``
-    per symbol — a fixed-width hash aggregate; (2) a broadcast semi join
-    keeps only the rows at that time (ties), and the struct ``max_by``
-    runs on those few rows (the per-symbol table is broadcast after a
-    size check). Over indicator output (``enrich``), rows already come
+    per symbol — a fixed-width hash aggregate; (2) a semi join with that
+    small table (AQE broadcasts it) keeps only the rows at that time
+    (ties), and the struct ``max_by`` runs on those few rows. Both passes
+    are one plan over the same files; nothing is cached. Over indicator output (``enrich``), rows already come
     sorted by symbol from the window stage, so the single sort-based
     aggregate needs no extra sort and ``two_pass=False`` is cheaper than
     evaluating the windows twice.
@@ -40,9 +40,8 @@ def latest_per_symbol(df: DataFrame, order=ORDER_KEY, two_pass: bool = True,
                   .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("t"))
                   .select("symbol", "t.*"))
     ts = order[0]
-    newest = broadcast_if_small(
-        df.groupBy("symbol").agg(F.max(ts).alias("_newest")), max_broadcast_rows)
-    cand = df.join(newest, (df["symbol"] == newest["symbol"]) & (df[ts] == newest["_newest"]), "left_semi")
+    newest = df.groupBy(F.col("symbol").alias("_s")).agg(F.max(ts).alias("_newest"))
+    cand = df.join(newest, (F.col("symbol") == F.col("_s")) & (F.col(ts) == F.col("_newest")), "left_semi")
     others = [c for c in df.columns if c != "symbol"]
     return (cand.groupBy("symbol")
                 .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("t"))
@@ -51,10 +50,12 @@ def latest_per_symbol(df: DataFrame, order=ORDER_KEY, two_pass: bool = True,
 
 def price_board(df: DataFrame, registry: DataFrame) -> DataFrame:
     """Per registry symbol: latest price, type, initial price and
-    PnL % = round((price / initial − 1)·100, 2)."""
+    PnL % = round((price / initial − 1)·100, 2). A symbol without a tick
+    stands at its initial price."""
     latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "price"))
-    reg = registry.select("symbol", "asset_type", "initial_price")
-    b = with_dimension(latest, reg, "symbol", "inner")
+    b = registry.select("symbol", "asset_type", "initial_price").join(
+        latest.select("symbol", F.col("price").alias("_price")), "symbol", "left")
+    b = b.withColumn("price", F.coalesce("_price", "initial_price"))
     return b.select("symbol", "asset_type", "price", "initial_price",
                     rnd((F.col("price") / F.col("initial_price") - F.lit(1.0)) * F.lit(100.0), 2)
                     .alias("pnl_pct"))
@@ -70,29 +71,36 @@ def top_movers(df: DataFrame, k: int = 3, two_pass: bool = False) -> DataFrame:
     w = Window.orderBy(F.col("returns_pct").desc_nulls_last(), F.col("symbol"))
     ranked = latest.select("symbol", "returns_pct", F.row_number().over(w).alias("rank"),
                            F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    gainers = ranked.filter(F.col("rank") <= k).withColumn("side", F.lit("gainer"))
-    losers = ranked.filter(F.col("rank") > F.col("_n") - k).withColumn("side", F.lit("loser"))
-    return gainers.unionByName(losers).select("side", "rank", "symbol",
-                                              F.col("returns_pct").alias("return_pct"))
+    sides = F.array_compact(F.array(F.when(F.col("rank") <= k, F.lit("gainer")),
+                                    F.when(F.col("rank") > F.col("_n") - k, F.lit("loser"))))
+    return ranked.select(F.explode(sides).alias("side"), "rank", "symbol", F.col("returns_pct").alias("return_pct"))
 
 
-def market_summary(df: DataFrame, two_pass: bool = False) -> DataFrame:
-    """Total volume, advancers, mood (BULLISH iff strictly more than half
-    of the symbols rose) and the current anomalies, over each symbol's
-    latest tick. The anomaly list holds at most one entry per symbol."""
+def market_summary(df: DataFrame, two_pass: bool = False, k: int = 3) -> DataFrame:
+    """Time of the newest tick, total volume, advancers, mood (BULLISH iff
+    strictly more than half of the symbols rose), the k best and k worst
+    symbols in one descending order (ties by symbol, NULL returns last)
+    and the current anomalies (symbol, anomaly_type), over each symbol's
+    latest tick. The lists hold at most one entry per symbol."""
     latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct",
                                          "volume", "is_anomaly", "anomaly_type"), two_pass=two_pass)
     n = F.count(F.lit(1))
     up = F.count_if(F.col("returns_pct") > 0)
+    board = F.sort_array(F.collect_list(F.struct(
+        F.col("returns_pct").isNull().alias("unknown"), (-F.col("returns_pct")).alias("less"), "symbol",
+        F.col("returns_pct").alias("return_pct"))))
+    one = lambda x: F.struct(x["symbol"].alias("symbol"), x["return_pct"].alias("return_pct"))
     return latest.agg(
+        F.max("event_time").alias("timestamp"),
+        board.alias("_board"),
         F.sum("volume").alias("total_volume"),
         n.alias("n_symbols"),
         up.alias("n_advancing"),
         F.when(up > n / F.lit(2.0), F.lit("BULLISH")).otherwise(F.lit("BEARISH")).alias("market_mood"),
-        F.array_join(F.sort_array(F.collect_list(
-            F.when(F.col("is_anomaly"), F.concat_ws(":", "symbol", "anomaly_type")))), ",")
+        F.sort_array(F.collect_list(F.when(F.col("is_anomaly"), F.struct("symbol", "anomaly_type"))))
         .alias("anomalies"),
-    )
+    ).withColumn("top_gainers", F.transform(F.slice("_board", F.lit(1), F.lit(k)), one)).withColumn(
+        "top_losers", F.transform(F.slice("_board", F.greatest(F.lit(1), F.size("_board") - k + 1), F.lit(k)), one)).drop("_board")
 
 
 def assets_by_type(df: DataFrame) -> DataFrame:
@@ -116,17 +124,26 @@ def tick_totals(df: DataFrame) -> DataFrame:
 
 
 def market_snapshot(df: DataFrame, every: str = "10 seconds") -> DataFrame:
-    """Whole-market snapshot per time bucket: the latest tick of each
-    symbol in the bucket, as one JSON object symbol → tick (a
-    Kafka-shaped record with key 'snapshot')."""
+    """Whole-market snapshot per time bucket: the latest tick of every
+    symbol as of the bucket's end, as one JSON object symbol → tick (a
+    Kafka-shaped record with key 'snapshot'). A symbol that is silent in
+    a bucket keeps its last known tick, from its first tick to the last
+    bucket of the data; a bucket without any tick has its snapshot too."""
     fields = [f.name for f in TICK.fields if f.name in df.columns or f.name == "timestamp"]
     src = df if "timestamp" in df.columns else df.withColumn(
         "timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
     per = (src.groupBy(F.window("event_time", every).alias("w"), "symbol")
               .agg(F.max_by(F.struct(*[F.col(c) for c in fields]),
                             F.struct(*[F.col(c) for c in ORDER_KEY])).alias("t")))
-    snap = per.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "t"))).alias("m"))
+    # carry each tick forward to the bucket before the symbol's next one
+    step = F.expr(f"INTERVAL {every}")
+    per = per.select(F.col("w.start").alias("b"), "symbol", "t")
+    last = per.agg(F.max("b").alias("_last"))  # one row
+    until = F.lead("b").over(Window.partitionBy("symbol").orderBy("b")) - step
+    per = per.withColumn("_until", until).join(F.broadcast(last)).withColumn(
+        "b", F.explode(F.sequence("b", F.coalesce("_until", "_last"), step)))
+    snap = per.groupBy("b").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "t"))).alias("m"))
     return snap.select(F.lit("snapshot").cast("binary").alias("key"),
                        F.to_json("m").cast("binary").alias("value"),
-                       F.col("w.end").cast("timestamp").alias("timestamp"),
-                       F.col("w.start").alias("snapshot_start"))
+                       (F.col("b") + step).cast("timestamp").alias("timestamp"),
+                       F.col("b").alias("snapshot_start"))

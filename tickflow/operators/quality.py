@@ -84,8 +84,8 @@ def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def unknown_symbols(df: DataFrame, registry: DataFrame) -> DataFrame:
-    """Rows whose symbol is not in the registry (broadcast anti join)."""
-    return df.join(F.broadcast(registry.select("symbol")), "symbol", "left_anti")
+    """Rows whose symbol is not in the registry."""
+    return df.join(registry.select("symbol"), "symbol", "left_anti")
 
 
 def report(checks: DataFrame, as_of: str) -> DataFrame:

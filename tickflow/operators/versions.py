@@ -13,8 +13,9 @@ BAR_KEY = ("symbol", "window_start", "window_end")
 def latest_version(df: DataFrame, keys: Sequence[str] = BAR_KEY, version: str = "batch_id") -> DataFrame:
     """Keep the row with the highest ``version`` per key.
 
-    One hash aggregate with ``max_by`` (map-side partial, then one
-    shuffle by key); no sort of the whole table and no window.
+    One aggregate with ``max_by`` (map-side partial, then one shuffle by
+    key) and no window. The whole row is one struct, so Spark sorts each
+    partition by key for it.
     """
     others = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)

@@ -425,9 +425,9 @@ _LATEST = f"""{TICKS},
 latest AS (SELECT symbol, arg_max(price, row({ORDER})) AS price FROM ticks GROUP BY symbol)"""
 
 ORACLE["price_board"] = with_cte(_LATEST, f"""
-SELECT l.symbol, reg.reg_asset_type AS asset_type, l.price, reg.initial_price,
-       {R('(l.price / reg.initial_price - 1.0::DOUBLE) * 100.0::DOUBLE', 2)} AS pnl_pct
-FROM latest l JOIN {registry_values()} ON l.symbol = reg.symbol""")
+SELECT reg.symbol, reg.reg_asset_type AS asset_type, coalesce(l.price, reg.initial_price) AS price, reg.initial_price,
+       {R('(coalesce(l.price, reg.initial_price) / reg.initial_price - 1.0::DOUBLE) * 100.0::DOUBLE', 2)} AS pnl_pct
+FROM {registry_values()} LEFT JOIN latest l ON l.symbol = reg.symbol""")
 
 _MOVERS = f"""{_RET_ONLY},
 r2 AS (SELECT *, {R(f'({RET}) * 100.0::DOUBLE', 4)} AS returns_pct FROM r1),
@@ -442,17 +442,22 @@ SELECT 'loser' AS side, rank, symbol, returns_pct AS return_pct FROM ranked WHER
 
 ORACLE["market_summary"] = with_cte(f"""{ENRICHED},
 latest AS (
-  SELECT symbol, arg_max(returns_pct, row({ORDER})) AS returns_pct, arg_max(volume, row({ORDER})) AS volume,
-         arg_max(is_anomaly, row({ORDER})) AS is_anomaly, arg_max(anomaly_type, row({ORDER})) AS anomaly_type
-  FROM enriched GROUP BY symbol)""", """
-SELECT CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS n_symbols,
+  SELECT symbol, max(event_time) AS event_time,
+         arg_max_null(returns_pct, row({ORDER})) AS returns_pct, arg_max_null(volume, row({ORDER})) AS volume,
+         arg_max_null(is_anomaly, row({ORDER})) AS is_anomaly, arg_max_null(anomaly_type, row({ORDER})) AS anomaly_type
+  FROM enriched GROUP BY symbol),
+ranked AS (SELECT *, row_number() OVER (ORDER BY returns_pct DESC NULLS LAST, symbol) AS rank, count(*) OVER () AS n FROM latest)""", """
+SELECT max(event_time) AS timestamp, CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS n_symbols,
        count(*) FILTER (WHERE returns_pct > 0) AS n_advancing,
        CASE WHEN count(*) FILTER (WHERE returns_pct > 0) > count(*) / 2.0 THEN 'BULLISH' ELSE 'BEARISH' END
          AS market_mood,
+       string_agg(symbol, ',' ORDER BY rank) FILTER (WHERE rank <= 3) AS top_gainers,
+       string_agg(symbol, ',' ORDER BY rank) FILTER (WHERE rank > n - 3) AS top_losers,
+       max(returns_pct) FILTER (WHERE rank = 1) AS best_return, max(returns_pct) FILTER (WHERE rank = n) AS worst_return,
        COALESCE(string_agg(CASE WHEN is_anomaly THEN symbol || ':' || anomaly_type END, ','
                            ORDER BY CASE WHEN is_anomaly THEN symbol || ':' || anomaly_type END), '')
          AS anomalies
-FROM latest""")
+FROM ranked""")
 
 ORACLE["assets_by_type"] = with_cte(TICKS, """
 SELECT asset_type, count(DISTINCT symbol) AS n_symbols,
@@ -469,11 +474,16 @@ FROM enriched GROUP BY symbol""")
 
 ORACLE["market_snapshot"] = with_cte(f"""{ENRICHED},
 per AS (
-  SELECT time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS snapshot_end, symbol,
-         arg_max(tick_number, row({ORDER})) AS tick_number, arg_max(price, row({ORDER})) AS price,
-         arg_max(returns_pct, row({ORDER})) AS returns_pct, arg_max(volume, row({ORDER})) AS volume
-  FROM enriched GROUP BY 1, 2)""", """
-SELECT snapshot_end, symbol AS entry_symbol, tick_number, price, returns_pct, volume FROM per""")
+  SELECT time_bucket(INTERVAL '1 hour', event_time) AS b, symbol,
+         arg_max_null(tick_number, row({ORDER})) AS tick_number, arg_max_null(price, row({ORDER})) AS price,
+         arg_max_null(returns_pct, row({ORDER})) AS returns_pct, arg_max_null(volume, row({ORDER})) AS volume
+  FROM enriched GROUP BY 1, 2),
+buckets AS (SELECT unnest(generate_series(min(b), max(b), INTERVAL '1 hour')) AS b FROM per),
+filled AS (
+  SELECT buckets.b, per.* EXCLUDE (b), row_number() OVER (PARTITION BY buckets.b, symbol ORDER BY per.b DESC) AS k
+  FROM buckets JOIN per ON per.b <= buckets.b)""", """
+SELECT b + INTERVAL '1 hour' AS snapshot_end, symbol AS entry_symbol, tick_number, price, returns_pct, volume
+FROM filled WHERE k = 1""")
 
 
 # --- streaming: same answers as the batch forms ----------------------------------
@@ -529,3 +539,10 @@ SELECT time_bucket(INTERVAL '3600 seconds', window_start) AS hour_start, symbol,
 FROM b30
 GROUP BY 1, 2, 3
 HAVING time_bucket(INTERVAL '3600 seconds', window_start) + INTERVAL '3600 seconds' <= (SELECT w FROM wm)""")
+
+ORACLE["dq_not_null_violated"] = with_cte(STORED, """
+SELECT 'symbol' AS column_name, count(*) FILTER (WHERE symbol = 'error') AS null_count,
+       count(*) FILTER (WHERE symbol = 'error') = 0 AS passed FROM stored
+UNION ALL SELECT 'window_start', count(*) FILTER (WHERE window_start IS NULL), count(*) FILTER (WHERE window_start IS NULL) = 0 FROM stored
+UNION ALL SELECT 'close', count(*) FILTER (WHERE close IS NULL), count(*) FILTER (WHERE close IS NULL) = 0 FROM stored
+UNION ALL SELECT 'volume', count(*) FILTER (WHERE volume IS NULL), count(*) FILTER (WHERE volume IS NULL) = 0 FROM stored""")

@@ -257,6 +257,13 @@ def q_dq_not_null(spark, sf_dir):
     return Q.not_null(stored_bars(spark, sf_dir), ["symbol", "window_start", "close", "volume"])
 
 
+@register("dq_not_null_violated")
+def q_dq_not_null_violated(spark, sf_dir):
+    """The same checks over a store in which one symbol was lost: the check must fail."""
+    bars = sliding_bars(spark, sf_dir).withColumn("symbol", F.nullif("symbol", F.lit("error")))
+    return Q.not_null(stamp(bars), ["symbol", "window_start", "close", "volume"])
+
+
 @register("dq_unknown_symbols")
 def q_dq_unknown_symbols(spark, sf_dir):
     unknown = Q.unknown_symbols(ticks(spark, sf_dir), S.registry(spark, "markets"))
@@ -282,7 +289,14 @@ def q_top_movers(spark, sf_dir):
 
 @register("market_summary")
 def q_market_summary(spark, sf_dir):
-    return M.market_summary(enriched(spark, sf_dir))
+    """The lists as text, since the compare works on flat columns."""
+    names = lambda c: F.array_join(F.transform(c, lambda x: x["symbol"]), ",")
+    s = M.market_summary(enriched(spark, sf_dir))
+    return (s.withColumn("best_return", F.col("top_gainers")[0]["return_pct"])
+            .withColumn("worst_return", F.element_at("top_losers", -1)["return_pct"])
+            .withColumn("top_gainers", names("top_gainers")).withColumn("top_losers", names("top_losers"))
+            .withColumn("anomalies", F.array_join(F.transform(
+                "anomalies", lambda x: F.concat_ws(":", x["symbol"], x["anomaly_type"])), ",")))
 
 
 @register("assets_by_type")

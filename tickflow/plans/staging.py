@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.numeric import ratio, rnd
 
-STAGING_COLUMNS = [
-    "window_start", "window_end", "symbol", "asset_type", "open", "high", "low", "close",
-    "volume", "vwap", "realized_vol", "avg_spread", "tick_count", "alert_count",
-    "avg_return_pct", "stddev_return_pct", "alert_rate_pct", "created_at",
-]
-
 
 def staging(bars: DataFrame) -> DataFrame:
     """close > 0, volume > 0, high ≥ low; prices/VWAP at 4 decimals,
@@ -36,9 +30,7 @@ def staging(bars: DataFrame) -> DataFrame:
 
 def stamp(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """created_at = ``as_of`` (the store's insert time) or, for replays,
-    the bar's window_end; rows violating NOT NULL columns are dropped."""
+    the bar's window_end. Rows that violate NOT NULL columns are kept, for
+    the quality check to count them."""
     created = F.lit(as_of).cast("timestamp_ntz") if as_of else F.col("window_end")
-    out = df.withColumn("created_at", created)
-    for c in ("window_start", "window_end", "symbol"):
-        out = out.filter(F.col(c).isNotNull())
-    return out
+    return df.withColumn("created_at", created)

@@ -17,15 +17,15 @@ CORRUPT = "_corrupt_record"
 
 
 def topic_options(topic: str, servers: str, starting: str = "latest",
-                  max_per_trigger: int | None = 5_000_000,
+                  max_per_trigger: int | None = None,
                   min_partitions: int | None = None) -> dict[str, str]:
     """Options of the tick subscription: latest offsets, tolerate loss.
 
     ``max_per_trigger`` caps the records of one micro-batch
-    (``maxOffsetsPerTrigger``), which bounds every per-batch group the
-    stream builds (the keyed-state indicators see at most one batch of
-    one symbol per call); ``min_partitions`` splits large topic
-    partitions across more read tasks."""
+    (``maxOffsetsPerTrigger``); there is no cap unless the caller sets
+    one, since a capped reader that falls behind the topic's retention
+    loses records. ``min_partitions`` splits large topic partitions
+    across more read tasks."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -26,7 +26,7 @@ def time_bounds(df: DataFrame, col: str = "event_time"):
 def slice_filters(df: DataFrame, n_slices: int, col: str = "event_time"):
     lo, hi = time_bounds(df, col)
     if lo is None:
-        return []
+        return [F.lit(True)]
     step = (hi - lo) / n_slices
     edges = [lo + step * i for i in range(n_slices)] + [None]
     out = []
@@ -34,7 +34,8 @@ def slice_filters(df: DataFrame, n_slices: int, col: str = "event_time"):
         c = F.col(col) >= F.lit(edges[i]) if i else F.lit(True)
         if edges[i + 1] is not None:
             c = c & (F.col(col) < F.lit(edges[i + 1]))
-        out.append(c)
+        # rows without a time go into the first slice, for the quarantine to see
+        out.append(c if i else c | F.col(col).isNull())
     return out
 
 
