@@ -12,10 +12,11 @@ from tickflow.operators.bars import bars, round_bars
 from tickflow.plans import registered as R
 from tickflow.schemas import TOPIC_RECORD
 from tickflow.session import scratch_path
-from tickflow.sinks import sink_bars, write_batch
+from tickflow.sinks import sink_bars, topic_records, topic_write_options, write_batch
 from tickflow.sources.topic import decode_snapshot, decode_ticks, split_bad, topic_options
 from tickflow.streaming import runner as SR
 from tickflow.streaming.replay import write_replay
+from tickflow.streaming.runs import run_replay
 
 from conftest import SF001
 
@@ -104,7 +105,7 @@ def test_restart_from_checkpoint_no_double_rows(spark):
     root = scratch_path(spark, "restart-test")
     topic, out, ck = (os.path.join(root, n) for n in ("topic", "out", "ck"))
     t = R.enriched(spark, SF001)
-    dirs = write_replay(t, os.path.join(root, "all"), n_slices=4)
+    dirs, _ = write_replay(t, os.path.join(root, "all"), n_slices=4)
 
     def run():
         raw = SR.file_topic(spark, os.path.join(topic, "*"))
@@ -115,9 +116,9 @@ def test_restart_from_checkpoint_no_double_rows(spark):
     for i in (0, 1):
         spark.read.parquet(dirs[i]).write.parquet(os.path.join(topic, f"s{i}"))
     run()
-    n_batches = len([d for d in os.listdir(out) if d.startswith("batch_id=")])
+    n_batches = len([d for d in os.listdir(out.removeprefix("file:")) if d.startswith("batch_id=")])
     run()  # nothing new: no new batch
-    assert len([d for d in os.listdir(out) if d.startswith("batch_id=")]) == n_batches
+    assert len([d for d in os.listdir(out.removeprefix("file:")) if d.startswith("batch_id=")]) == n_batches
     for i in (2, 3):
         spark.read.parquet(dirs[i]).write.parquet(os.path.join(topic, f"s{i}"))
     run()
@@ -159,3 +160,31 @@ def test_stream_job_two_queries(spark):
     alerts = spark.read.parquet(t.alerts).count()
     assert alerts == R.alerted(spark, SF001).filter("price_alert IS NOT NULL").count()
     assert spark.read.parquet(t.bars).count() > 0
+
+
+def test_replay_keeps_ticks_without_a_time(spark):
+    t = R.ticks(spark, SF001).withColumn("event_time", F.when(F.col("tick_number") % 10 > 0, F.col("event_time")))
+    dirs, files = write_replay(t, os.path.join(scratch_path(spark, "null-times"), "topic"), n_slices=3)
+    assert files == 1 and sum(spark.read.parquet(d).count() for d in dirs) == t.count()
+    assert spark.read.parquet(dirs[0]).filter("timestamp IS NULL").count() == t.filter("event_time IS NULL").count() > 0
+    _, two = write_replay(t, os.path.join(scratch_path(spark, "two-files"), "topic"), n_slices=3, files_per_slice=2)
+    assert two == 2
+
+
+def test_topic_output_options_and_records(spark):
+    assert topic_write_options("b:1", "alerts") == {"kafka.bootstrap.servers": "b:1", "topic": "alerts"}
+    assert topic_write_options("b:1") == {"kafka.bootstrap.servers": "b:1"}
+    df = spark.createDataFrame([("k", "v", "t", 1)], "key string, value string, topic string, other int")
+    assert topic_records(df).dtypes == [("key", "binary"), ("value", "binary"), ("topic", "string")]
+    assert topic_records(df.drop("topic")).columns == ["key", "value"]
+
+
+def test_late_ticks_are_counted_alike_for_any_number_of_files(spark):
+    from tickflow.streaming.runs import late_windows
+    counts = set()
+    for files in (1, 3):
+        folders = []
+        _, progress = run_replay(spark, R.enriched(spark, SF001), lambda raw: SR.stream_bars(SR.parse(raw), "1 hour", "30 minutes", "5 minutes"),
+                                 mode="update", order=[2, 3, 0, 1], name="late-files", files_per_slice=files, batch_dirs=folders)
+        counts.add(late_windows(spark, folders, progress, "1 hour", "30 minutes"))
+    assert counts == {1040}

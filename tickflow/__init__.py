@@ -7,7 +7,7 @@ hidden session. Main entry points:
 """
 
 from tickflow.functions import (  # noqa: F401
-    alert_severity, price_alert, price_precision, price_round, ratio, risk_level, rnd, since,
+    alert_severity, price_alert, price_round, ratio, risk_level, rnd, since,
 )
 from tickflow.operators.alerts import alert_messages, route, with_alerts  # noqa: F401
 from tickflow.operators.bars import bars, bollinger, ohlc_valid, round_bars  # noqa: F401

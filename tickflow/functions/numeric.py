@@ -69,9 +69,3 @@ def price_decimals(asset_type="asset_type") -> Column:
         cond = _col(asset_type) == F.lit(kind)
         out = F.when(cond, F.lit(n)) if out is None else out.when(cond, F.lit(n))
     return out.otherwise(F.lit(DEFAULT_PRICE_DECIMALS))
-
-
-def price_precision(df, cols=("price",)):
-    """Add ``price_decimals`` and round the given price columns by it."""
-    out = df.withColumn("price_decimals", price_decimals())
-    return out.withColumns({c: price_round(c) for c in cols})

@@ -19,6 +19,7 @@ from tickflow.operators.versions import latest_version
 from tickflow.plans.marts import daily_anomalies, hourly_kpis
 from tickflow.plans.staging import staging
 from tickflow.schemas import BAR_NOT_NULL
+from tickflow.session import scratch_path
 from tickflow.sinks import materialize, read_reports, write_report
 from tickflow.sources.topic import read_bars
 
@@ -36,8 +37,11 @@ def hourly_job(spark: SparkSession, as_of: str, paths: JobPaths, ranges: DataFra
                raise_on_failure: bool = True) -> DataFrame:
     """Run one hour; returns the stored report rows."""
     stored = read_bars(spark, paths.bars)
-    if "batch_id" in stored.columns:
-        stored = latest_version(stored).drop("batch_id")
+    # the newest version of each bar, computed once for checks, marts and tests
+    newest = scratch_path(spark, "newest-bars")
+    versions = stored.withColumn("batch_id", F.coalesce("batch_id", F.lit(0)))  # a store without versions
+    latest_version(versions).drop("batch_id").write.parquet(newest)
+    stored = spark.read.parquet(newest)
     checks = run_checks(stored, ranges, as_of, lookback, coverage_lookback, min_symbols, n_symbols, ohlc)
     rep = report(checks, as_of)
     write_report(rep, paths.reports, as_of[:13].replace("-", "").replace(" ", ""))

@@ -27,13 +27,6 @@ def _select(stg: DataFrame, overlapping: bool) -> DataFrame:
     return stg if overlapping else non_overlapping(stg)
 
 
-HOURLY_COLUMNS = [
-    "hour_bucket", "symbol", "asset_type", "hour_open", "hour_high", "hour_low", "hour_close",
-    "hour_return_pct", "hour_volume", "avg_vwap", "avg_volatility", "total_alerts",
-    "total_ticks", "avg_alert_rate_pct", "risk_level",
-]
-
-
 def _hourly_finish(df: DataFrame) -> DataFrame:
     return df.select(
         "hour_bucket", "symbol", "asset_type", "hour_open", "hour_high", "hour_low", "hour_close",
@@ -96,13 +89,6 @@ def hourly_kpis_window_form(stg: DataFrame, overlapping: bool = True) -> DataFra
     return _hourly_finish(rows).distinct()
 
 
-DAILY_COLUMNS = [
-    "trading_day", "symbol", "asset_type", "total_windows", "total_ticks", "total_anomalies",
-    "avg_anomaly_rate_pct", "day_high", "day_low", "day_avg_vwap", "avg_daily_vol",
-    "max_return_stddev",
-]
-
-
 def daily_anomalies(stg: DataFrame, overlapping: bool = False, ordered: bool = True) -> DataFrame:
     """Per (day, symbol, asset_type): windows, ticks, anomalies, mean
     anomaly rate, day high/low, mean VWAP and volatility, max stddev;

@@ -546,3 +546,11 @@ SELECT 'symbol' AS column_name, count(*) FILTER (WHERE symbol = 'error') AS null
 UNION ALL SELECT 'window_start', count(*) FILTER (WHERE window_start IS NULL), count(*) FILTER (WHERE window_start IS NULL) = 0 FROM stored
 UNION ALL SELECT 'close', count(*) FILTER (WHERE close IS NULL), count(*) FILTER (WHERE close IS NULL) = 0 FROM stored
 UNION ALL SELECT 'volume', count(*) FILTER (WHERE volume IS NULL), count(*) FILTER (WHERE volume IS NULL) = 0 FROM stored""")
+
+# the replay's edges: the span in quarters, to the microsecond; the second half is in time, the first comes late
+_EDGE = "(SELECT min(event_time) + 2 * to_microseconds(CAST(round_even((epoch_us(max(event_time)) - epoch_us(min(event_time))) / 4.0, 0) AS BIGINT)) FROM alerted)"
+ORACLE["stream_late_data"] = with_cte(f"""{ALERTED},
+kept AS (SELECT * FROM alerted WHERE event_time >= {_EDGE}),
+b AS ({bars_sql('kept', BAR_SIZE, BAR_SLIDE)})""", f"""
+SELECT *, (SELECT {seconds(BAR_SIZE) // seconds(BAR_SLIDE)} * count(*) FROM alerted WHERE event_time < {_EDGE}) AS dropped_window_rows FROM b""")
+ORACLE["bars_sliding_1min"] = with_cte(ALERTED, bars_sql("alerted", "1 minute", "30 seconds"))

@@ -128,6 +128,12 @@ def q_bars_sliding(spark, sf_dir):
     return B.round_bars(sliding_bars(spark, sf_dir))
 
 
+@register("bars_sliding_1min")
+def q_bars_sliding_1min(spark, sf_dir):
+    """The reference's own window: one minute, sliding by half a minute."""
+    return B.round_bars(B.bars(A.with_alerts(enriched(spark, sf_dir)), "1 minute", "30 seconds"))
+
+
 @register("bars_sliding_tick_ohlc")
 def q_bars_sliding_tick_ohlc(spark, sf_dir):
     return B.round_bars(sliding_bars(spark, sf_dir, source="tick_ohlc"))
@@ -328,7 +334,7 @@ def q_market_snapshot(spark, sf_dir):
 
 from tickflow.streaming import runner as SR  # noqa: E402
 from tickflow.streaming import stateful as ST  # noqa: E402
-from tickflow.streaming.runs import run_replay  # noqa: E402
+from tickflow.streaming.runs import late_windows, run_replay  # noqa: E402
 from tickflow.sinks import sink_bars  # noqa: E402
 
 
@@ -342,7 +348,7 @@ def q_stream_bars(spark, sf_dir):
     stored, _ = run_replay(
         spark, enriched(spark, sf_dir),
         lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
-        mode="update", sink=lambda out: sink_bars(out), name="stream-bars", files_per_slice=2)
+        mode="update", sink=lambda out: sink_bars(out), name="stream-bars")
     return B.round_bars(latest_version(stored.drop("created_at"))).drop("batch_id")
 
 
@@ -386,15 +392,15 @@ def q_stream_dedup(spark, sf_dir):
 @register("stream_late_data")
 def q_stream_late_data(spark, sf_dir):
     """Slices replayed out of order (the second half first): ticks behind
-    the watermark are dropped from the bars; the count of dropped window
-    assignments is reported next to each stored bar batch."""
+    the watermark are dropped from the bars; the count of their window
+    assignments is reported next to each bar."""
+    folders: list[str] = []
     stored, progress = run_replay(
         spark, enriched(spark, sf_dir),
         lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
-        mode="update", sink=lambda out: sink_bars(out), order=[2, 3, 0, 1], name="stream-late")
-    dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
-                  for p in progress)
-    bars_ = latest_version(stored.drop("created_at"))
+        mode="update", sink=lambda out: sink_bars(out), order=[2, 3, 0, 1], name="stream-late", batch_dirs=folders)
+    dropped = late_windows(spark, folders, progress, BAR_SIZE, BAR_SLIDE)
+    bars_ = latest_version(stored.drop("created_at")).drop("batch_id")
     return B.round_bars(bars_).withColumn("dropped_window_rows", F.lit(dropped).cast("bigint"))
 
 

@@ -62,11 +62,16 @@ BAR_ROUNDING = {
 ALERT_FIELDS = ["symbol", "asset_type", "timestamp", "price", "returns_pct",
                 "volume", "price_alert", "alert_severity"]
 
-CHECK = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("passed", T.BooleanType()),
-    T.StructField("detail", T.StringType()),
-])
+# Stored bar version: what the bar store declares (window and symbol NOT NULL, checked by the quality job).
+BAR = T.StructType(
+    [T.StructField("window_start", T.TimestampNTZType(), False), T.StructField("window_end", T.TimestampNTZType(), False),
+     T.StructField("symbol", T.StringType(), False), T.StructField("asset_type", T.StringType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close")]
+    + [T.StructField("volume", T.LongType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("vwap", "avg_realized_vol", "avg_spread")]
+    + [T.StructField(c, T.LongType()) for c in ("tick_count", "alert_count")]
+    + [T.StructField(c, T.DoubleType()) for c in ("avg_return_pct", "stddev_return_pct")]
+    + [T.StructField("created_at", T.TimestampNTZType()), T.StructField("batch_id", T.LongType())])
 
 REPORT = T.StructType([
     T.StructField("report_hour", T.TimestampNTZType(), False),

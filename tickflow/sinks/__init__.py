@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.schemas import REPORT
+
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -56,25 +58,36 @@ def sink_bars(target: str, jdbc: dict[str, str] | None = None) -> BatchFn:
     return fn
 
 
-def sink_alerts(target: str) -> BatchFn:
-    """Alert (key, value) records per batch; on a cluster the alert query
-    writes to the alert topic with ``format("kafka")`` instead."""
+def topic_write_options(servers: str, topic: str | None = None) -> dict[str, str]:
+    """Options of a write to a topic. Without ``topic`` every row names
+    its own in a ``topic`` column (``operators.alerts.route``)."""
+    opts = {"kafka.bootstrap.servers": servers}
+    if topic is not None:
+        opts["topic"] = topic
+    return opts
+
+
+def topic_records(df: DataFrame) -> DataFrame:
+    """The columns that a topic takes: key, value and, if there, topic."""
+    return df.select(*[F.col(c).cast("string" if c == "topic" else "binary").alias(c)
+                       for c in ("key", "value", "topic") if c in df.columns])
+
+
+def sink_topic(servers: str, topic: str | None = None, fmt: str = "kafka") -> BatchFn:
+    """Records to a topic (at least once; needs the Kafka connector)."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, batch_id, target)
+        topic_records(df).write.format(fmt).options(**topic_write_options(servers, topic)).save()
     return fn
 
 
-def sink_many(*sinks: BatchFn, persist: bool = True) -> BatchFn:
-    """Several outputs from one micro-batch: the batch is persisted once
-    and every sink reads the cached rows (the source is read once)."""
+def sink_alerts(target: str | None = None, servers: str | None = None, topic: str | None = None) -> BatchFn:
+    """Alert (key, value) records: to a topic when ``servers`` is given,
+    else as one folder per batch under ``target``."""
+    if servers:
+        return sink_topic(servers, topic)
+
     def fn(df: DataFrame, batch_id: int) -> None:
-        d = df.persist() if persist else df
-        try:
-            for s in sinks:
-                s(d, batch_id)
-        finally:
-            if persist:
-                d.unpersist()
+        write_batch(df, batch_id, target)
     return fn
 
 
@@ -116,4 +129,4 @@ def write_report(df: DataFrame, target: str, hour_key: str) -> None:
 
 
 def read_reports(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("hour")
+    return spark.read.schema(REPORT).parquet(target).select(*REPORT.names)

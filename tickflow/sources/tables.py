@@ -62,17 +62,21 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str, n_symbols: int = 50) -> Dat
     )
 
 
+def _fixed(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A small fixed table as a local relation, whose size the planner knows."""
+    value = lambda x: f"{x!r}D" if isinstance(x, float) else "'" + str(x).replace("'", "\\'") + "'"
+    body = ", ".join("(" + ", ".join(map(value, r)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
+
+
 def registry(spark: SparkSession, universe: str = "events") -> DataFrame:
     """Asset registry: symbol, initial_price, asset_type, currency,
     spread_pct. A fixed, tiny dimension (5 or 10 rows)."""
     rows = EVENT_ASSETS if universe == "events" else MARKET_ASSETS
     data = [(s, float(p), t, c, SPREAD_PCT.get(t, 0.0002)) for s, p, t, c in rows]
-    return spark.createDataFrame(
-        data, "symbol string, initial_price double, asset_type string, "
-              "currency string, spread_pct double")
+    return _fixed(spark, data, "symbol, initial_price, asset_type, currency, spread_pct")
 
 
 def price_ranges(spark: SparkSession, universe: str = "events") -> DataFrame:
     rows = EVENT_PRICE_RANGES if universe == "events" else MARKET_PRICE_RANGES
-    return spark.createDataFrame([(s, float(lo), float(hi)) for s, lo, hi in rows],
-                                 "symbol string, lo double, hi double")
+    return _fixed(spark, [(s, float(lo), float(hi)) for s, lo, hi in rows], "symbol, lo, hi")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.schemas import BAR_FIELDS, TICK, TICK_FIELDS
+from tickflow.schemas import BAR, TICK, TICK_FIELDS
 
 CORRUPT = "_corrupt_record"
 
@@ -124,9 +124,9 @@ def decode_snapshot(df: DataFrame, schema: T.StructType = TICK) -> DataFrame:
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    """Stored bars (all versions); see ``latest_version`` for the newest."""
-    return spark.read.parquet(path)
+    """Stored bars (all versions) by the declared schema; see ``latest_version`` for the newest."""
+    return spark.read.schema(BAR).parquet(path)
 
 
 __all__ = ["read_topic", "decode_ticks", "split_bad", "encode_ticks",
-           "decode_snapshot", "read_bars", "topic_options", "BAR_FIELDS"]
+           "decode_snapshot", "read_bars", "topic_options"]

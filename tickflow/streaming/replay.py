@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from tickflow.sources.topic import encode_ticks
 
+#: Rows of one replay file, about: what one task writes and one read task gets.
+FILE_ROWS = 250_000
+
 
 def time_bounds(df: DataFrame, col: str = "event_time"):
     row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
@@ -39,19 +42,22 @@ def slice_filters(df: DataFrame, n_slices: int, col: str = "event_time"):
     return out
 
 
-def write_replay(ticks: DataFrame, path: str, n_slices: int = 4, files_per_slice: int = 1,
-                 resend: bool = False, encoded: bool = False) -> list[str]:
+def write_replay(ticks: DataFrame, path: str, n_slices: int = 4, files_per_slice: int | None = None,
+                 resend: bool = False, encoded: bool = False) -> tuple[list[str], int]:
     """Write ``ticks`` as Kafka-shaped parquet slices under ``path``.
 
     ``resend=True`` puts every tick twice into its slice (an
-    at-least-once producer retrying its sends). Returns the slice
-    folders in write order.
+    at-least-once producer retrying its sends). Slices are written as
+    ``files_per_slice`` files, by default as many as their rows need.
+    Returns the slice folders in write order and the files of each.
     """
     src = ticks if encoded else encode_ticks(ticks)
     # encode once (lineage cut next to the replay folder), slice by filters
     staged = path.rstrip("/") + "-encoded"
     src.write.mode("overwrite").parquet(staged)
     src = src.sparkSession.read.parquet(staged)
+    if files_per_slice is None:
+        files_per_slice = max(1, -(-src.count() * (2 if resend else 1) // (n_slices * FILE_ROWS)))
     written = []
     for i, cond in enumerate(slice_filters(src, n_slices, "timestamp")):
         part = src.filter(cond)
@@ -60,4 +66,4 @@ def write_replay(ticks: DataFrame, path: str, n_slices: int = 4, files_per_slice
         d = os.path.join(path, f"s{i:05d}")
         part.repartition(files_per_slice).write.mode("overwrite").parquet(d)
         written.append(d)
-    return written
+    return written, files_per_slice

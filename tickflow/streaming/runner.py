@@ -84,8 +84,8 @@ def targets_under(root: str) -> StreamTargets:
 
 def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
                size: str = "1 minute", slide: str | None = "30 seconds", watermark: str = "5 minutes",
-               triggers: tuple[dict, dict] | None = None, jdbc: dict[str, str] | None = None
-               ) -> list[StreamingQuery]:
+               triggers: tuple[dict, dict] | None = None, jdbc: dict[str, str] | None = None,
+               alert_topic: tuple[str, str] | None = None) -> list[StreamingQuery]:
     """Two queries over one tick stream.
 
     * stateless: raw ticks, alerts and quarantined rows share one
@@ -93,6 +93,9 @@ def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
       (the batch is cached, then written to the three sinks);
     * stateful: watermarked bars in update mode (each changed bar is
       re-emitted; the bar store keeps versions by batch_id).
+
+    ``alert_topic`` (servers, topic) sends the alerts to a topic instead
+    of files.
     """
     trig_stateless, trig_bars = triggers or ({"processingTime": "3 seconds"},
                                              {"processingTime": "15 seconds"})
@@ -103,7 +106,7 @@ def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
     decoded = decoded.observe("tick_totals", F.count(F.lit(1)).alias("sent_ticks"),
                               F.count_if(F.col("is_anomaly")).alias("sent_anomalies"))
 
-    raw_sink, alert_sink, bad_sink = sink_raw(t.raw), sink_alerts(t.alerts), sink_raw(t.quarantine)
+    raw_sink, alert_sink, bad_sink = sink_raw(t.raw), sink_alerts(t.alerts, *(alert_topic or ())), sink_raw(t.quarantine)
 
     def stateless(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch is decoded once, cached, and fans out to three sinks

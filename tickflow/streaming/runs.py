@@ -13,35 +13,40 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickflow.session import scratch_path
 from tickflow.sinks import BatchFn, write_batch
 from tickflow.streaming.replay import write_replay
-from tickflow.streaming.runner import file_topic, start
+from tickflow.streaming.runner import file_topic, parse, start
 
 
 def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame], DataFrame],
                mode: str = "append", n_slices: int = 4, resend: bool = False,
                sink: Callable[[str], BatchFn] | None = None, order: list[int] | None = None,
-               name: str = "replay", files_per_slice: int = 1) -> tuple[DataFrame, list]:
+               name: str = "replay", files_per_slice: int | None = None,
+               batch_dirs: list[str] | None = None) -> tuple[DataFrame, list]:
     """Replay ``ticks`` → ``build(raw_stream)`` → stored output.
 
     ``order`` replays slices in another order (late data); returns the
     stored rows and the query's progress reports. Each slice is written
-    as ``files_per_slice`` files and each micro-batch reads exactly one
-    slice (``maxFilesPerTrigger``); raise it for large replays so no
-    single task writes a whole slice (every slice needs at least that
-    many rows). On a cluster the source is the live topic instead.
+    as ``files_per_slice`` files (by default as its rows need) and each
+    micro-batch reads exactly one slice (``maxFilesPerTrigger``);
+    ``batch_dirs``, if given, receives their folders in that order. On a
+    cluster the source is the live topic instead.
     """
     root = scratch_path(spark, name)
     topic = os.path.join(root, "topic")
-    dirs = write_replay(ticks, topic, n_slices=n_slices, resend=resend, files_per_slice=files_per_slice)
+    dirs, files_per_slice = write_replay(ticks, topic, n_slices=n_slices, resend=resend, files_per_slice=files_per_slice)
     if order is not None:
         # re-write the slices in the requested order into a second topic
         topic = os.path.join(root, "topic-reordered")
         for i, j in enumerate(order):
             (spark.read.parquet(dirs[j]).repartition(files_per_slice)
              .write.mode("overwrite").parquet(os.path.join(topic, f"s{i:05d}")))
+        dirs = [os.path.join(topic, f"s{i:05d}") for i in range(len(order))]
+    if batch_dirs is not None:
+        batch_dirs += dirs
     out = os.path.join(root, "out")
     raw = file_topic(spark, os.path.join(topic, "*"), files_per_trigger=files_per_slice)
     fn = sink(out) if sink else (lambda df, i: write_batch(df, i, out))
@@ -55,3 +60,22 @@ def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame
     except Exception:  # noqa: BLE001 - no batch wrote anything
         stored = None
     return stored, progress
+
+
+def late_windows(spark: SparkSession, batch_dirs: list[str], progress: list, size: str, slide: str | None) -> int:
+    """Window assignments of ticks that came behind the watermark.
+
+    Counted on the ticks themselves, batch by batch, against the watermark
+    that the batch before had (the one Spark drops late rows by), so the
+    number does not depend on partial aggregation or file layout.
+    """
+    marks = {p["batchId"]: p["eventTime"].get("watermark") for p in progress if "eventTime" in p}
+    read = [p["batchId"] for p in sorted(progress, key=lambda p: p["batchId"]) if p["numInputRows"] > 0]
+    late = 0
+    for batch, folder in zip(read, batch_dirs, strict=True):
+        mark = marks.get(batch - 1)
+        if mark:
+            w = F.window("event_time", size, slide) if slide else F.window("event_time", size)
+            windows = parse(spark.read.parquet(folder)).filter(F.col("price").isNotNull()).select(w.alias("w"))
+            late += windows.filter(F.col("w.end") <= F.lit(mark).cast("timestamp")).count()
+    return late
