@@ -47,6 +47,13 @@ def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame
         dirs = [os.path.join(topic, f"s{i:05d}") for i in range(len(order))]
     if batch_dirs is not None:
         batch_dirs += dirs
+    return run_topic(spark, topic, files_per_slice, build, mode, sink, name)
+
+
+def run_topic(spark: SparkSession, topic: str, files_per_slice: int, build: Callable[[DataFrame], DataFrame],
+              mode: str = "append", sink: Callable[[str], BatchFn] | None = None, name: str = "replay") -> tuple[DataFrame, list]:
+    """Stream the files of a replayed ``topic`` through ``build`` to completion."""
+    root = scratch_path(spark, name)
     out = os.path.join(root, "out")
     raw = file_topic(spark, os.path.join(topic, "*"), files_per_trigger=files_per_slice)
     fn = sink(out) if sink else (lambda df, i: write_batch(df, i, out))
