@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tickflow.operators.versions import latest_version
@@ -188,3 +189,38 @@ def test_late_ticks_are_counted_alike_for_any_number_of_files(spark):
                                  mode="update", order=[2, 3, 0, 1], name="late-files", files_per_slice=files, batch_dirs=folders)
         counts.add(late_windows(spark, folders, progress, "1 hour", "30 minutes"))
     assert counts == {1040}
+
+
+def test_rows_left_out_by_a_standalone_stream_are_counted(spark):
+    t = R.ticks(spark, SF001).withColumn("event_time", F.when(F.col("tick_number") % 10 > 0, F.col("event_time")))
+    stored, progress = run_replay(spark, t, lambda raw: SR.stream_raw(SR.parse(raw)), name="left-out")
+    seen = [p["observedMetrics"]["quarantine"] for p in progress if p["numInputRows"] > 0]
+    assert sum(m["records"] for m in seen) == t.count()
+    assert sum(m["left_out"] for m in seen) == t.count() - stored.count() == t.filter("event_time IS NULL").count()
+
+
+def test_idle_symbols_are_forgotten_only_on_request():
+    from tickflow.streaming.stateful import _indicators
+
+    class State:
+        def __init__(self, out):
+            self.hasTimedOut, self.exists, self.calls = out, False, []
+
+        def update(self, value):
+            self.exists = True
+            self.calls.append(("update", value[3]))
+
+        def remove(self):
+            self.calls.append(("remove",))
+
+        def setTimeoutDuration(self, ms):
+            self.calls.append(("timeout", ms))
+
+    rows = pd.DataFrame({"symbol": ["a"] * 2, "asset_type": ["x"] * 2, "currency": ["USD"] * 2, "tick_number": [1, 2],
+                         "event_time": pd.to_datetime(["2024-01-01", "2024-01-02"]), "price": [1.0, 2.0], "volume": [1, 1]})
+    for idle, want in ((None, [("update", 2)]), (500, [("update", 2), ("timeout", 500)])):
+        state = State(False)
+        out = pd.concat(_indicators(("a",), iter([rows]), state, idle))
+        assert state.calls == want and out["tick_seq"].tolist() == [1, 2] and out["hi"].tolist() == [1.0, 2.0]
+    gone = State(True)
+    assert list(_indicators(("a",), iter([]), gone, 500)) == [] and gone.calls == [("remove",)]

@@ -493,10 +493,7 @@ ORACLE["stream_alerts"] = ORACLE["alert_messages"]
 ORACLE["stream_raw_ticks"] = with_cte(ALERTED, """
 SELECT symbol, tick_number, event_time, price, volume, returns_pct, price_alert, alert_severity
 FROM alerted""")
-ORACLE["stream_indicators"] = with_cte(ENRICHED, """
-SELECT symbol, event_time, tick_number, price, returns_pct, sma5, sma20, realized_vol, signal,
-       false AS late
-FROM enriched""")
+ORACLE["stream_indicators"] = with_cte(ENRICHED, f"SELECT {ENRICHED_COLS}, false AS late FROM enriched")
 ORACLE["stream_dedup"] = with_cte(TICKS, """
 SELECT symbol, asset_type, event_time, tick_number, price, volume FROM ticks""")
 

@@ -374,10 +374,8 @@ def q_stream_raw_ticks(spark, sf_dir):
 def q_stream_indicators(spark, sf_dir):
     """Indicators computed on the stream from plain ticks (keyed state)."""
     stored, _ = run_replay(spark, ticks(spark, sf_dir),
-                           lambda raw: ST.stream_indicators(SR.parse(raw)), name="stream-ind")
-    return _ntz(stored, "event_time").select(
-        "symbol", "event_time", "tick_number", "price", "returns_pct", "sma5", "sma20",
-        "realized_vol", "signal", "late")
+                           lambda raw: ST.stream_indicators(SR.parse(raw), S.registry(spark)), name="stream-ind")
+    return _ntz(stored, "event_time").select(*I.ENRICHED_COLUMNS, "late")
 
 
 @register("stream_dedup")

@@ -69,6 +69,13 @@ def decode_ticks(df: DataFrame, schema: T.StructType = TICK, keep_corrupt: bool
     return out
 
 
+def is_bad() -> F.Column:
+    """The quarantine's predicate over ``decode_ticks(..., keep_corrupt=True)``."""
+    return (F.col("_null_value") | F.col(CORRUPT).isNotNull()
+            | F.col("symbol").isNull() | F.col("event_time").isNull()
+            | F.col("price").isNull())
+
+
 def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) from ``decode_ticks(..., keep_corrupt=True)``.
 
@@ -76,9 +83,7 @@ def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     usable event time or no price. Both halves are plain filters over the
     same projection, so a sink can write them in one pass.
     """
-    bad_cond = (F.col("_null_value") | F.col(CORRUPT).isNotNull()
-                | F.col("symbol").isNull() | F.col("event_time").isNull()
-                | F.col("price").isNull())
+    bad_cond = is_bad()
     reason = (F.when(F.col("_null_value"), F.lit("null_value"))
               .when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
               .when(F.col("symbol").isNull(), F.lit("no_symbol"))

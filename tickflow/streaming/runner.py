@@ -19,7 +19,7 @@ from tickflow.operators.alerts import alert_messages, with_alerts
 from tickflow.operators.bars import bars
 from tickflow.schemas import TOPIC_RECORD
 from tickflow.sinks import BatchFn, sink_alerts, sink_bars, sink_raw
-from tickflow.sources.topic import decode_ticks, split_bad
+from tickflow.sources.topic import decode_ticks, is_bad, split_bad
 
 
 def file_topic(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -29,8 +29,15 @@ def file_topic(spark: SparkSession, path: str, files_per_trigger: int = 1) -> Da
 
 
 def parse(raw: DataFrame, with_bad: bool = False):
-    """decode → (good ticks with alerts[, bad rows])."""
-    good, bad = split_bad(decode_ticks(raw, keep_corrupt=True))
+    """decode → (good ticks with alerts[, bad rows]).
+
+    Without ``with_bad`` the quarantined rows are left out; how many goes
+    into the query's progress (observedMetrics["quarantine"])."""
+    decoded = decode_ticks(raw, keep_corrupt=True)
+    if not with_bad:
+        decoded = decoded.observe("quarantine", F.count(F.lit(1)).alias("records"),
+                                  F.count_if(is_bad()).alias("left_out"))
+    good, bad = split_bad(decoded)
     good = with_alerts(good.withColumn("processing_time", F.current_timestamp()))
     return (good, bad) if with_bad else good
 
