@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 from tickflow.llm.packing import cut, default_tokenizer, encode, pack, pack_documents, sweep
 
 SCHEMA = "doc_id long, text string, piece int, grp string"
+WHOLE = Tokenizer.from_file(default_tokenizer())
 
 
 def best_fit(lengths, size):
@@ -49,6 +50,15 @@ def test_word_by_word_ids_equal_those_of_the_whole_text():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in tok.encode_batch(odd, add_special_tokens=False)]
 
 
+@given(st.text(st.sampled_from(list("aAbZ'sTtreLL09 .,!?<|>_-$\t\n\x0b\x1c\x85\xa0éÉ\u0301\u0307Iİßſ的K½²")), max_size=40), st.integers(0, 40),
+       st.sampled_from(["", "<|endoftext|>", "<|ENDOFTEXT|>"]))
+@settings(max_examples=500, deadline=None)
+def test_ids_of_any_text_equal_those_of_the_whole_text(text, at, special):
+    text = text[:at] + special + text[at:]
+    got = encode(default_tokenizer(), [text.encode()])[0]
+    assert np.frombuffer(got, "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("groups", [1, 3])
 def test_pack_is_a_gapless_round_trip(spark, groups, monkeypatch):
     import tickflow.llm.packing as packing

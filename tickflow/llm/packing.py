@@ -18,6 +18,7 @@ length that holds much of the table is split over SALTS rank ranges.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -76,25 +77,39 @@ def _encode_words(tokenizer, special: dict[str, int], words: list[str]) -> Itera
             at = end + 4
 
 
+#: ASCII punctuation at the end of a word, which the vocabulary takes apart from the letter or digit before it.
+_TAIL = re.compile(rb"(?<=[a-z0-9])[^a-z0-9\s\x80-\xff]+(?=\s|\Z)")
+
+
+def _split(text: bytes) -> list[bytes]:
+    """Words whose ids are those of the text: lower case, punctuation after a word apart. Near special tokens nothing is changed."""
+    if b"<|" in text:
+        return text.split()
+    return _TAIL.sub(rb" \g<0>", text.lower()).split()
+
+
 def encode(path: str, docs: list[bytes]) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit integers.
 
-    The vocabulary's pre-tokenizer never joins across white space, so the
-    ids of a text are those of its blank-separated words in order, and a
-    word's ids are looked up once per worker rather than once per use.
+    The vocabulary lower-cases, and its pre-tokenizer never joins across
+    white space nor letters with punctuation. So the ids of a text are
+    those of its words in order, and a word's ids are looked up once per
+    worker rather than once per use.
     """
     tokenizer, special, known = _tokenizer(path)
-    words = [d.split() for d in docs]
+    words = [_split(d) for d in docs]
     if len(known) > WORD_CACHE:
         known.clear()
-    new: set[bytes] = set()
-    for w in words:
-        new.update(set(w).difference(known))
-    todo = list(new)
+    found = [list(map(known.get, w)) for w in words]
+    gaps = [[k for k, ids in enumerate(f) if ids is None] for f in found]
+    todo = list({w[k] for w, g in zip(words, gaps, strict=True) for k in g})
     for k in range(0, len(todo), CALL):
         part = todo[k:k + CALL]
         known.update(zip(part, _encode_words(tokenizer, special, [w.decode("utf-8", "replace") for w in part]), strict=True))
-    return [b"".join(map(known.__getitem__, w)) for w in words]
+    for w, f, g in zip(words, found, gaps, strict=True):
+        for k in g:
+            f[k] = known[w[k]]
+    return [b"".join(f) for f in found]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
