@@ -36,6 +36,7 @@ def rows_of(seed):
 def test_equals_brute_force(spark, monkeypatch, seed, block, coordinate):
     monkeypatch.setattr(topk, "BLOCK", block)
     monkeypatch.setattr(topk, "QUERY_BLOCK", max(4, block // 8))
+    monkeypatch.setattr(topk, "STRIPE", 3)
     monkeypatch.setattr(topk, "COORDINATE", coordinate)
     rows = rows_of(seed)
     got = top_k(spark.createDataFrame(rows, SCHEMA).repartition(3), every=20, k=7)

@@ -7,9 +7,10 @@ every query block meets every vector block of its dimension in a cell of a
 grid, which one task handles.
 
 A first pass over one block per dimension gives each query a score that
-its k-th best cannot fall below. With it a cell has, per query, a local
-cosine threshold t = score / (|q| longest of the block): above 1 the block
-is out; from COORDINATE on, vectors are pruned by coordinates (a vector
+its k-th best cannot fall below. Cells whose block is too short for all
+queries of the cell are left out before any vector is moved. In the others
+a query has a local cosine threshold t = score / (|q| longest of the
+block): above 1 the block is out for it; from COORDINATE on, vectors are pruned by coordinates (a vector
 with cosine t to q must lie in a known interval on q's strongest
 coordinates); below, by length (|p| >= score / |q|). What is left is
 verified by exact integer products.
@@ -27,7 +28,11 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import batch, map_arrow, materialise
 
 SCALE = 64
-BLOCK, QUERY_BLOCK = 4096, 1024
+#: Most vectors and queries of a block; a smaller table has blocks of a SPLIT-th of it, but of LEAST vectors.
+BLOCK, QUERY_BLOCK = 16384, 4096
+SPLIT, LEAST = 16, 1024
+#: Queries whose products with a block are in memory at once.
+STRIPE = 256
 BUCKETS = 32
 #: Local cosine threshold from which coordinates prune better than lengths, and how many coordinates are used.
 COORDINATE, FOCUS = 0.6, 3
@@ -55,9 +60,9 @@ def _packed(key: tuple, table: pa.Table) -> pa.Table:
     norms = table.column("norm2").to_numpy()
     order = np.argsort(-norms, kind="stable")
     vecs = table.column("vec").to_pylist()
-    return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()], "ids": [table.column("vec_id").to_numpy()[order].tobytes()],
-                     "vecs": [b"".join(vecs[k] for k in order)]},
-                    schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("vecs", pa.binary())]))
+    return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()], "longest": [float(np.sqrt(norms.max()))],
+                     "ids": [table.column("vec_id").to_numpy()[order].tobytes()], "vecs": [b"".join(vecs[k] for k in order)]},
+                    schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("longest", pa.float64()), ("ids", pa.binary()), ("vecs", pa.binary())]))
 
 
 def _products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -92,9 +97,11 @@ def _search(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, ids: np.ndarray
         with np.errstate(divide="ignore", invalid="ignore"):
             need = np.where(least[by_length] > 0, least[by_length] / q_len[by_length] * (1 - 1e-9), 0.0)
         upto = len(p_len) - np.searchsorted(p_len[::-1], need, "left")
-        scores = _products(q[by_length], p[:upto.max()])
-        for row, n, i in zip(scores, upto, by_length, strict=True):
-            yield i, *_best(row[:n], ids[:n], q_ids[i], k)
+        for at in range(0, len(by_length), STRIPE):
+            part, n_part = by_length[at:at + STRIPE], upto[at:at + STRIPE]
+            scores = _products(q[part], p[:n_part.max()])
+            for row, n, i in zip(scores, n_part, part, strict=True):
+                yield i, *_best(row[:n], ids[:n], q_ids[i], k)
     by_coordinate = np.flatnonzero((t >= COORDINATE) & (t <= 1))
     if len(by_coordinate):
         unit = np.ascontiguousarray((p / np.maximum(p_len, 1e-300)[:, None]).T)
@@ -119,8 +126,11 @@ def _read(dim: int, ids: bytes, vecs: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _floor_scores(k: int):
-    """Per query block the k-th best score of each query in the first block: what the k-th best overall cannot fall below."""
-    schema = pa.schema([("dim", pa.int32()), ("qblock", pa.int64()), ("least", pa.binary())])
+    """Per query block the k-th best score of each query in the first block: what the k-th best overall cannot fall below.
+
+    ``need`` is the length below which a vector can serve none of the queries.
+    """
+    schema = pa.schema([("dim", pa.int32()), ("qblock", pa.int64()), ("least", pa.binary()), ("need", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,7 +141,9 @@ def _floor_scores(k: int):
                 for i, scores, _ in _search(q_ids, q, least.copy(), ids, p, k):
                     if len(scores) == k:
                         least[i] = float(scores[-1])
-                yield batch(schema, [[r["dim"]], [r["qblock"]], [least.tobytes()]])
+                q_len = np.maximum(np.sqrt((q.astype(np.float64)**2).sum(1)), 1e-300)
+                need = float(np.where(least > 0, least / q_len, 0.0).min()) * (1 - 1e-9)
+                yield batch(schema, [[r["dim"]], [r["qblock"]], [least.tobytes()], [need]])
 
     return run
 
@@ -144,7 +156,7 @@ def _cell_scores(k: int):
             for r in b.to_pylist():
                 q_ids, q = _read(r["dim"], r["q_ids"], r["q_vecs"])
                 ids, p = _read(r["dim"], r["ids"], r["vecs"])
-                least = np.frombuffer(r["least"], np.float64) if r["least"] else np.full(len(q), float(_NONE))
+                least = np.frombuffer(r["least"], np.float64)
                 got: list[tuple[np.ndarray, ...]] = []
                 for i, scores, found in _search(q_ids, q, least, ids, p, k):
                     good = scores >= least[i]
@@ -168,24 +180,27 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = materialise(map_arrow(rows, _scaled, "vec_id long, dim int, norm2 double, vec binary"), "topk-vectors")
     total = rows.count()
+    block, query_block = (min(most, max(min(LEAST, most), total // SPLIT)) for most in (BLOCK, QUERY_BLOCK))
     cuts = rows.agg(F.percentile_approx("norm2", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))[::-max(1, BUCKETS * BLOCK // max(1, total))]  # no more buckets than blocks
+    cuts = sorted(set(cuts))[::-max(1, BUCKETS * block // max(1, total))]  # no more buckets than blocks
     bucket = sum((F.when(F.col("norm2") < c, 1).otherwise(0) for c in cuts), F.lit(0))
     rows = rows.withColumn("bucket", bucket.cast("int"))
-    sizes = rows.groupBy("dim", "bucket").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK)).alias("salts"))
+    sizes = rows.groupBy("dim", "bucket").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block)).alias("salts"))
     dealt = rows.join(F.broadcast(sizes) if len(cuts) else sizes, ["dim", "bucket"]).withColumn(
         "block", F.col("bucket") * F.lit(1 << 40) + F.pmod(F.xxhash64("vec_id"), "salts"))
-    packed = "dim int, block long, ids binary, vecs binary"
+    packed = "dim int, block long, longest double, ids binary, vecs binary"
     blocks = materialise(dealt.groupBy("dim", "block").applyInArrow(_packed, packed), "topk-blocks")
     asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "vec", "norm2")).alias("s")).select("vec_id", "s.*")
-    parts = max(1, -(-asked.count() // QUERY_BLOCK))
+    parts = max(1, -(-asked.count() // query_block))
     queries = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("long")).groupBy("dim", "block").applyInArrow(_packed, packed)
     queries = materialise(queries.select("dim", F.col("block").alias("qblock"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")), "topk-queries")
     first = blocks.groupBy("dim").agg(F.min("block").alias("block"))
     grid = queries.select("dim", "qblock").join(blocks.select("dim", "block"), "dim")
     seeds = queries.join(grid.join(first, ["dim", "block"]), ["dim", "qblock"]).join(blocks, ["dim", "block"])
-    least = materialise(map_arrow(seeds, _floor_scores(k), "dim int, qblock long, least binary"), "topk-least")
-    cells = queries.join(least, ["dim", "qblock"], "left").join(grid, ["dim", "qblock"]).join(blocks, ["dim", "block"]).repartition("dim", "qblock", "block")
+    least = materialise(map_arrow(seeds, _floor_scores(k), "dim int, qblock long, least binary, need double"), "topk-least")
+    grid = grid.join(blocks.select("dim", "block", "longest"), ["dim", "block"]).join(least.select("dim", "qblock", "need"), ["dim", "qblock"])
+    grid = grid.filter("longest >= need").select("dim", "qblock", "block")
+    cells = queries.join(least, ["dim", "qblock"]).join(grid, ["dim", "qblock"]).join(blocks, ["dim", "block"]).repartition("dim", "qblock", "block")
     found = map_arrow(cells, _cell_scores(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
