@@ -31,8 +31,13 @@ def columns(df: DataFrame, **wanted: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in wanted.items()])
 
 
+#: Rows that a function of ``map_arrow`` gets at a time.
+ROWS = 512
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    """``mapInArrow`` with batches of at most ROWS rows, so that what ``fn`` makes of a batch stays small."""
+    return df.mapInArrow(lambda batches: fn(b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)), schema)
 
 
 def batch(schema: pa.Schema, cols: list) -> pa.RecordBatch:

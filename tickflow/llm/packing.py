@@ -34,8 +34,8 @@ from tickflow.llm.common import batch, columns, map_arrow, materialise, texts
 SEQUENCE = 2048
 GROUP_ROWS = 1_000_000
 SALTS = 16
-#: Words whose ids a worker keeps at hand, about 250 MB; when it has more it starts anew.
-WORD_CACHE = 1_200_000
+#: Words whose ids a worker keeps at hand, about 100 MB; when it has more it starts anew.
+WORD_CACHE = 500_000
 #: Words that go to the tokenizer in one call.
 CALL = 1024
 
