@@ -7,11 +7,18 @@ can reach Dice t with a template of b bigrams only if
 b t / (2 - t) <= a <= b (2 - t) / t; those bounds choose the templates that
 a segment is compared to, and most segments meet none. Everything happens
 within a row: nothing is exploded or shuffled, so no key can be hot.
+
+``notices`` finds what shares its line with other text: it weighs every span
+of words against every template, by the Dice of their sets of bigrams.
+Trimming a span to the first and last bigram that it shares with the template
+never lowers its Dice, so only those spans are made.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,6 +132,72 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
                       F.size("hits").alias("n_matches"))
 
 
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _greedy(marks: Column, clash: Callable[[Column, Column], Column]) -> Column:
+    """``marks``, smallest first, without those that clash with one kept before."""
+    return F.aggregate(F.array_sort(marks), F.slice(marks, 1, 0),
+                       lambda kept, m: F.when(F.exists(kept, lambda k: clash(k, m)), kept).otherwise(F.concat(kept, F.array(m))))
+
+
+def _spans(grams: Column, at: Column, name: str, text: str, dice: float) -> Column:
+    """Best span from each start that matches one template: (less, name, at, n), n bigrams from the one at ``at``.
+
+    ``at`` are the places of all bigrams that any template has.
+    """
+    own = _bigrams(text)
+    of = sorted(set(own))
+    # 2k / (a + b) >= t with a >= k; as long as the largest segment that ``scan`` compares
+    least, reach = max(1, math.ceil(len(of) * dice / (2 - dice) - 1e-9)), max(1, int(len(own) * (2 - dice) / dice + 1e-9))
+
+    def best(p: Column) -> Column:
+        rest = F.slice(grams, p + 1, F.lit(reach))
+        # a span that ends at the first place of the m-th distinct bigram has m of them
+        return _let(F.array_distinct(rest), lambda d: _let(
+            F.array_min(F.transform(F.array_compact(F.transform(d, lambda g, m: F.when(g.isin(of), m + 1))),
+                                    lambda m, k: F.struct((-((k + 1) * 2.0 / (m + len(of)))).alias("less"), m.alias("m")))),
+            lambda x: F.struct(x["less"].alias("less"), F.lit(name).alias("name"), p.alias("at"),
+                               F.array_position(rest, F.get(d, x["m"] - 1)).cast("int").alias("n"))))
+
+    def from_hits(hits: Column) -> Column:
+        starts = F.transform(hits, lambda p, j: F.when(F.get(hits, j + (least - 1)) - p < reach, p))
+        return F.filter(F.transform(F.array_compact(starts), best), lambda m: m["less"] <= -dice)
+
+    return _let(F.filter(at, lambda i: F.get(grams, i).isin(of)), from_hits)
+
+
+def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, dice: float = DICE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, license, dice, segment, n_matches.
+
+    A notice is a span of words, anywhere in a line or across lines, whose
+    Dice with a template is at least ``dice``: twice the distinct bigrams in
+    common, by the distinct bigrams of both. A span has at most (2 - dice) /
+    dice times the bigrams of the template, repeats counted. Of spans that
+    share a word the better one counts, ties going to the licence that sorts
+    first, then to the earlier and the shorter one. n_matches counts the
+    notices left, ``license``, ``dice`` and ``segment`` (its normalised
+    words) are those of the best, null, 0 and null without any. Repeated
+    rows are scanned alike; an empty table gives no rows.
+    """
+    known = sorted((name, text) for name, text in templates if _bigrams(text))
+    every = sorted({g for _, text in known for g in _bigrams(text)})
+    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ", -1)
+    out = columns(docs, doc_id="long", text="string").select("doc_id", words.alias("w"))
+    w = F.col("w")
+    out = out.withColumn("grams", F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
+    out = out.withColumn("at", F.array_compact(F.transform("grams", lambda g, i: F.when(g.isin(every), i))))
+    marks = F.concat(*[_spans(F.col("grams"), F.col("at"), name, text, dice) for name, text in known])
+    out = out.select("doc_id", "w", F.when(F.size("at") > 0, marks).alias("marks"))
+    shares = lambda a, b: (a["at"] <= b["at"] + b["n"]) & (b["at"] <= a["at"] + a["n"])  # noqa: E731  a span of n bigrams has n + 1 words
+    out = out.select("doc_id", "w", F.when(F.size("marks") > 0, _greedy(F.col("marks"), shares)).alias("kept"))
+    top = F.get("kept", F.lit(0))
+    return out.select("doc_id", top["name"].alias("license"), F.coalesce(-top["less"], F.lit(0.0)).alias("dice"),
+                      F.array_join(F.slice("w", top["at"] + 1, top["n"] + 1), " ").alias("segment"), F.coalesce(F.size("kept"), F.lit(0)).alias("n_matches"))
+
+
 def scan_sql() -> str:
     """DuckDB SQL for ``scan`` with its defaults, over ``documents``."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"

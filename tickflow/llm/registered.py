@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.langid import identify
-from tickflow.llm.licenses import scan, scan_sql
+from tickflow.llm.licenses import notices, scan, scan_sql
 from tickflow.llm.main_text import main_text
 from tickflow.llm.mixing import mixture
 from tickflow.llm.ngram_join import similar_groups
@@ -54,6 +54,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices(_table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_extraction": op2_html_extraction,
     "op3_license_scan": op3_license_scan,
+    "op3_license_notices": op3_license_notices,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
     "op6_exact_dedup": op6_exact_dedup,
