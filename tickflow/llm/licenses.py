@@ -144,7 +144,7 @@ def _greedy(marks: Column, clash: Callable[[Column, Column], Column]) -> Column:
 
 
 def _spans(grams: Column, at: Column, name: str, text: str, dice: float) -> Column:
-    """Best span from each start that matches one template: (less, name, at, n), n bigrams from the one at ``at``.
+    """Best span from each start that matches one template: (less, more, name, at), -more bigrams from the one at ``at``.
 
     ``at`` are the places of all bigrams that any template has.
     """
@@ -159,8 +159,8 @@ def _spans(grams: Column, at: Column, name: str, text: str, dice: float) -> Colu
         return _let(F.array_distinct(rest), lambda d: _let(
             F.array_min(F.transform(F.array_compact(F.transform(d, lambda g, m: F.when(g.isin(of), m + 1))),
                                     lambda m, k: F.struct((-((k + 1) * 2.0 / (m + len(of)))).alias("less"), m.alias("m")))),
-            lambda x: F.struct(x["less"].alias("less"), F.lit(name).alias("name"), p.alias("at"),
-                               F.array_position(rest, F.get(d, x["m"] - 1)).cast("int").alias("n"))))
+            lambda x: F.struct(x["less"].alias("less"), (-F.array_position(rest, F.get(d, x["m"] - 1)).cast("int")).alias("more"),
+                               F.lit(name).alias("name"), p.alias("at"))))
 
     def from_hits(hits: Column) -> Column:
         starts = F.transform(hits, lambda p, j: F.when(F.get(hits, j + (least - 1)) - p < reach, p))
@@ -176,8 +176,8 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     Dice with a template is at least ``dice``: twice the distinct bigrams in
     common, by the distinct bigrams of both. A span has at most (2 - dice) /
     dice times the bigrams of the template, repeats counted. Of spans that
-    share a word the better one counts, ties going to the licence that sorts
-    first, then to the earlier and the shorter one. n_matches counts the
+    share a word the better one counts, ties going to the longer one, then to
+    the licence that sorts first, then to the earlier one. n_matches counts the
     notices left, ``license``, ``dice`` and ``segment`` (its normalised
     words) are those of the best, null, 0 and null without any. Repeated
     rows are scanned alike; an empty table gives no rows.
@@ -191,11 +191,11 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     out = out.withColumn("at", F.array_compact(F.transform("grams", lambda g, i: F.when(g.isin(every), i))))
     marks = F.concat(*[_spans(F.col("grams"), F.col("at"), name, text, dice) for name, text in known])
     out = out.select("doc_id", "w", F.when(F.size("at") > 0, marks).alias("marks"))
-    shares = lambda a, b: (a["at"] <= b["at"] + b["n"]) & (b["at"] <= a["at"] + a["n"])  # noqa: E731  a span of n bigrams has n + 1 words
+    shares = lambda a, b: (a["at"] <= b["at"] - b["more"]) & (b["at"] <= a["at"] - a["more"])  # noqa: E731  a span of n bigrams has n + 1 words
     out = out.select("doc_id", "w", F.when(F.size("marks") > 0, _greedy(F.col("marks"), shares)).alias("kept"))
     top = F.get("kept", F.lit(0))
     return out.select("doc_id", top["name"].alias("license"), F.coalesce(-top["less"], F.lit(0.0)).alias("dice"),
-                      F.array_join(F.slice("w", top["at"] + 1, top["n"] + 1), " ").alias("segment"), F.coalesce(F.size("kept"), F.lit(0)).alias("n_matches"))
+                      F.array_join(F.slice("w", top["at"] + 1, 1 - top["more"]), " ").alias("segment"), F.coalesce(F.size("kept"), F.lit(0)).alias("n_matches"))
 
 
 def scan_sql() -> str:
