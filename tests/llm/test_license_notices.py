@@ -80,6 +80,19 @@ def test_dice_of_sets(spark, text, name, dice):
     assert found(spark, [text])[0][:2] == (name, 1.0)
 
 
+def test_every_licence_of_a_document(spark):
+    texts = ["Released under the MIT License.\nThis work is licensed under the GNU General Public License, version 3.", "Released under the MIT License. " + APACHE + " Released under the MIT License.",
+             TEMPLATES[6][1], "none", None] + MORE
+    got = {r.doc_id: r for r in notices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [[x.license for x in got[k].licenses] for k in range(5)] == [["GPL-3.0", "MIT"], ["Apache-2.0", "MIT"], ["GPL-3.0"], [], []]
+    for k, t in enumerate(texts):
+        first = {}
+        for x in brute(t):
+            first.setdefault(x[0], x)
+        assert [(x.license, round(x.dice, 9), x.segment) for x in got[k].licenses] == list(first.values())
+        assert (got[k].license, got[k].segment) == ((got[k].licenses[0].license, got[k].licenses[0].segment) if first else (None, None))
+
+
 def test_plan_is_one_narrow_pass_without_python(spark):
     plan = notices(spark.createDataFrame([(1, "a", 1, "")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow|Pandas|Join", plan)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import columns
 
 DICE = 0.8
+LICENSES = "array<struct<license: string, dice: double, segment: string>>"
 
 # Short notices and standard headers of common licences.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -170,7 +171,7 @@ def _spans(grams: Column, at: Column, name: str, text: str, dice: float) -> Colu
 
 
 def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, dice: float = DICE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, license, dice, segment, n_matches.
+    """One row per row of ``docs``: doc_id, license, dice, segment, n_matches, licenses.
 
     A notice is a span of words, anywhere in a line or across lines, whose
     Dice with a template is at least ``dice``: twice the distinct bigrams in
@@ -179,8 +180,10 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     share a word the better one counts, ties going to the longer one, then to
     the licence that sorts first, then to the earlier one. n_matches counts the
     notices left, ``license``, ``dice`` and ``segment`` (its normalised
-    words) are those of the best, null, 0 and null without any. Repeated
-    rows are scanned alike; an empty table gives no rows.
+    words) are those of the best, null, 0 and null without any. ``licenses``
+    has (license, dice, segment) of the best notice of every licence, best
+    first, and is empty without any. Repeated rows are scanned alike; an
+    empty table gives no rows.
     """
     known = sorted((name, text) for name, text in templates if _bigrams(text))
     every = sorted({g for _, text in known for g in _bigrams(text)})
@@ -193,9 +196,12 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     out = out.select("doc_id", "w", F.when(F.size("at") > 0, marks).alias("marks"))
     shares = lambda a, b: (a["at"] <= b["at"] - b["more"]) & (b["at"] <= a["at"] - a["more"])  # noqa: E731  a span of n bigrams has n + 1 words
     out = out.select("doc_id", "w", F.when(F.size("marks") > 0, _greedy(F.col("marks"), shares)).alias("kept"))
-    top = F.get("kept", F.lit(0))
-    return out.select("doc_id", top["name"].alias("license"), F.coalesce(-top["less"], F.lit(0.0)).alias("dice"),
-                      F.array_join(F.slice("w", top["at"] + 1, 1 - top["more"]), " ").alias("segment"), F.coalesce(F.size("kept"), F.lit(0)).alias("n_matches"))
+    each = F.transform(_greedy(F.col("kept"), lambda a, b: a["name"] == b["name"]), lambda m: F.struct(
+        m["name"].alias("license"), (-m["less"]).alias("dice"), F.array_join(F.slice("w", m["at"] + 1, 1 - m["more"]), " ").alias("segment")))
+    out = out.select("doc_id", F.coalesce(F.size("kept"), F.lit(0)).alias("n_matches"), F.coalesce(each, F.array().cast(LICENSES)).alias("licenses"))
+    top = F.get("licenses", F.lit(0))
+    return out.select("doc_id", top["license"].alias("license"), F.coalesce(top["dice"], F.lit(0.0)).alias("dice"), top["segment"].alias("segment"),
+                      "n_matches", "licenses")
 
 
 def scan_sql() -> str:
