@@ -94,6 +94,29 @@ def test_equals_brute_force(spark, repetition, entropy, block):
         assert max(most.values()) <= math.ceil(repetition) and set(most) == {r[0] for r in rows} - {5, None}
 
 
+def test_every_pass_has_its_own_block_order(spark, monkeypatch):
+    docs = spark.createDataFrame(rows_of(4), SCHEMA)
+    plain = mixture(docs, 3.5, None, 50).collect()
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    got = mixture(docs, 3.5, None, 50).collect()
+    assert Counter(plain) == Counter(got)
+    key = lambda s: "-" if s is None else "+" + s
+    hashed = spark.createDataFrame({(key(r.source), r.block, e) for r in got for e in range(6)}, "src string, block long, epoch int")
+    hashes = {tuple(r[:3]): r[3] for r in hashed.select("*", F.xxhash64("src", "block", "epoch", F.lit(mixing.SEED))).collect()}
+    orders = defaultdict(dict)
+    for r in got:
+        assert orders[r.source, r.epoch].setdefault(r.block, r.position) == r.position
+    for (source, epoch), at in orders.items():
+        assert len(set(at.values())) == len(at)
+        assert sorted(at, key=at.get) == sorted(at, key=lambda b: (hashes[key(source), b, epoch], b))  # noqa: B023
+        first = orders[source, 0]
+        if epoch and (source, epoch + 1) not in orders:  # the partial pass has the first blocks of its order, as far as they have rows
+            by_hash = sorted(first, key=lambda b: (hashes[key(source), b, epoch], b))
+            assert len(at) == len(first) or set(at) <= set(by_hash[:len(at) + 1])
+    many = [(s, e) for s, e in orders if e and len(orders[s, e]) > 5]
+    assert many and all(sorted(orders[k], key=orders[k].get) != sorted(orders[k], key=orders[k[0], 0].get) for k in many)
+
+
 def test_mix_keeps_columns_and_agrees_with_mixture(spark, monkeypatch):
     docs = spark.createDataFrame(rows_of(9), SCHEMA)
     want = Counter(r.doc_id for r in mixture(docs, block_tokens=100).collect())

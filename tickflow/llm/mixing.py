@@ -11,7 +11,8 @@ BLOCK_TOKENS by hash; a pass takes the blocks of its source in an order of
 its own, and the last one stops inside a block, at a document. Which
 documents a pass takes thus depends on (source, block) and a hash alone:
 running sums go over blocks, not documents, and over the documents of one
-block per source.
+block per source. ``mixture`` tells the place of every block in its pass;
+``mix`` returns the selection alone, its rows in no order.
 """
 
 from __future__ import annotations
@@ -131,8 +132,17 @@ def draw(rows: DataFrame, sources: DataFrame, cuts: DataFrame, n_rows: int) -> D
     return dealt.withColumn("epoch", F.explode(F.sequence(F.lit(0), times - 1)))
 
 
+def block_order(sources: DataFrame) -> DataFrame:
+    """src, block, epoch, position: the place of every block in every pass of its source, the partial one included."""
+    passes = sources.select("src", "passes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
+        "src", "block", F.explode(F.sequence(F.lit(0), F.col("passes"))).alias("epoch"))
+    # the hash that plan() orders the last pass by
+    order = Window.partitionBy("src", "epoch").orderBy(F.xxhash64("src", "block", "epoch", F.lit(SEED)), "block")
+    return passes.withColumn("position", F.row_number().over(order).cast("long") - 1)
+
+
 def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row per use of a document: doc_id, source, epoch, block, n_tokens, weight.
+    """One row per use of a document: doc_id, source, epoch, block, n_tokens, weight, position.
 
     Every row of ``docs`` is used at least once; sources below their target
     weight are repeated, the last pass ending within the budget. Rows of
@@ -140,7 +150,8 @@ def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: flo
     together. Null text has no tokens and is used in whole passes and
     wherever the budget stands. Rows without a source form one source. An
     empty table gives no rows. Ties in a pass are broken by hash, equal
-    hashes go together.
+    hashes go together. ``position`` is the place of the block among the
+    blocks of its source in that pass, from 0.
     """
     rows = columns(docs, doc_id="long", source="string", text="string").select(
         "doc_id", "source", _source(F.col("source")).alias("src"), F.xxhash64("doc_id").alias("key"), n_tokens(F.col("text")).alias("tokens"))
@@ -150,7 +161,9 @@ def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: flo
     out = draw(rows, sources, cuts, n)
     out = out.join(F.broadcast(weights.drop("rows")), "src") if weights.count() <= BROADCAST_ROWS else \
         join_by_share(out, weights.withColumnRenamed("rows", "n"), ["src"], F.col("n"), n)
-    return out.select("doc_id", "source", "epoch", "block", F.col("tokens").alias("n_tokens"), "weight")
+    order = materialise(block_order(sources), "mix-order")
+    out = out.join(F.broadcast(order) if order.count() <= BROADCAST_ROWS else order, ["src", "block", "epoch"])
+    return out.select("doc_id", "source", "epoch", "block", F.col("tokens").alias("n_tokens"), "weight", "position")
 
 
 def mix(docs: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
