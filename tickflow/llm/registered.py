@@ -14,6 +14,7 @@ from tickflow.llm.mixing import mixture
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.quality import score
+from tickflow.llm.spelling import spelling_groups, spelling_sql
 from tickflow.llm.topk import top_k
 from tickflow.llm.urls import judge, judge_sql
 
@@ -66,6 +67,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_extraction": op2_html_extraction,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -97,4 +103,5 @@ ORACLE: dict[str, str] = {
     """,
     "op3_license_scan": scan_sql(),
     "op7_url_filter": judge_sql(),
+    "op13_spelling_variants": spelling_sql(),
 }
