@@ -13,6 +13,7 @@ from tickflow.llm.main_text import main_text
 from tickflow.llm.mixing import mixture
 from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
+from tickflow.llm.prefix_trie import prefix_trie, trie_sql
 from tickflow.llm.quality import score
 from tickflow.llm.spelling import spelling_groups, spelling_sql
 from tickflow.llm.topk import top_k
@@ -67,6 +68,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -103,5 +109,6 @@ ORACLE: dict[str, str] = {
     """,
     "op3_license_scan": scan_sql(),
     "op7_url_filter": judge_sql(),
+    "op11_prefix_trie": trie_sql(),
     "op13_spelling_variants": spelling_sql(),
 }
