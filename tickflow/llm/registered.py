@@ -15,6 +15,7 @@ from tickflow.llm.ngram_join import similar_groups
 from tickflow.llm.packing import pack_documents
 from tickflow.llm.prefix_trie import prefix_trie, trie_sql
 from tickflow.llm.quality import score
+from tickflow.llm.secret_scan import secret_spans
 from tickflow.llm.spelling import spelling_groups, spelling_sql
 from tickflow.llm.topk import top_k
 from tickflow.llm.urls import judge, judge_sql
@@ -72,6 +73,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(_table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_secret_scan": op12_secret_scan,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
