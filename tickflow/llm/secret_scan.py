@@ -18,8 +18,9 @@ import hashlib
 import random
 import re
 import string
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -39,13 +40,15 @@ KINDS = ("assign", "access", "hex", "markov")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 _LETTER, _DIGIT_OR_UPPER = re.compile(r"[A-Za-z]"), re.compile(r"[0-9A-Z]")
 #: Documents, about, that the models learn from, chosen by hash of the id.
-SAMPLE = 2000
+SAMPLE = 1000
 #: Runs of an ordinary text that are long enough to teach how identifiers look.
 LEAST_TAUGHT = 3
 #: Characters of a run that the models judge.
 LEAST_RUN = 16
+#: Numbers that identifiers of the ordinary samples are given are below this.
+NUMBERS = 3000
 #: Bits a run must be likelier under the random model, and bits per character.
-LEAST_BITS, LEAST_BITS_EACH = 24.0, 1.0
+LEAST_BITS, LEAST_BITS_EACH = 32.0, 2.0
 #: Random strings, and the alphabets they are drawn from.
 DRAWN, DRAWN_LETTERS = 4000, 40
 ALPHABETS = (string.hexdigits[:16], string.digits + "ABCDEF", string.ascii_letters + string.digits, string.ascii_uppercase + string.digits,
@@ -54,7 +57,7 @@ ALPHABETS = (string.hexdigits[:16], string.digits + "ABCDEF", string.ascii_lette
 SMOOTHING = 0.5
 
 _CHARS = string.ascii_letters + string.digits + "+/_=-"
-_CODE = np.zeros(128, np.intp)
+_CODE = np.full(128, len(_CHARS), np.intp)  # a blank: no character
 _CODE[[ord(c) for c in _CHARS]] = np.arange(len(_CHARS))
 
 
@@ -78,73 +81,66 @@ def _outside(text: str, spans: list[tuple[int, int, int]], least: int) -> Iterat
             yield m
 
 
-def _pairs(run: str, out: Counter) -> None:
-    out.update(zip(" " + run, run, strict=False))
+def pairs(runs: Iterable[str]) -> np.ndarray:
+    """Counts of neighbouring characters in ``runs``: rows are the first of two (the last row: none before), columns the second."""
+    n = len(_CHARS)
+    code = _CODE[np.frombuffer((" " + " ".join(runs)).encode(), np.uint8)]
+    before, after = code[:-1], code[1:]
+    inside = after < n
+    return np.bincount(before[inside] * n + after[inside], minlength=(n + 1) * n).reshape(n + 1, n)
 
 
-def labelled(text: str) -> tuple[Counter, Counter]:
-    """Pairs of neighbouring characters (a space before the first) of a text's ordinary runs and of its secrets."""
-    ordinary, secret = Counter(), Counter()
-    spans = base_spans(text)
-    words = Counter(m.group() for m in _outside(text, spans, LEAST_TAUGHT))
+def identifiers(words: list[str]) -> Iterator[str]:
+    """The words as identifiers are written: in other cases, numbered, joined with the word before."""
     last = "x"
-    for w, n in words.items():
-        forms = (w, w.lower(), w.upper(), w.capitalize(), w + last.capitalize(), f"{w}_{last}", f"{w}-{last}", f"{w}/{last}", f"{w}_{last}".upper())
-        for form in forms:
-            mine: Counter = Counter()
-            _pairs(form, mine)
-            for k, c in mine.items():
-                ordinary[k] += c * n
+    for w in words:
+        number = str(zlib.crc32(w.encode()) % NUMBERS)
+        joined = f"{w}_{last}"
+        yield from (w, w.lower(), w.upper(), w.capitalize(), w + last.capitalize(), joined, f"{w}-{last}", f"{w}/{last}", joined.upper(),
+                    w + number + last.capitalize(), f"{w}_{number}_{last}", f"{number}-{number}")
         last = w if w.isalpha() else last
-    for start, kind, end in spans:
-        value = _ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
-        if _LETTER.search(value):  # a number alone is no key
-            for m in _RUN.finditer(value):
-                _pairs(m.group(), secret)
-    return ordinary, secret
 
 
-_COUNTS = pa.schema([("secret", pa.bool_()), ("pair", pa.string()), ("n", pa.int64())])
+def labelled(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """``pairs`` of a text's ordinary runs (each once, as identifiers) and of the secrets that the patterns find."""
+    spans = base_spans(text)
+    words = list(dict.fromkeys(m.group() for m in _outside(text, spans, LEAST_TAUGHT)))
+    values = (_ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end] for start, kind, end in spans)
+    keys = [m.group() for v in values if _LETTER.search(v) for m in _RUN.finditer(v)]  # a number alone is no key
+    return pairs(identifiers(words)), pairs(keys)
+
+
+_COUNTS = pa.schema([("secret", pa.bool_()), ("pair", pa.int32()), ("n", pa.int64())])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = (Counter(), Counter())
+    ordinary, secret = pairs([]), pairs([])
     for b in batches:
         for t in texts(b.column("text")):
-            for mine, more in zip(sums, labelled(t.decode("utf-8", "replace")), strict=True):
-                mine.update(more)
-    for label, mine in enumerate(sums):
-        if mine:
-            yield batch(_COUNTS, [[bool(label)] * len(mine), ["".join(k) for k in mine], list(mine.values())])
+            more = labelled(t.decode("utf-8", "replace"))
+            ordinary, secret = ordinary + more[0], secret + more[1]
+    for label, mine in enumerate((ordinary.ravel(), secret.ravel())):
+        at = np.flatnonzero(mine)
+        if len(at):
+            yield batch(_COUNTS, [[bool(label)] * len(at), at.tolist(), mine[at].tolist()])
 
 
-def drawn(seed: int = 0) -> Counter:
-    """Pairs of characters of random strings: labelled by the way they are made."""
+def drawn(seed: int = 0) -> np.ndarray:
+    """``pairs`` of random strings: labelled by the way they are made."""
     rng = random.Random(seed)
-    out: Counter = Counter()
-    for k in range(DRAWN):
-        _pairs("".join(rng.choices(ALPHABETS[k % len(ALPHABETS)], k=DRAWN_LETTERS)), out)
-    return out
+    return pairs("".join(rng.choices(ALPHABETS[k % len(ALPHABETS)], k=DRAWN_LETTERS)) for k in range(DRAWN))
 
 
 class Ratio:
     """Bits by which a run is likelier under the random model than under the ordinary one."""
 
-    def __init__(self, ordinary: Counter, secret: Counter):
-        self.first, self.next = (a - b for a, b in zip(self._logs(secret), self._logs(ordinary), strict=True))
-
-    @staticmethod
-    def _logs(pairs: Counter) -> tuple[np.ndarray, np.ndarray]:
-        n = len(_CHARS)
-        counts = np.full((n + 1, n), SMOOTHING)
-        for (x, y), c in sorted(pairs.items()):
-            counts[n if x == " " else _CODE[ord(x)], _CODE[ord(y)]] += c
-        logs = np.log2(counts / counts.sum(1, keepdims=True))
-        return logs[n], logs[:n]
+    def __init__(self, ordinary: np.ndarray, secret: np.ndarray):
+        logs = [np.log2((x + SMOOTHING) / (x + SMOOTHING).sum(1, keepdims=True)) for x in (secret, ordinary)]
+        self.bits_of = logs[0] - logs[1]
 
     def bits(self, run: str) -> float:
-        code = _CODE[np.frombuffer(run.encode(), np.uint8)]
-        return float(self.first[code[0]] + self.next[code[:-1], code[1:]].sum())
+        code = _CODE[np.frombuffer((" " + run).encode(), np.uint8)]
+        return float(self.bits_of[code[:-1], code[1:]].sum())
 
     def secret(self, run: str) -> bool:
         """Runs of one case and no digit are words, runs without a letter numbers or rules."""
@@ -158,9 +154,12 @@ def train(docs: DataFrame) -> Ratio:
     rows = columns(docs, doc_id="long", text="string").filter("text IS NOT NULL")
     rate = min(1.0, SAMPLE / max(1, rows.count()))
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("secrets")), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    got = map_arrow(chosen.select("text"), _counted, "secret boolean, pair string, n long").groupBy("secret", "pair").agg(F.sum("n").alias("n")).collect()
-    ordinary, secret = (Counter({tuple(r["pair"]): r["n"] for r in got if r["secret"] == label}) for label in (False, True))
-    return Ratio(ordinary, secret + drawn()) if ordinary else Ratio(Counter(), Counter())
+    got = map_arrow(chosen.select("text"), _counted, "secret boolean, pair int, n long").groupBy("secret", "pair").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((2, (len(_CHARS) + 1) * len(_CHARS)))
+    for r in got:
+        counts[int(r["secret"]), r["pair"]] = r["n"]
+    ordinary, secret = counts.reshape(2, len(_CHARS) + 1, len(_CHARS))
+    return Ratio(ordinary, secret + drawn()) if ordinary.any() else Ratio(ordinary, ordinary)
 
 
 def spans_of(text: str, ratio: Ratio) -> tuple[list, list]:
