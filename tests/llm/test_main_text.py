@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 
 from tickflow.llm import layouts
 from tickflow.llm.dom import read
-from tickflow.llm.main_text import boost, extract, log_odds, main_text, train
+from tickflow.llm.main_text import _SIDE_TOKENS, boost, extract, log_odds, main_text, train
 
 SCHEMA = "page_id long, url string, html string, text int, n_chars string"
 
@@ -62,18 +63,50 @@ PAGE = """<html><body><div class="cookie-notice">We use cookies</div><header><h1
 
 
 def test_markup_of_all_kinds(model):
-    assert extract(model, [read(PAGE)])[0] == ("Title & more First boldtext, next line é here goes a long enough sentence, with words. "
+    assert extract(model, [read(PAGE, _SIDE_TOKENS)])[0] == ("Title & more First boldtext, next line é here goes a long enough sentence, with words. "
                                                "Second paragraph that is never closed, and has a link in it. one item of it two items of it")
 
 
 @pytest.mark.parametrize("text", ["", "<", "<<<>>>", "a < b > c", "</p></div>", "<p", "<p class='x", "<script>alert(1)", "<!-- open", "&#xD800; &#0; &bogus; &amp",
                                   "<div>" * 3000 + "deep", "<p>" * 3000, "<a b=\"c>d</a>", "\x00<p>\x00</p>", "<table><tr><td>a<td>b<tr><td>c</table>", "<svg/><path/><p>x"])
 def test_broken_markup_does_not_stop_it(model, text):
-    got = extract(model, [read(text)])
+    got = extract(model, [read(text, _SIDE_TOKENS)])
     assert len(got) == 1 and isinstance(got[0], str)
     got[0].encode("utf-8")
 
 
+SLOW = ["<a ", "<b>", "</i>", "<b></i>", '<a "> ', "<a '\"> ", '<a ">" ', "<!", "<!-", "<?", "<a<", "<div>", "<p><table><b>", "<b><div></div>", "</p>", "<a class=\"", "<li>", "<td><b>", "&", "<"]
+
+
+@pytest.mark.parametrize("part", SLOW)
+def test_a_megabyte_of_broken_markup_is_read_in_time(model, part):
+    n = 1_000_000 // len(part)
+    for text in (part * n, part * n + '">"', part * (n // 2) + "</i>" * (n // 4)):
+        at = time.process_time()
+        page = read(text, _SIDE_TOKENS)
+        if text == part * n:
+            extract(model, [page])
+        assert time.process_time() - at < 5
+
+
+def test_levels_and_single_steps_agree(model, monkeypatch):
+    import tickflow.llm.main_text as M
+    rng = random.Random(6)
+    pages = [read(layouts.page(rng, ["word", "text,", "and."] * 5), _SIDE_TOKENS) for _ in range(20)]
+    plain = extract(model, pages)
+    monkeypatch.setattr(M, "DEEP", 0)
+    assert extract(model, pages) == plain
+
+
+def test_adverts_in_a_line_formulas_and_plain_text(model):
+    body = "A paragraph of the article, with enough words in it to be one, and more. " * 4
+    page = f"""<html><body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>{body}<span class='advert'>Buy now cheap</span></p>
+<p>{body}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> <span class="date">today</span></p></article></body></html>"""
+    got = extract(model, [read(page, _SIDE_TOKENS)])[0]
+    assert "Buy now" not in got and "x=2 today" in got and got.startswith("Title A paragraph")
+    assert extract(model, [read("plain text, no tag &amp; all", _SIDE_TOKENS)])[0] == "plain text, no tag & all"
+
+
 def test_a_kept_node_has_kept_ancestors(model):
     from tickflow.llm.main_text import _Nodes
     nodes = _Nodes([read(PAGE)])

@@ -29,8 +29,10 @@ from tickflow.llm import layouts
 from tickflow.llm.common import batch, columns, map_arrow
 from tickflow.llm.dom import Page, read
 
-#: Pages of the table (about) and layouts to learn from; a longer page is not sampled.
+#: Pages of the table (about) and layouts to learn from; a page of more characters is not sampled.
 SAMPLE, LAYOUTS, SAMPLE_CHARS = 300, 900, 60_000
+#: Depth from which nodes are walked one by one, not level by level.
+DEEP = 64
 TREES, DEPTH, BINS, RATE, LEAST = 50, 4, 32, 0.3, 20
 #: Share of a subtree's text that counts for a container besides its own text, and the share of a page from which it is a mere wrapper.
 CONTAINER, WRAPPER = 0.1, 0.8
@@ -74,7 +76,14 @@ class _Nodes:
             if parent[k] != k:
                 depth[k] = depth[parent[k]] + 1
         self.depth[:] = depth
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(max(depth, default=-1) + 1)]
+        by_depth = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(by_depth, np.searchsorted(self.depth[by_depth], np.arange(1, max(depth, default=0) + 1))) if n else []
+        self.deep = len(self.levels) > DEEP
+        after = list(range(1, n + 1))  # a subtree is a run of nodes
+        for k in range(n - 1, -1, -1):
+            if parent[k] != k and after[k] > after[parent[k]]:
+                after[parent[k]] = after[k]
+        self.after = np.array(after, int)
         chars, marks, words = np.zeros(n), np.zeros(n), np.zeros(n)
         for p, s in zip(pages, starts, strict=False):
             for node, text in p.pieces:
@@ -88,14 +97,17 @@ class _Nodes:
         self.links = np.concatenate([np.array(p.links, float) for p in pages]) if pages else np.zeros(0)
 
     def below(self, x: np.ndarray) -> np.ndarray:
-        """Sums over subtrees."""
-        out = x.astype(float).copy()
-        for level in reversed(self.levels[1:]):
-            np.add.at(out, self.parent[level], out[level])
-        return out
+        """Sums over subtrees, of whole numbers."""
+        total = np.concatenate([[0.0], np.cumsum(x.astype(float))])
+        return total[self.after] - total[:-1]
 
     def above(self, x: np.ndarray, best) -> np.ndarray:
         """``best`` of x over a node and its ancestors."""
+        if self.deep:
+            pick, values, parent = (min if best is np.minimum else max), x.tolist(), self.parent.tolist()
+            for k, p in enumerate(parent):
+                values[k] = pick(values[k], values[p])
+            return np.array(values, x.dtype)
         out = x.copy()
         for level in self.levels[1:]:
             out[level] = best(out[level], out[self.parent[level]])
@@ -206,11 +218,11 @@ def log_odds(trees: Trees, x: np.ndarray) -> np.ndarray:
 
 def train(sample: list[str], seed: int = 0) -> Model:
     """Learn from sampled pages (those with an article or main element) and random layouts."""
-    pages = [read(h) for h in sorted(sample)]
-    vocab = sorted({w for p in pages for _, t in p.pieces for w in t.split() if 1 < len(w) < 25})[:20_000] or ["word", "text,", "and.", "of", "the"]
+    pages = [read(h, _SIDE_TOKENS) for h in sorted(sample)]
+    vocab = sorted({w for p in pages for _, t in p.pieces for w in t.split() if 1 < len(w) < 25}) or ["word", "text,", "and.", "of", "the"]
     rng = random.Random(seed)
     real = _Nodes([p for p in pages if _PLAIN_MAIN.intersection(p.tags)])
-    made = _Nodes([read(layouts.page(rng, vocab)) for _ in range(LAYOUTS)])
+    made = _Nodes([read(layouts.page(rng, vocab), _SIDE_TOKENS) for _ in range(LAYOUTS)])
     sets = [(n, *_labels(n, marked)) for n, marked in ((real, False), (made, True)) if len(n.pages)]
     by_tag: dict[str, list[float]] = defaultdict(lambda: [0, 0])
     by_token: dict[str, list[float]] = defaultdict(lambda: [0, 0])
@@ -247,16 +259,22 @@ def extract(model: Model, pages: list[Page]) -> list[str]:
     share = text / np.maximum(text[nodes.starts[:-1]], 1)[nodes.page]
     value = odds * (nodes.chars + CONTAINER * np.where(share < WRAPPER, text - nodes.chars, 0))
     # greatest total over sets of nodes that hold the parent of each member
-    for level in reversed(nodes.levels[1:]):
-        np.add.at(value, nodes.parent[level], np.maximum(value[level], 0))
+    if nodes.deep:
+        values, parent = value.tolist(), nodes.parent.tolist()
+        for k in range(len(parent) - 1, -1, -1):
+            if parent[k] != k and values[k] > 0:
+                values[parent[k]] += values[k]
+        value = np.array(values)
+    else:
+        for level in reversed(nodes.levels[1:]):
+            np.add.at(value, nodes.parent[level], np.maximum(value[level], 0))
     keep = value > 0
     keep[nodes.root] = True
-    for level in nodes.levels[1:]:
-        keep[level] &= keep[nodes.parent[level]]
+    keep = nodes.above(keep.astype(int), np.minimum) > 0
     out = []
     for p, s in zip(pages, nodes.starts, strict=False):
         kept = keep[s:s + len(p.tags)].tolist()
-        if value[s] <= 0:
+        if value[s] <= 0 and len(kept) > 1:  # a page without elements is its text
             kept[0] = False
         out.append(" ".join("".join(t for n, t in p.pieces if n < 0 or kept[n]).split()))
     return out
@@ -270,7 +288,7 @@ def _run(model: Model):
             html = b.column("html").to_pylist()
             found: list[str] = []
             for at in range(0, len(html), PAGES):
-                found += extract(model, [read(h or "") for h in html[at:at + PAGES]])
+                found += extract(model, [read(h or "", _SIDE_TOKENS) for h in html[at:at + PAGES]])
             yield batch(schema, [b.column("page_id"), b.column("url"), found, [len(t) for t in found]])
 
     return run
@@ -279,8 +297,10 @@ def _run(model: Model):
 def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 
-    The whole html is read; null counts as empty and gives an empty text, as
-    does a page without main text. Unclosed, stray and broken tags are read
+    The whole html is read, in linear time; null counts as empty and gives an
+    empty text, as does a page without main text. A page without an element
+    is its text. The model learns from about SAMPLE pages of at most
+    SAMPLE_CHARS characters. Unclosed, stray and broken tags are read
     as browsers would, roughly; equal html gives equal text. An empty table
     gives no rows.
     """
