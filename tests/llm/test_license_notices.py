@@ -73,7 +73,7 @@ SETS = (TEMPLATES[3], TEMPLATES[5])
     (TEMPLATES[3][1], "MIT", 1.0), (APACHE, "Apache-2.0", 1.0),
     (APACHE.replace("You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 ", ""), "Apache-2.0", 0.89)])
 def test_dice_of_sets(spark, text, name, dice):
-    """Bigrams that a notice repeats count once on both sides; ``scan`` gives these 0.93, 0.882 and nothing."""
+    """Bigrams that a notice repeats count once on both sides."""
     for given in (text, "before it " + text + " after it"):
         row = notices(spark.createDataFrame([(1, given)], "doc_id long, text string"), SETS).first()
         assert (row.license, row.n_matches) == (name, 1) and abs(row.dice - dice) < 0.005

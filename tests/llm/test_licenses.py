@@ -13,7 +13,8 @@ def brute(text):
     best, n = None, 0
     for s in {*lines, *blocks, " ".join(x for x in lines if x)} - {""}:
         a = grams(s.split())
-        marks = [(-2 * len(set(a) & set(b)) / (len(a) + len(b)), name) for name, t in TEMPLATES if (b := grams(words(t))) and a]
+        marks = [(-2 * len(set(a) & set(b)) / (len(set(a)) + len(set(b))), name) for name, t in TEMPLATES
+                 if (b := grams(words(t))) and a and len(a) <= len(b) * (2 - DICE) / DICE]
         marks = [m for m in marks if m[0] <= -DICE]
         if marks:
             n += 1
@@ -36,6 +37,12 @@ def test_equals_brute_force(spark):
     assert have == sorted(((i, *brute(t)) for i, t, *_ in rows), key=repr)
 
 
+def test_verbatim_templates_have_a_dice_of_one(spark):
+    rows = [(k, f"intro\n\n{t}\n\nrest", 1, "") for k, (_, t) in enumerate(TEMPLATES)]
+    got = {r.doc_id: (r.license, r.dice) for r in scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: (name, 1.0) for k, (name, _) in enumerate(TEMPLATES)}
+
+
 def test_plan_is_one_narrow_pass_without_python(spark):
     plan = scan(spark.createDataFrame([(1, "a", 1, "")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow|Pandas|Join", plan)

@@ -2,10 +2,13 @@
 
 DataFrame functions only. A text is normalised (lower case, every run of
 other than letters and digits a blank) and cut into segments: its lines,
-its blocks of consecutive lines, and the whole. A segment with a bigrams
-can reach Dice t with a template of b bigrams only if
-b t / (2 - t) <= a <= b (2 - t) / t; those bounds choose the templates that
-a segment is compared to, and most segments meet none. Everything happens
+its blocks of consecutive lines, and the whole. The Dice is that of the sets
+of bigrams. A segment with a distinct bigrams can reach Dice t with a template
+of b distinct ones only if b t / (2 - t) <= a. As a segment has at least as
+many bigrams as distinct ones, that bounds its bigrams from below; from above,
+a segment may have (2 - t) / t times the bigrams of the template, repeats
+counted in both. Those bounds choose the templates that a segment is compared
+to, and most segments meet none. Everything happens
 within a row: nothing is exploded or shuffled, so no key can be hot.
 
 ``notices`` finds what shares its line with other text: it weighs every span
@@ -66,6 +69,22 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+            "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+            "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+            "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+            "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+            "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+            "above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+            "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+            "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+            "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+            "THIS SOFTWARE."),
+    *[(name, f"SPDX-License-Identifier: {name}") for name in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0", "CC-BY-4.0", "Unlicense")],
 )
 
 
@@ -79,12 +98,13 @@ def _bigrams(text: str) -> list[str]:
 
 
 def _index(templates: tuple[tuple[str, str], ...], dice: float) -> list[tuple[str, list[str], int, float, float]]:
-    """Licence, distinct bigrams, number of bigrams, least and most bigrams of a segment that can match."""
+    """Licence, distinct bigrams, their number, least and most bigrams (repeats counted) of a segment that can match."""
     out = []
     for name, text in sorted(templates):
         grams = _bigrams(text)
         if grams:
-            out.append((name, sorted(set(grams)), len(grams), len(grams) * dice / (2 - dice), len(grams) * (2 - dice) / dice))
+            own = sorted(set(grams))
+            out.append((name, own, len(own), len(own) * dice / (2 - dice), len(grams) * (2 - dice) / dice))
     return out
 
 
@@ -102,7 +122,9 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
 
     ``license`` is that of the best match of any segment, null if none has
     a Dice of at least ``dice``: twice the distinct bigrams in common, by
-    the bigrams of both. Ties go to the licence, then to the segment, that
+    the distinct bigrams of both. A segment of more than (2 - dice) / dice
+    times the bigrams of a template, repeats counted, is not one of its
+    notices. Ties go to the licence, then to the segment, that
     sorts first. n_matches counts matching segments. Null and empty texts,
     and segments of one word, match nothing. Repeated rows are scanned
     alike; an empty table gives no rows.
@@ -123,7 +145,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
     def best(s: Column) -> Column:
         fit = F.filter(table, lambda t: s["n"].between(t["lo"], t["hi"]))
         marks = F.transform(fit, lambda t: F.struct(
-            (-(F.size(F.array_intersect(s["grams"], t["grams"])) * 2.0 / (s["n"] + t["n"]))).alias("less"), t["name"].alias("name"), s["s"].alias("s")))
+            (-(F.size(F.array_intersect(s["grams"], t["grams"])) * 2.0 / (F.size(s["grams"]) + t["n"]))).alias("less"), t["name"].alias("name"), s["s"].alias("s")))
         return F.array_min(marks)
 
     hits = F.filter(F.transform(shown, best), lambda m: m.isNotNull() & (m["less"] <= -dice))
@@ -218,7 +240,7 @@ def scan_sql() -> str:
                           [array_to_string(list_filter(lines, lambda s: s <> ''), ' ')]))) AS s FROM l),
              w AS (SELECT r, s, string_split(s, ' ') AS w FROM s WHERE s <> ''),
              g AS (SELECT r, s, len(w) - 1 AS a, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM w),
-             m AS (SELECT r, s, name, len(list_intersect(g.grams, t.grams)) * CAST(2.0 AS DOUBLE) / (a + n) AS dice
+             m AS (SELECT r, s, name, len(list_intersect(g.grams, t.grams)) * CAST(2.0 AS DOUBLE) / (len(g.grams) + n) AS dice
                    FROM g JOIN t ON a >= lo AND a <= hi),
              b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r, s ORDER BY dice DESC, name) AS k FROM m) WHERE k = 1 AND dice >= {DICE}),
              d AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, name, s) AS k2, count(*) OVER (PARTITION BY r) AS n_matches FROM b)
