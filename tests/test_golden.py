@@ -1,9 +1,7 @@
-"""Golden cases from the reference tests (FIXTURES.md §1) against the
-real operators."""
+"""Fixed inputs and results (FIXTURES.md §1) against the real operators."""
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from tickflow.functions.alerts import alert_severity, price_alert
@@ -11,17 +9,24 @@ from tickflow.operators.bars import bars, bollinger, ohlc_valid, round_bars
 from tickflow.functions.numeric import rnd
 
 
-@pytest.mark.parametrize("ret,alert,sev", [
-    (0.0, None, "NONE"), (1.5, None, "NONE"), (-1.5, None, "NONE"),
-    (3.0, None, "NONE"), (-3.0, None, "NONE"), (3.001, "SPIKE", "HIGH"),
-    (3.5, "SPIKE", "HIGH"), (-3.5, "FLASH_CRASH", "HIGH"),
-    (9.0, "SPIKE", "CRITICAL"), (-10.0, "FLASH_CRASH", "CRITICAL"),
-    (8.0, "SPIKE", "HIGH"), (-8.0, "FLASH_CRASH", "HIGH"), (None, None, "NONE"),
-])
-def test_alert_classification(spark, ret, alert, sev):
-    df = spark.createDataFrame([(ret,)], "returns_pct double")
-    row = df.select(price_alert().alias("a"), alert_severity().alias("s")).first()
-    assert (row.a, row.s) == (alert, sev)
+# Return in %, alert, severity.
+ALERTS = [
+    (-10.0, "FLASH_CRASH", "CRITICAL"), (-8.0, "FLASH_CRASH", "HIGH"), (-3.5, "FLASH_CRASH", "HIGH"), (-3.0, None, "NONE"), (-1.5, None, "NONE"),
+    (None, None, "NONE"), (0.0, None, "NONE"), (1.5, None, "NONE"), (3.0, None, "NONE"), (3.001, "SPIKE", "HIGH"), (3.5, "SPIKE", "HIGH"),
+    (8.0, "SPIKE", "HIGH"), (9.0, "SPIKE", "CRITICAL"),
+]
+# Prices, volumes, VWAP of the bar.
+WEIGHTED = [([100, 101, 102], [1000, 2000, 1500], 101.1111), ([150], [1000], 150.0), ([90, 100, 110], [1000, 1000, 1000], 100.0), ([100], [0], None)]
+# VWAP, standard deviation of returns in %, upper and lower band.
+BANDS = [(100.0, 2.0, 104.0, 96.0), (100.0, 0.0, 100.0, 100.0)]
+# Open, high, low, close, whether they fit together.
+CANDLES = [(100.0, 105.0, 95.0, 102.0, True), (100.0, 99.0, 95.0, 102.0, False), (100.0, 105.0, 106.0, 102.0, False), (100.0, 105.0, 95.0, 110.0, False)]
+
+
+def test_returns_are_classified(spark):
+    df = spark.createDataFrame(ALERTS, "returns_pct double, alert string, severity string")
+    wrong = df.filter(~price_alert().eqNullSafe(F.col("alert")) | (alert_severity() != F.col("severity")))
+    assert wrong.collect() == []
 
 
 def _ticks(spark, prices, volumes):
@@ -34,49 +39,22 @@ def _ticks(spark, prices, volumes):
               "price_alert string")
 
 
-def _vwap(spark, prices, volumes, **kw):
-    b = round_bars(bars(_ticks(spark, prices, volumes), "1 minute", None, **kw))
-    return b.select("vwap", "open", "close", "high", "low").first()
-
-
-def test_vwap_basic(spark):
-    assert _vwap(spark, [100, 101, 102], [1000, 2000, 1500]).vwap == round(455000 / 4500, 4)
-
-
-def test_vwap_zero_volume_null_by_default(spark):
-    assert _vwap(spark, [100], [0]).vwap is None
-
-
-def test_vwap_zero_volume_option(spark):
-    assert _vwap(spark, [100], [0], zero_volume=0.0).vwap == 0.0
-
-
-def test_vwap_single_price(spark):
-    assert _vwap(spark, [150], [1000]).vwap == 150.0
-
-
-def test_vwap_between_min_max(spark):
-    r = _vwap(spark, [90, 100, 110], [1000, 1000, 1000])
-    assert 90 <= r.vwap <= 110
-    assert (r.open, r.close, r.high, r.low) == (90.0, 110.0, 110.0, 90.0)
+def test_volume_weighted_price_of_a_minute(spark):
+    for prices, volumes, want in WEIGHTED:
+        bar = round_bars(bars(_ticks(spark, prices, volumes), "1 minute", None)).first()
+        assert bar.vwap == want
+        assert (bar.open, bar.close, bar.high, bar.low) == (prices[0], prices[-1], max(prices), min(prices))
+    assert bars(_ticks(spark, [100], [0]), "1 minute", None, zero_volume=0.0).first().vwap == 0.0
 
 
-def test_bollinger(spark):
-    df = spark.createDataFrame([(100.0, 2.0), (100.0, 0.0)], "vwap double, stddev_return_pct double")
-    rows = bollinger(df).select("bollinger_upper", "bollinger_lower").collect()
-    assert (rows[0][0], rows[0][1]) == (104.0, 96.0)
-    assert abs((rows[0][0] - 100) - (100 - rows[0][1])) < 0.001
-    assert (rows[1][0], rows[1][1]) == (100.0, 100.0)
+def test_bands_lie_around_the_weighted_price(spark):
+    df = spark.createDataFrame([b[:2] for b in BANDS], "vwap double, stddev_return_pct double")
+    assert [(r.vwap, r.stddev_return_pct, r.bollinger_upper, r.bollinger_lower) for r in bollinger(df).collect()] == BANDS
 
 
-@pytest.mark.parametrize("o,h,l,c,valid", [
-    (100, 105, 95, 102, True), (100, 99, 95, 102, False),
-    (100, 105, 106, 102, False), (100, 105, 95, 110, False),
-])
-def test_ohlc_validity(spark, o, h, l, c, valid):  # noqa: E741
-    df = spark.createDataFrame([(float(o), float(h), float(l), float(c))],
-                               "open double, high double, low double, close double")
-    assert ohlc_valid(df).first().ohlc_valid is valid
+def test_candles_that_do_not_fit_are_marked(spark):
+    df = spark.createDataFrame([c[:4] for c in CANDLES], "open double, high double, low double, close double")
+    assert [r.ohlc_valid for r in ohlc_valid(df).collect()] == [c[4] for c in CANDLES]
 
 
 def test_rnd_ties(spark):

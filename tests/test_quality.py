@@ -13,6 +13,7 @@ from tickflow.plans import registered as R
 from tickflow.plans.jobs import JobPaths, hourly_job
 from tickflow.plans.staging import staging
 from tickflow.session import scratch_path
+from tickflow.sinks.bar_store import store_versions
 from tickflow.sources.tables import price_ranges, registry
 
 from conftest import SF01, SF001
@@ -101,7 +102,7 @@ def test_not_null_and_unknown(spark):
 def test_hourly_job_writes_report_before_gate(spark):
     root = scratch_path(spark, "job-test")
     paths = JobPaths(os.path.join(root, "bars"), os.path.join(root, "reports"), os.path.join(root, "marts"))
-    R.stored_bars(spark, SF001).withColumn("batch_id", F.lit(0)).write.parquet(paths.bars)
+    store_versions(R.stored_bars(spark, SF001), 0, paths.bars)
     with pytest.raises(QualityGateError):
         hourly_job(spark, AS_OF, paths, price_ranges(spark), "2 hours", "1 hour", min_symbols=4, n_symbols=5)
     stored = spark.read.parquet(paths.reports).drop("hour").collect()

@@ -10,12 +10,15 @@ columns at once is sort-based; see ``latest_per_symbol``.)
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.numeric import rnd
 from tickflow.operators.joins import with_dimension
 from tickflow.schemas import TICK
+from tickflow.session import scratch_path
 
 ORDER_KEY = ("event_time", "tick_number")
 
@@ -61,19 +64,43 @@ def price_board(df: DataFrame, registry: DataFrame) -> DataFrame:
                     .alias("pnl_pct"))
 
 
+def _ends(latest: DataFrame, k: int) -> DataFrame:
+    """One row: how many symbols, the k best and the k worst of one descending order (ties by symbol, NULL returns last).
+
+    Each list is a bounded top-k: every task keeps k rows, k rows are merged.
+    """
+    one = F.struct("symbol", F.col("returns_pct").alias("return_pct"))
+
+    def side(name: str, *order) -> DataFrame:
+        top = latest.select("symbol", "returns_pct").orderBy(*order).limit(k)
+        ranked = F.sort_array(F.collect_list(F.struct(F.col("returns_pct").isNull(), -F.col("returns_pct"), F.col("symbol"), one.alias("one"))))
+        return top.agg(F.transform(ranked, lambda x: x["one"]).alias(name))
+
+    best = side("best", F.col("returns_pct").desc_nulls_last(), F.col("symbol"))
+    worst = side("worst", F.col("returns_pct").asc_nulls_first(), F.col("symbol").desc())
+    n = latest.agg(F.count(F.lit(1)).alias("n"))
+    return n.join(F.broadcast(best)).join(F.broadcast(worst))  # one row each
+
+
+def _stored(latest: DataFrame) -> DataFrame:
+    """One row per symbol, written once: the ticks behind it are read once, not for every list."""
+    spark = latest.sparkSession
+    path = scratch_path(spark, "latest-per-symbol")
+    latest.write.parquet(path)
+    return spark.read.schema(latest.schema).parquet(path)
+
+
 def top_movers(df: DataFrame, k: int = 3, two_pass: bool = False) -> DataFrame:
     """Top-k gainers and bottom-k losers by returns_pct over the latest
     tick of each symbol. Both lists come from one descending order
     (ties by symbol, NULL returns last); losers are its last k rows, in
     that order (worst last). rank is the position in the descending list."""
-    latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct"),
-                               two_pass=two_pass)
-    w = Window.orderBy(F.col("returns_pct").desc_nulls_last(), F.col("symbol"))
-    ranked = latest.select("symbol", "returns_pct", F.row_number().over(w).alias("rank"),
-                           F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    sides = F.array_compact(F.array(F.when(F.col("rank") <= k, F.lit("gainer")),
-                                    F.when(F.col("rank") > F.col("_n") - k, F.lit("loser"))))
-    return ranked.select(F.explode(sides).alias("side"), "rank", "symbol", F.col("returns_pct").alias("return_pct"))
+    latest = _stored(latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct"),
+                                       two_pass=two_pass))
+    sides = F.concat(
+        F.transform("best", lambda x, i: F.struct(F.lit("gainer").alias("side"), (i + 1).cast("int").alias("rank"), x.alias("x"))),
+        F.transform("worst", lambda x, i: F.struct(F.lit("loser").alias("side"), (F.col("n") - F.size("worst") + i + 1).cast("int").alias("rank"), x.alias("x"))))
+    return _ends(latest, k).select(F.explode(sides).alias("m")).select("m.side", "m.rank", "m.x.symbol", "m.x.return_pct")
 
 
 def market_summary(df: DataFrame, two_pass: bool = False, k: int = 3) -> DataFrame:
@@ -81,26 +108,21 @@ def market_summary(df: DataFrame, two_pass: bool = False, k: int = 3) -> DataFra
     strictly more than half of the symbols rose), the k best and k worst
     symbols in one descending order (ties by symbol, NULL returns last)
     and the current anomalies (symbol, anomaly_type), over each symbol's
-    latest tick. The lists hold at most one entry per symbol."""
-    latest = latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct",
-                                         "volume", "is_anomaly", "anomaly_type"), two_pass=two_pass)
+    latest tick. Only the list of anomalies grows, with their number."""
+    latest = _stored(latest_per_symbol(df.select("symbol", "event_time", "tick_number", "returns_pct",
+                                                 "volume", "is_anomaly", "anomaly_type"), two_pass=two_pass))
     n = F.count(F.lit(1))
     up = F.count_if(F.col("returns_pct") > 0)
-    board = F.sort_array(F.collect_list(F.struct(
-        F.col("returns_pct").isNull().alias("unknown"), (-F.col("returns_pct")).alias("less"), "symbol",
-        F.col("returns_pct").alias("return_pct"))))
-    one = lambda x: F.struct(x["symbol"].alias("symbol"), x["return_pct"].alias("return_pct"))
-    return latest.agg(
+    totals = latest.agg(
         F.max("event_time").alias("timestamp"),
-        board.alias("_board"),
         F.sum("volume").alias("total_volume"),
         n.alias("n_symbols"),
         up.alias("n_advancing"),
         F.when(up > n / F.lit(2.0), F.lit("BULLISH")).otherwise(F.lit("BEARISH")).alias("market_mood"),
         F.sort_array(F.collect_list(F.when(F.col("is_anomaly"), F.struct("symbol", "anomaly_type"))))
-        .alias("anomalies"),
-    ).withColumn("top_gainers", F.transform(F.slice("_board", F.lit(1), F.lit(k)), one)).withColumn(
-        "top_losers", F.transform(F.slice("_board", F.greatest(F.lit(1), F.size("_board") - k + 1), F.lit(k)), one)).drop("_board")
+        .alias("anomalies"))
+    ends = _ends(latest, k).select(F.col("best").alias("top_gainers"), F.col("worst").alias("top_losers"))
+    return totals.join(F.broadcast(ends))
 
 
 def assets_by_type(df: DataFrame) -> DataFrame:
@@ -123,12 +145,13 @@ def tick_totals(df: DataFrame) -> DataFrame:
                                      F.count_if(F.col("is_anomaly")).alias("sent_anomalies"))
 
 
-def market_snapshot(df: DataFrame, every: str = "10 seconds") -> DataFrame:
+def market_snapshot(df: DataFrame, every: str = "10 seconds", until: dt.datetime | None = None) -> DataFrame:
     """Whole-market snapshot per time bucket: the latest tick of every
     symbol as of the bucket's end, as one JSON object symbol → tick (a
     Kafka-shaped record with key 'snapshot'). A symbol that is silent in
     a bucket keeps its last known tick, from its first tick to the last
-    bucket of the data; a bucket without any tick has its snapshot too."""
+    bucket of the data (or to the one that starts at ``until``); a bucket
+    without any tick has its snapshot too."""
     fields = [f.name for f in TICK.fields if f.name in df.columns or f.name == "timestamp"]
     src = df if "timestamp" in df.columns else df.withColumn(
         "timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
@@ -138,9 +161,13 @@ def market_snapshot(df: DataFrame, every: str = "10 seconds") -> DataFrame:
     # carry each tick forward to the bucket before the symbol's next one
     step = F.expr(f"INTERVAL {every}")
     per = per.select(F.col("w.start").alias("b"), "symbol", "t")
-    last = per.agg(F.max("b").alias("_last"))  # one row
-    until = F.lead("b").over(Window.partitionBy("symbol").orderBy("b")) - step
-    per = per.withColumn("_until", until).join(F.broadcast(last)).withColumn(
+    ends = F.lead("b").over(Window.partitionBy("symbol").orderBy("b")) - step
+    per = per.withColumn("_until", ends)
+    if until is None:
+        per = per.join(F.broadcast(per.agg(F.max("b").alias("_last"))))  # one row
+    else:
+        per = per.withColumn("_last", F.lit(until))
+    per = per.withColumn(
         "b", F.explode(F.sequence("b", F.coalesce("_until", "_last"), step)))
     snap = per.groupBy("b").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "t"))).alias("m"))
     return snap.select(F.lit("snapshot").cast("binary").alias("key"),

@@ -1,7 +1,10 @@
 """Batch jobs: the hourly quality + marts job.
 
-Order: checks → report row written → staging view → marts written as
-tables → NOT NULL tests → gate. The report is stored before the gate,
+Order: new batches merged into the store of newest bars → checks → report
+row written → staging view → marts' touched days written → NOT NULL tests
+→ gate. Only days with new batches are merged and rolled up, only days in
+reach of a check's lookback are checked; the NOT NULL tests add up one
+stored row per day. The report is stored before the gate,
 so a failing hour is recorded with its failed count (the reference's
 chain could only ever store zero failures).
 """
@@ -14,18 +17,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.operators.quality import QualityGateError, gate, not_null, report, run_checks
-from tickflow.operators.versions import latest_version
+from tickflow.operators.quality import QualityGateError, gate, report, run_checks
 from tickflow.plans.marts import daily_anomalies, hourly_kpis
 from tickflow.plans.staging import staging
-from tickflow.schemas import BAR_NOT_NULL
-from tickflow.session import scratch_path
 from tickflow.sinks import materialize, read_reports, write_report
-from tickflow.sources.topic import read_bars
+from tickflow.sinks.bar_store import merge_new, null_counts, read_newest, recent_days, replace_days
 
 
 @dataclass
 class JobPaths:
+    """``bars`` is the root of a version store (``sinks.bar_store``)."""
+
     bars: str
     reports: str
     marts: str
@@ -36,24 +38,19 @@ def hourly_job(spark: SparkSession, as_of: str, paths: JobPaths, ranges: DataFra
                n_symbols: int = 10, ohlc: str = "tolerant", overlapping: bool = False,
                raise_on_failure: bool = True) -> DataFrame:
     """Run one hour; returns the stored report rows."""
-    stored = read_bars(spark, paths.bars)
-    # the newest version of each bar, computed once for checks, marts and tests
-    newest = scratch_path(spark, "newest-bars")
-    versions = stored.withColumn("batch_id", F.coalesce("batch_id", F.lit(0)))  # a store without versions
-    latest_version(versions).drop("batch_id").write.parquet(newest)
-    stored = spark.read.parquet(newest)
-    checks = run_checks(stored, ranges, as_of, lookback, coverage_lookback, min_symbols, n_symbols, ohlc)
+    touched = merge_new(spark, paths.bars)
+    recent = read_newest(spark, paths.bars, recent_days(spark, paths.bars, as_of, (lookback, coverage_lookback)))
+    checks = run_checks(recent, ranges, as_of, lookback, coverage_lookback, min_symbols, n_symbols, ohlc)
     rep = report(checks, as_of)
     write_report(rep, paths.reports, as_of[:13].replace("-", "").replace(" ", ""))
 
-    stg = materialize(spark, staging(stored), "stg_ohlcv", "view")
-    materialize(spark, hourly_kpis(stg, overlapping), "mart_market_kpis", "table",
-                os.path.join(paths.marts, "mart_market_kpis"))
-    materialize(spark, daily_anomalies(stg, overlapping, ordered=False), "mart_anomaly_report", "table",
-                os.path.join(paths.marts, "mart_anomaly_report"))
+    if touched:
+        stg = materialize(spark, staging(read_newest(spark, paths.bars, touched)), "stg_ohlcv", "view")
+        replace_days(hourly_kpis(stg, overlapping), os.path.join(paths.marts, "mart_market_kpis"), "hour_bucket", ("symbol", "hour_bucket"))
+        replace_days(daily_anomalies(stg, overlapping, ordered=False), os.path.join(paths.marts, "mart_anomaly_report"), "trading_day", ("symbol",))
 
-    nn = not_null(stored, BAR_NOT_NULL + ["close", "volume"])
-    failed_cols = [r["column_name"] for r in nn.filter(~F.col("passed")).collect()]  # ≤ 4 rows
+    nn = null_counts(spark, paths.bars)
+    failed_cols = [r["column_name"] for r in nn.filter(~F.col("passed")).collect()]  # at most one row per checked column
     if raise_on_failure:
         if failed_cols:
             raise QualityGateError(f"NOT NULL failed on {failed_cols}")

@@ -525,17 +525,14 @@ SELECT date_trunc('hour', TIMESTAMP '{AS_OF}') AS report_hour,
        TIMESTAMP '{AS_OF}' AS created_at
 FROM checks""")
 
-# append mode: an hour is out once the watermark (newest event time − 5 min)
-# has passed its end; bars are 30 min tumbling, so each sits in one hour
+# every hour of 30 min tumbling bars, the last ones too; each bar sits in one hour
 ORACLE["stream_hourly_rollup"] = with_cte(f"""{ALERTED},
-b30 AS ({bars_sql('alerted', '30 minutes', None, rounded=False)}),
-wm AS (SELECT max(event_time) - INTERVAL '300 seconds' AS w FROM alerted)""", """
+b30 AS ({bars_sql('alerted', '30 minutes', None, rounded=False)})""", """
 SELECT time_bucket(INTERVAL '3600 seconds', window_start) AS hour_start, symbol, asset_type,
        CAST(sum(volume) AS BIGINT) AS hour_volume, CAST(sum(tick_count) AS BIGINT) AS hour_ticks,
        CAST(sum(alert_count) AS BIGINT) AS hour_alerts, count(*) AS n_bars
 FROM b30
-GROUP BY 1, 2, 3
-HAVING time_bucket(INTERVAL '3600 seconds', window_start) + INTERVAL '3600 seconds' <= (SELECT w FROM wm)""")
+GROUP BY 1, 2, 3""")
 
 ORACLE["dq_not_null_violated"] = with_cte(STORED, """
 SELECT 'symbol' AS column_name, count(*) FILTER (WHERE symbol = 'error') AS null_count,
@@ -551,3 +548,28 @@ kept AS (SELECT * FROM alerted WHERE event_time >= {_EDGE}),
 b AS ({bars_sql('kept', BAR_SIZE, BAR_SLIDE)})""", f"""
 SELECT *, (SELECT {seconds(BAR_SIZE) // seconds(BAR_SLIDE)} * count(*) FROM alerted WHERE event_time < {_EDGE}) AS dropped_window_rows FROM b""")
 ORACLE["bars_sliding_1min"] = with_cte(ALERTED, bars_sql("alerted", "1 minute", "30 seconds"))
+
+ORACLE["stream_late_ticks"] = with_cte(ALERTED, f"""
+SELECT symbol, asset_type, event_time, tick_number, price, volume, w AS window_start,
+       w + INTERVAL '{seconds(BAR_SIZE)} seconds' AS window_end
+FROM (SELECT *, unnest([time_bucket(INTERVAL '{seconds(BAR_SLIDE)} seconds', event_time) - k * INTERVAL '{seconds(BAR_SLIDE)} seconds'
+                        FOR k IN range({seconds(BAR_SIZE) // seconds(BAR_SLIDE)})]) AS w FROM alerted WHERE event_time < {_EDGE})""")
+
+ORACLE["stream_indicators_sliced"] = ORACLE["stream_indicators"]
+
+# the bounds of the access paths' query are those of plans.registered
+_SPAN = "BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'"
+ORACLE["bars_access_paths"] = with_cte(STAGING, f"""
+SELECT 'symbol, window_start' AS access_path, count(*) AS n_rows, CAST(sum(volume) AS BIGINT) AS total
+FROM stored WHERE symbol = 'click' AND window_start {_SPAN}
+UNION ALL SELECT 'asset_type, window_start', count(*), CAST(sum(volume) AS BIGINT)
+FROM stored WHERE asset_type = 'crypto' AND window_start {_SPAN}
+UNION ALL SELECT 'symbol, hour_bucket', count(DISTINCT date_trunc('hour', window_start)), CAST(sum(volume) AS BIGINT)
+FROM stg WHERE symbol = 'click' AND date_trunc('hour', window_start) {_SPAN}
+UNION ALL SELECT 'report_hour', 1, (SELECT checks_passed FROM ({ORACLE["dq_report"]}))""")
+
+ORACLE["stream_tick_totals"] = ORACLE["tick_totals"]
+ORACLE["stream_distinct_symbols"] = with_cte(TICKS, """
+SELECT strftime(event_time, '%Y-%m-%d') AS day, count(DISTINCT symbol) AS n_symbols FROM ticks WHERE event_time IS NOT NULL GROUP BY 1""")
+
+ORACLE["stream_market_snapshot"] = ORACLE["market_snapshot"]

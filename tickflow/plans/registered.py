@@ -7,6 +7,8 @@ matching DuckDB SQL for the keys that have one.
 
 from __future__ import annotations
 
+import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -334,8 +336,13 @@ def q_market_snapshot(spark, sf_dir):
 
 from tickflow.streaming import runner as SR  # noqa: E402
 from tickflow.streaming import stateful as ST  # noqa: E402
-from tickflow.streaming.runs import late_windows, run_replay  # noqa: E402
-from tickflow.sinks import sink_bars  # noqa: E402
+from tickflow.sinks import bar_store as BS  # noqa: E402
+from tickflow.streaming import indicators as SI  # noqa: E402
+from tickflow.streaming import late as LT  # noqa: E402
+from tickflow.streaming import snapshots as SN  # noqa: E402
+from tickflow.streaming.runs import checkpoint_of, run_replay  # noqa: E402
+from tickflow.operators import sketches as SK  # noqa: E402
+from tickflow.sinks import read_totals, sink_bars, sink_totals, write_batch  # noqa: E402
 
 
 def _ntz(df, *cols):
@@ -378,6 +385,15 @@ def q_stream_indicators(spark, sf_dir):
     return _ntz(stored, "event_time").select(*I.ENRICHED_COLUMNS, "late")
 
 
+@register("stream_indicators_sliced")
+def q_stream_indicators_sliced(spark, sf_dir):
+    """The same with symbols cut into chunks and the last ticks handed from batch to batch."""
+    stored, _ = run_replay(
+        spark, ticks(spark, sf_dir), SR.parse, name="stream-sliced", read=lambda s, out: s.read.parquet(os.path.join(out, "ticks")),
+        sink=lambda out: SI.sink_indicators(out, S.registry(spark), lambda df, i: write_batch(df, i, os.path.join(out, "ticks"))))
+    return _ntz(stored, "event_time").select(*I.ENRICHED_COLUMNS, "late")
+
+
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """Every tick is sent twice; the stream keeps one copy per key."""
@@ -387,37 +403,77 @@ def q_stream_dedup(spark, sf_dir):
                                              "price", "volume")
 
 
+def _late_run(spark, sf_dir):
+    """Slices replayed out of order (the second half first) into a store of bars and late ticks; its root."""
+    roots: list[str] = []
+    run_replay(
+        spark, enriched(spark, sf_dir), lambda raw: LT.bars_and_ticks(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
+        mode="update", sink=lambda out: LT.sink_bars_and_late(out, checkpoint_of(out), BAR_SIZE, BAR_SLIDE), order=[2, 3, 0, 1],
+        name="stream-late", read=lambda _, out: roots.append(out))
+    return roots[0]
+
+
 @register("stream_late_data")
 def q_stream_late_data(spark, sf_dir):
-    """Slices replayed out of order (the second half first): ticks behind
-    the watermark are dropped from the bars; the count of their window
-    assignments is reported next to each bar."""
-    folders: list[str] = []
-    stored, progress = run_replay(
-        spark, enriched(spark, sf_dir),
-        lambda raw: SR.stream_bars(SR.parse(raw), BAR_SIZE, BAR_SLIDE, "5 minutes"),
-        mode="update", sink=lambda out: sink_bars(out), order=[2, 3, 0, 1], name="stream-late", batch_dirs=folders)
-    dropped = late_windows(spark, folders, progress, BAR_SIZE, BAR_SLIDE)
-    bars_ = latest_version(stored.drop("created_at")).drop("batch_id")
-    return B.round_bars(bars_).withColumn("dropped_window_rows", F.lit(dropped).cast("bigint"))
+    """Ticks behind the watermark are dropped from the bars; the number of
+    their window assignments, as the stream stored them, stands next to each bar."""
+    root = _late_run(spark, sf_dir)
+    BS.merge_new(spark, root)
+    dropped = LT.read_late(spark, root).agg(F.count(F.lit(1)).alias("dropped_window_rows"))  # one row
+    bars_ = BS.read_newest(spark, root).drop("created_at", "date")
+    return B.round_bars(bars_).join(F.broadcast(dropped))
+
+
+@register("stream_late_ticks")
+def q_stream_late_ticks(spark, sf_dir):
+    """The late ticks themselves, one row per window they missed."""
+    late = LT.read_late(spark, _late_run(spark, sf_dir))
+    return _ntz(late, "event_time", "window_start", "window_end").drop("watermark", "batch_id")
 
 
 @register("stream_hourly_rollup")
 def q_stream_hourly_rollup(spark, sf_dir):
-    stored, _ = run_replay(
-        spark, enriched(spark, sf_dir),
-        lambda raw: ST.hourly_rollup(SR.parse(raw), "1 hour", "30 minutes", None, "5 minutes"),
-        name="stream-rollup")
-    return stored.drop("batch_id")
+    """Hours of half-hour bars, kept up while the stream runs; the hours that are still open at its end, too."""
+    hours, _ = run_replay(
+        spark, enriched(spark, sf_dir), lambda raw: SR.stream_bars(SR.parse(raw), "30 minutes", None, "5 minutes"),
+        mode="update", sink=lambda out: BS.sink_versions(out, merge=True), name="stream-rollup", read=BS.read_hours)
+    return hours
 
 
-# --- topic codec, quarantine, store layout, hourly job ------------------------------
+@register("stream_market_snapshot")
+def q_stream_market_snapshot(spark, sf_dir):
+    """Snapshots as the stream emits them behind the watermark, and those of the buckets open at its end."""
+    from tickflow.sources.topic import decode_snapshot
+    snap, _ = run_replay(
+        spark, enriched(spark, sf_dir), lambda raw: SR.parse(raw).withWatermark("event_time", "5 minutes"), name="stream-snapshots",
+        sink=lambda out: SN.sink_snapshots(out, checkpoint_of(out), "1 hour"), read=lambda s, out: SN.read_snapshots(s, out, "1 hour"))
+    return decode_snapshot(snap).select(
+        F.col("snapshot_ts").cast("timestamp_ntz").alias("snapshot_end"), "entry_symbol",
+        "tick_number", "price", "returns_pct", "volume")
+
+
+@register("stream_tick_totals")
+def q_stream_tick_totals(spark, sf_dir):
+    """Ticks and anomalies per symbol over the stream's whole life."""
+    totals, _ = run_replay(spark, enriched(spark, sf_dir), SR.parse, sink=sink_totals, name="stream-totals", read=read_totals)
+    return totals
+
+
+@register("stream_distinct_symbols")
+def q_stream_distinct_symbols(spark, sf_dir):
+    """Distinct symbols per day, from hourly sketches that a stream keeps up (newest version per hour)."""
+    stored, _ = run_replay(spark, ticks(spark, sf_dir), lambda raw: SK.hourly_sketches(SR.parse(raw).withWatermark("event_time", "5 minutes")),
+                           mode="update", name="stream-sketches")
+    newest = latest_version(stored, keys=("hour_start",))
+    return SK.distinct_count(newest, F.date_format("hour_start", "yyyy-MM-dd").alias("day"))
 
-import os  # noqa: E402
+
+# --- topic codec, quarantine, store layout, hourly job ------------------------------
 
 from tickflow.plans.jobs import JobPaths, hourly_job  # noqa: E402
 from tickflow.session import scratch_path  # noqa: E402
-from tickflow.sinks import write_bars  # noqa: E402
+from tickflow.sinks import write_bars, write_report  # noqa: E402
+from tickflow.sinks.skipping import read_clustered, write_clustered  # noqa: E402
 from tickflow.sources.topic import decode_ticks, encode_ticks, iso_utc, split_bad  # noqa: E402
 
 
@@ -465,11 +521,36 @@ def q_bars_partitioned_read(spark, sf_dir):
     return spark.read.parquet(path).drop("date")
 
 
+ACCESS_FROM, ACCESS_TO = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
+
+
+@register("bars_access_paths")
+def q_bars_access_paths(spark, sf_dir):
+    """Bars by (symbol, window_start) and by (asset_type, window_start), hours by (symbol, hour_bucket), the
+    report of an hour: each read opens only the files that may hold its rows."""
+    root = scratch_path(spark, "access")
+    bars_, marts, reports = (os.path.join(root, x) for x in ("bars", "mart_market_kpis", "reports"))
+    stored = stored_bars(spark, sf_dir)
+    write_clustered(stored, bars_, ("symbol", "asset_type", "window_start"), files=32)
+    hours = MT.hourly_kpis(staging(spark.read.schema(stored.schema).parquet(bars_)), overlapping=True)
+    write_clustered(hours, marts, ("symbol", "hour_bucket"), files=16)
+    write_report(Q.report(_checks(spark, sf_dir, "240 hours", "240 hours"), AS_OF), reports, "2024013022")
+    span = tuple(dt.datetime.fromisoformat(x) for x in (ACCESS_FROM, ACCESS_TO))
+    summed = lambda name, df, n: df.agg(F.lit(name).alias("access_path"), F.count(F.lit(1)).alias("n_rows"), F.sum(n).cast("bigint").alias("total"))
+    out = summed("symbol, window_start", read_clustered(spark, bars_, stored.schema, {"symbol": ("click", "click"), "window_start": span}), "volume")
+    for name, df, n in (
+            ("asset_type, window_start", read_clustered(spark, bars_, stored.schema, {"asset_type": ("crypto", "crypto"), "window_start": span}), "volume"),
+            ("symbol, hour_bucket", read_clustered(spark, marts, hours.schema, {"symbol": ("click", "click"), "hour_bucket": span}), "hour_volume"),
+            ("report_hour", spark.read.parquet(reports).filter(F.col("hour") == 2024013022), "checks_passed")):
+        out = out.unionByName(summed(name, df, n))
+    return out
+
+
 @register("hourly_job_report")
 def q_hourly_job_report(spark, sf_dir):
     """The hourly job over stored bar versions; returns the report."""
     root = scratch_path(spark, "hourly-job")
     paths = JobPaths(os.path.join(root, "bars"), os.path.join(root, "reports"), os.path.join(root, "marts"))
-    stamp(sliding_bars(spark, sf_dir)).withColumn("batch_id", F.lit(0)).write.parquet(paths.bars)
+    BS.store_versions(stamp(sliding_bars(spark, sf_dir)), 0, paths.bars)
     return hourly_job(spark, AS_OF, paths, S.price_ranges(spark), "2 hours", "1 hour",
                       min_symbols=4, n_symbols=5, raise_on_failure=False)

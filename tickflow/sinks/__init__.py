@@ -91,6 +91,22 @@ def sink_alerts(target: str | None = None, servers: str | None = None, topic: st
     return fn
 
 
+def sink_totals(target: str) -> BatchFn:
+    """Ticks and anomalies per symbol of each micro-batch; a replayed batch
+    replaces its own counts, so ``read_totals`` holds for the stream's whole
+    life, restarts included."""
+    def fn(df: DataFrame, batch_id: int) -> None:
+        write_batch(df.groupBy("symbol").agg(F.count(F.lit(1)).alias("sent_ticks"),
+                                             F.count_if(F.col("is_anomaly")).alias("sent_anomalies")), batch_id, target)
+    return fn
+
+
+def read_totals(spark: SparkSession, target: str) -> DataFrame:
+    """Running totals per symbol over all micro-batches so far."""
+    stored = spark.read.schema("symbol string, sent_ticks long, sent_anomalies long").parquet(target)
+    return stored.groupBy("symbol").agg(F.sum("sent_ticks").alias("sent_ticks"), F.sum("sent_anomalies").alias("sent_anomalies"))
+
+
 def write_bars(df: DataFrame, path: str, partition: str = "date") -> None:
     """Bars by day: partition pruning on date, row-group statistics on
     (symbol, window_start) for the store's access paths.

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow.operators.alerts import alert_messages, with_alerts
 from tickflow.operators.bars import bars
 from tickflow.schemas import TOPIC_RECORD
-from tickflow.sinks import BatchFn, sink_alerts, sink_bars, sink_raw
+from tickflow.sinks import BatchFn, sink_alerts, sink_bars, sink_raw, sink_totals
 from tickflow.sources.topic import decode_ticks, is_bad, split_bad
 
 
@@ -82,11 +82,12 @@ class StreamTargets:
     alerts: str
     quarantine: str
     checkpoints: str
+    totals: str | None = None
 
 
 def targets_under(root: str) -> StreamTargets:
     return StreamTargets(*(os.path.join(root, n) for n in
-                           ("raw", "bars", "alerts", "quarantine", "checkpoints")))
+                           ("raw", "bars", "alerts", "quarantine", "checkpoints", "totals")))
 
 
 def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
@@ -108,12 +109,14 @@ def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
                                              {"processingTime": "15 seconds"})
     decoded = decode_ticks(raw, keep_corrupt=True).withColumn("processing_time", F.current_timestamp())
     good = with_alerts(split_bad(decoded)[0])
-    # running totals of the producer (ticks and anomalies), reported per
-    # micro-batch in the query progress (observedMetrics["tick_totals"])
+    # running totals of the producer (ticks and anomalies): per micro-batch
+    # in the query progress (observedMetrics["tick_totals"]), and for the
+    # stream's life in the store of totals
     decoded = decoded.observe("tick_totals", F.count(F.lit(1)).alias("sent_ticks"),
                               F.count_if(F.col("is_anomaly")).alias("sent_anomalies"))
 
     raw_sink, alert_sink, bad_sink = sink_raw(t.raw), sink_alerts(t.alerts, *(alert_topic or ())), sink_raw(t.quarantine)
+    total_sink = sink_totals(t.totals) if t.totals else None
 
     def stateless(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch is decoded once, cached, and fans out to three sinks
@@ -124,6 +127,8 @@ def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
             raw_sink(g, batch_id)
             alert_sink(alert_messages(g), batch_id)
             bad_sink(b, batch_id)
+            if total_sink:
+                total_sink(cached, batch_id)
         finally:
             cached.unpersist()
 

@@ -25,7 +25,8 @@ def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame
                mode: str = "append", n_slices: int = 4, resend: bool = False,
                sink: Callable[[str], BatchFn] | None = None, order: list[int] | None = None,
                name: str = "replay", files_per_slice: int | None = None,
-               batch_dirs: list[str] | None = None) -> tuple[DataFrame, list]:
+               batch_dirs: list[str] | None = None,
+               read: Callable[[SparkSession, str], DataFrame] | None = None) -> tuple[DataFrame, list]:
     """Replay ``ticks`` → ``build(raw_stream)`` → stored output.
 
     ``order`` replays slices in another order (late data); returns the
@@ -47,21 +48,30 @@ def run_replay(spark: SparkSession, ticks: DataFrame, build: Callable[[DataFrame
         dirs = [os.path.join(topic, f"s{i:05d}") for i in range(len(order))]
     if batch_dirs is not None:
         batch_dirs += dirs
-    return run_topic(spark, topic, files_per_slice, build, mode, sink, name)
+    return run_topic(spark, topic, files_per_slice, build, mode, sink, name, read)
+
+
+def checkpoint_of(out: str) -> str:
+    """Checkpoint folder of the query whose sink writes under ``out``."""
+    return os.path.join(os.path.dirname(out), "checkpoint")
 
 
 def run_topic(spark: SparkSession, topic: str, files_per_slice: int, build: Callable[[DataFrame], DataFrame],
-              mode: str = "append", sink: Callable[[str], BatchFn] | None = None, name: str = "replay") -> tuple[DataFrame, list]:
-    """Stream the files of a replayed ``topic`` through ``build`` to completion."""
+              mode: str = "append", sink: Callable[[str], BatchFn] | None = None, name: str = "replay",
+              read: Callable[[SparkSession, str], DataFrame] | None = None) -> tuple[DataFrame, list]:
+    """Stream the files of a replayed ``topic`` through ``build`` to completion. ``read`` reads what the sink
+    has stored, by default one folder of batches."""
     root = scratch_path(spark, name)
     out = os.path.join(root, "out")
     raw = file_topic(spark, os.path.join(topic, "*"), files_per_trigger=files_per_slice)
     fn = sink(out) if sink else (lambda df, i: write_batch(df, i, out))
-    q = start(build(raw), name, mode, os.path.join(root, "checkpoint"), fn, {"availableNow": True})
+    q = start(build(raw), name, mode, checkpoint_of(out), fn, {"availableNow": True})
     q.awaitTermination()
     progress = q.recentProgress
     if q.exception():
         raise RuntimeError(str(q.exception()))
+    if read:
+        return read(spark, out), progress
     try:
         stored = spark.read.parquet(out)
     except Exception:  # noqa: BLE001 - no batch wrote anything
