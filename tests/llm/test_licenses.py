@@ -1,6 +1,6 @@
 import re
 
-from tickflow.llm.licenses import DICE, TEMPLATES, scan
+from tickflow.llm.licenses import _anchors, DICE, TEMPLATES, scan
 
 SCHEMA = "doc_id long, text string, license int, dice string"
 
@@ -37,6 +37,17 @@ def test_equals_brute_force(spark):
     assert have == sorted(((i, *brute(t)) for i, t, *_ in rows), key=repr)
 
 
+def test_no_match_without_an_anchor():
+    """The most that a text without the anchors can share with a template is less than the Dice wanted."""
+    anchors = _anchors(TEMPLATES, DICE)
+    assert 0 < len(anchors) < 40
+    for _, t in TEMPLATES:
+        w = re.sub(r"[\W_]+", " ", t.lower()).split()
+        grams = set(zip(w, w[1:], strict=False))
+        k = sum(not set(g) & set(anchors) for g in grams)
+        assert 2 * k / (k + len(grams)) < DICE
+
+
 def test_verbatim_templates_have_a_dice_of_one(spark):
     rows = [(k, f"intro\n\n{t}\n\nrest", 1, "") for k, (_, t) in enumerate(TEMPLATES)]
     got = {r.doc_id: (r.license, r.dice) for r in scan(spark.createDataFrame(rows, SCHEMA)).collect()}

@@ -8,7 +8,8 @@ of b distinct ones only if b t / (2 - t) <= a. As a segment has at least as
 many bigrams as distinct ones, that bounds its bigrams from below; from above,
 a segment may have (2 - t) / t times the bigrams of the template, repeats
 counted in both. Those bounds choose the templates that a segment is compared
-to, and most segments meet none. Everything happens
+to, and most segments meet none. Before that, a text must hold one of a few
+words without which no template can be reached. Everything happens
 within a row: nothing is exploded or shuffled, so no key can be hot.
 
 ``notices`` finds what shares its line with other text: it weighs every span
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -108,6 +110,30 @@ def _index(templates: tuple[tuple[str, str], ...], dice: float) -> list[tuple[st
     return out
 
 
+def _anchors(templates: tuple[tuple[str, str], ...], dice: float) -> list[str]:
+    """Words of which every text with a match has one.
+
+    Of a template with b distinct bigrams, k of them without such a word, a
+    text without any can share k bigrams at most: a Dice of 2 k / (k + b).
+    Words are added, long ones first, until that is below ``dice`` for all.
+    """
+    left = [(set(zip(w, w[1:], strict=False)), len(set(zip(w, w[1:], strict=False)))) for w in (_words(t) for _, t in templates) if len(w) > 1]
+    chosen: list[str] = []
+    while True:
+        left = [(grams, b) for grams, b in left if len(grams) * (2 - dice) >= dice * b - 1e-9]
+        if not left:
+            return sorted(chosen)
+        counts = Counter(w for grams, _ in left for g in grams for w in set(g))
+        best = min(counts, key=lambda w: (-min(len(w), 6), -counts[w], w))
+        chosen.append(best)
+        left = [({g for g in grams if best not in g}, b) for grams, b in left]
+
+
+def _may_match(text: Column, templates: tuple[tuple[str, str], ...], dice: float) -> Column:
+    """Whether a text holds one of ``_anchors``, be it within a word: what has none is read no further."""
+    return F.coalesce(F.lower(text).rlike("|".join(map(re.escape, _anchors(templates, dice)))), F.lit(False))
+
+
 def segments(text: Column) -> Column:
     """Distinct normalised lines, blocks and whole of a text; a line without letter or digit ends a block."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1),
@@ -149,6 +175,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
         return F.array_min(marks)
 
     hits = F.filter(F.transform(shown, best), lambda m: m.isNotNull() & (m["less"] <= -dice))
+    hits = F.coalesce(F.when(_may_match(F.col("text"), templates, dice), hits), F.array().cast("array<struct<less: double, name: string, s: string>>"))
     out = columns(docs, doc_id="long", text="string").select("doc_id", hits.alias("hits"))
     top = F.array_min("hits")
     return out.select("doc_id", top["name"].alias("license"), F.coalesce(-top["less"], F.lit(0.0)).alias("dice"), top["s"].alias("segment"),
@@ -210,6 +237,7 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     known = sorted((name, text) for name, text in templates if _bigrams(text))
     every = sorted({g for _, text in known for g in _bigrams(text)})
     words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ", -1)
+    words = F.when(_may_match(F.col("text"), templates, dice), words).otherwise(F.array(F.lit("")))
     out = columns(docs, doc_id="long", text="string").select("doc_id", words.alias("w"))
     w = F.col("w")
     out = out.withColumn("grams", F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
