@@ -59,16 +59,16 @@ def test_ids_of_any_text_equal_those_of_the_whole_text(text, at, special):
     assert np.frombuffer(got, "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("groups", [1, 3])
-def test_pack_is_a_gapless_round_trip(spark, groups, monkeypatch):
+@pytest.mark.parametrize("salt_rows", [100_000, 3])
+def test_pack_is_a_gapless_round_trip(spark, salt_rows, monkeypatch):
     import tickflow.llm.packing as packing
 
     rng = random.Random(5)
     rows = [(k, " ".join(rng.choice("the of and to in was word more".split()) for _ in range(rng.randint(0, 90))), 0, "g") for k in range(240)]
     rows += [(1000 + k, "same text here", 0, "g") for k in range(120)] + [(None, None, 0, None), (None, "", 0, None), (7, "again", 1, None), (7, "again", 1, None)]
     rows += [(2000, "long " * 1000, 0, "g")]
-    monkeypatch.setattr(packing, "GROUP_ROWS", -(-len(rows) // groups))
-    docs = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(packing, "SALT_ROWS", salt_rows)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3 if salt_rows == 3 else 1)
     got = pack_documents(docs, size=64).toPandas()
     tok = Tokenizer.from_file(default_tokenizer())
     want = []
@@ -83,8 +83,12 @@ def test_pack_is_a_gapless_round_trip(spark, groups, monkeypatch):
     for _, part in got.groupby("sequence_id"):
         part = part.sort_values("offset")
         assert part["offset"].tolist() == [0, *part["length"].cumsum().tolist()[:-1]] and part["length"].sum() <= 64
-    fewest = best_fit([w[3] for w in want], 64)
-    assert fewest <= got["sequence_id"].nunique() <= fewest + groups
+    assert got["sequence_id"].nunique() == best_fit([w[3] for w in want], 64)
+
+
+def test_whole_table_packs_as_best_fit_decreasing(spark):
+    pieces = cut(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).persist()
+    assert pack(pieces).select("sequence_id").distinct().count() == best_fit([r.length for r in pieces.select("length").collect()], 2048)
 
 
 def test_empty_table(spark):

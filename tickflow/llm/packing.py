@@ -1,18 +1,20 @@
 """Best-fit packing of tokenised documents into fixed-length sequences.
 
-Bulk-synchronous best fit. Documents are sorted by length, so all of one
-length form a run, and so do the open sequences with the same gap. A
-super-step takes the longest run left, sweeps the gaps upwards from that
-length (successor search), gives the k-th document of the run to the k-th
-place found (conflicts go by rank), updates the gaps, and repeats. All
-documents of one length move at once, so there are at most ``size``
-super-steps whatever the input, and the result is that of best-fit
-decreasing.
-
-The pieces are dealt by hash to independent groups of about GROUP_ROWS;
-every group is swept by an executor from its run lengths alone (at most
-``size`` x SALTS rows), so nothing grows in one task or the driver. A
-length that holds much of the table is split over SALTS rank ranges.
+Bulk-synchronous best fit, by runs. All documents of one length are
+interchangeable, and so are all open sequences with the same gap: each forms
+a run. A super-step takes the longest run of documents left, sweeps the gaps
+upwards from that length (successor search), gives the k-th document of the
+run to the k-th place found (conflicts go by rank), updates the gaps, and
+repeats. All documents of one length move at once, so there are at most
+``size`` super-steps whatever the input, and the number of sequences is that
+of best-fit decreasing over the whole table, however it is partitioned.
+
+The super-steps work on one row per length and are run by the driver. All that
+grows with the table is done by the tasks: documents are counted and ranked
+within (length, salt), the ranks of a length are continued from salt to salt,
+and every rank looks its place up in the part of the plan that its own salt
+needs. The number of salts grows with the table and does not show in the
+result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import batch, columns, map_arrow, materialise, texts
 
 SEQUENCE = 2048
-GROUP_ROWS = 1_000_000
+#: Pieces of a salt, about, if all had one length; there are at least SALTS.
+SALT_ROWS = 100_000
 SALTS = 16
 #: Words whose ids a worker keeps at hand, about 100 MB; when it has more it starts anew.
 WORD_CACHE = 500_000
@@ -42,7 +44,7 @@ CALL = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64())])
-_PLAN = "grp long, length long, salt int, lo long, hi long, first long, per long, at long, skip long"
+_PLAN = "length long, lo long, hi long, first long, per long, at long"
 
 
 def default_tokenizer() -> str:
@@ -178,44 +180,31 @@ def sweep(runs: list[tuple[int, int]], size: int) -> list[tuple[int, int, int, i
     return out
 
 
-def _sweep_group(key: tuple, runs: pd.DataFrame, size: int) -> pd.DataFrame:
-    """Sweep one group and cut its rank ranges by salt."""
-    runs = runs.sort_values(["length", "salt"])
-    base: dict[int, list[tuple[int, int, int]]] = {}
-    for length, salt, n in runs[["length", "salt", "n"]].itertuples(index=False):
-        own = base.setdefault(length, [])
-        begin = own[-1][2] if own else 0
-        own.append((salt, begin, begin + n))
-    rows = []
-    for length, lo, hi, first, per, at in sweep([(k, v[-1][2]) for k, v in base.items()], size):
-        for salt, begin, end in base[length]:
-            a, b = max(lo, begin), min(hi, end)
-            if a < b:
-                # ranks within the salt; ``first``, ``per`` count from rank ``lo`` of the run
-                rows.append((key[0], length, salt, a - begin, b - begin, first, per, at, a - lo))
-    return pd.DataFrame(rows, columns=["grp", "length", "salt", "lo", "hi", "first", "per", "at", "skip"])
-
-
 def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """Give each row of ``pieces`` (1 <= length <= size) a sequence_id and an offset, gapless from 0.
 
     Rows that are equal in every column are interchangeable; ties need no
     order. An empty table stays empty.
     """
-    total = pieces.count()
-    groups = max(1, -(-total // GROUP_ROWS))
+    salts = max(SALTS, -(-pieces.count() // SALT_ROWS))
     key = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    dealt = pieces.select(*pieces.columns, F.pmod(F.xxhash64(*key), F.lit(groups)).cast("long").alias("grp"),
-                          F.pmod(F.xxhash64(*key, F.lit(1)), F.lit(SALTS)).cast("int").alias("salt"))
-    runs = dealt.groupBy("grp", "length", "salt").agg(F.count("*").alias("n"))
-    plan = runs.groupBy("grp").applyInPandas(lambda key, rows: _sweep_group(key, rows, size), _PLAN)
-    order = Window.partitionBy("grp", "length", "salt").orderBy("doc_id", "piece", "ids_crc32", "start")
+    dealt = pieces.select(*pieces.columns, F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int").alias("salt"))
+    runs = materialise(dealt.groupBy("length", "salt").agg(F.count("*").alias("n")), "pack-runs")
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("begin", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    lengths = [(r["length"], r["n"]) for r in runs.groupBy("length").agg(F.sum("n").alias("n")).collect()]  # at most ``size`` rows
+    plan = F.broadcast(pieces.sparkSession.createDataFrame(sweep(lengths, size), _PLAN))
+    # the part of the plan that a salt's ranks need, in ranks of that salt
+    cells = runs.join(plan, "length").filter("lo < begin + n AND hi > begin").select(
+        "length", "salt", (F.greatest("lo", "begin") - F.col("begin")).alias("lo"), (F.least(F.col("hi"), F.col("begin") + F.col("n")) - F.col("begin")).alias("hi"),
+        "first", "per", "at", F.greatest(F.lit(0), F.col("begin") - F.col("lo")).alias("skip"))
+    order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = dealt.withColumn("rank", F.row_number().over(order).cast("long") - 1)
-    placed = ranked.join(plan, ["grp", "length", "salt"]).filter("rank >= lo AND rank < hi")
+    placed = ranked.join(cells, ["length", "salt"]).filter("rank >= lo AND rank < hi")
     nth = F.col("rank") - F.col("lo") + F.col("skip")
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
-        (F.shiftleft(F.col("grp"), 40) + F.col("first") + F.expr("(rank - lo + skip) div per")).cast("long").alias("sequence_id"),
+        (F.col("first") + F.expr("(rank - lo + skip) div per")).cast("long").alias("sequence_id"),
         (F.col("at") + (nth % F.col("per")) * F.col("length")).cast("long").alias("offset"))
 
 
