@@ -50,6 +50,16 @@ def test_fewer_rows_than_k_and_empty_table(spark):
     assert top_k(spark.createDataFrame([(1, [1.0], 1, "", 0)], SCHEMA)).count() == 0
 
 
+def test_sums_beyond_64_bits_are_the_end_of_the_range(spark):
+    top, low = 2**63 - 1, -2**63
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 1.0]), (2, [-1e30, 1.0]), (3, [0.0, 1.0]), (4, [1e17, -1e17]), (20, [1e17, 1e17]), (40, [3e7, 2e7])]
+    got = {(r.query_id, r.vec_id): r.score for r in top_k(spark.createDataFrame([(i, v, 0, "", 0) for i, v in rows], "vec_id long, embedding array<double>, a int, b string, c int")).collect()}
+    scaled = {i: [max(-2**62, min(2**62, int(x * 64))) for x in v] for i, v in rows}
+    for (q, i), score in got.items():
+        assert score == max(low, min(top, sum(a * b for a, b in zip(scaled[q], scaled[i], strict=True))))
+    assert got[0, 1] == top and got[0, 2] == low and got[0, 3] == 4096 and got[20, 4] == 0
+
+
 def test_coordinates_prune_only_what_cannot_reach(spark):
     rng = np.random.default_rng(7)
     p = rng.integers(-64, 64, (500, 8))

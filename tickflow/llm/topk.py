@@ -66,10 +66,17 @@ def _packed(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Integer inner products: by floating point where that is exact, else in 64-bit integers."""
-    if q.size and p.size and float(np.abs(q).max()) * float(np.abs(p).max()) * q.shape[1] < 2.0**53:
+    """Integer inner products: by floating point where that is exact, else in 64-bit integers; what does not fit is the nearest that does."""
+    most = float(np.abs(q).max()) * float(np.abs(p).max()) * q.shape[1] if q.size and p.size else 0.0
+    if most < 2.0**53:
         return (q.astype(np.float64) @ p.astype(np.float64).T).astype(np.int64)
-    return q @ p.T
+    scores = q @ p.T  # right if the sum fits, whatever wraps on the way
+    if most >= 2.0**62:
+        reach = np.abs(q.astype(np.float64)) @ np.abs(p.astype(np.float64)).T
+        for i, j in np.argwhere(reach >= 2.0**62).tolist():
+            exact = sum(x * y for x, y in zip(q[i].tolist(), p[j].tolist(), strict=True))
+            scores[i, j] = min(max(exact, _NONE), np.iinfo(np.int64).max)
+    return scores
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +180,9 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     whose vector holds a null or non-finite component, take no part. Only
     vectors of one dimension meet. Rows under the query's own id are its own;
     several of them ask once, with the least of their vectors. Repeated rows
-    are candidates as often as they occur. Scores are 64-bit integers (exact
-    while they fit); ties go to the smaller vec_id. An empty table gives no
+    are candidates as often as they occur. Scores are 64-bit integers; a
+    component beyond 2^62 counts as 2^62, a sum beyond the range as the end of
+    the range. Ties go to the smaller vec_id. An empty table gives no
     rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
