@@ -133,3 +133,26 @@ def test_empty_tables(spark):
     assert mixture(empty).count() == 0 and mix(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None, "", 0), (2, "", "a", "", 0)], SCHEMA)
     assert sorted(r.doc_id for r in mix(blank).collect()) == [1, 2]
+
+
+def test_evenness_sets_the_entropy_of_the_weights(spark):
+    docs = spark.createDataFrame(rows_of(3), SCHEMA)
+    for evenness in (0.0, 0.5, 1.0):
+        got = {r.source: r.weight for r in mixture(docs, evenness=evenness, block_tokens=64).select("source", "weight").distinct().collect() if r.weight > 0}
+        tokens = Counter()
+        for _, t, s, *_ in rows_of(3):
+            tokens[s] += len((t or "").split())
+        shares = [n / tokens.total() for n in tokens.values() if n]
+        own = -sum(p * math.log(p) for p in shares)
+        want = own + evenness * (math.log(len(shares)) - own)
+        assert abs(-sum(w * math.log(w) for w in got.values()) - want) < 1e-6
+
+
+def test_registered_run_bisects_and_orders_blocks(spark):
+    from tickflow.llm.registered import op5_source_mixing
+    got = op5_source_mixing(spark, "/root/testdata/sf0.01")
+    weights = [r.weight for r in got.select("source", "weight").distinct().collect()]
+    assert max(weights) > 1.001 * min(weights)
+    assert got.agg(F.max("position")).first()[0] > 0
+    moved = got.filter("block <> position").limit(1).count()
+    assert moved == 1

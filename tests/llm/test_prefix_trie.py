@@ -60,7 +60,7 @@ def table(seed):
     return rows
 
 
-@pytest.mark.parametrize(("segment", "shard_items"), [(1024, 20), (4, 7), (1, 5)])
+@pytest.mark.parametrize(("segment", "shard_items"), [(1024, 20), (2, 5)])
 def test_nodes_equal_brute_force_for_any_segment_and_shard(spark, segment, shard_items):
     rows = table(segment)
     got = prefix_trie(spark.createDataFrame(rows, SCHEMA), segment, shard_items)

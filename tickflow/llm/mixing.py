@@ -72,7 +72,14 @@ def exponent_for_entropy(shares: DataFrame, entropy: float) -> float:
     return b if have[-1] >= entropy else a
 
 
-def plan(rows: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame, int]:
+def entropy_towards_even(shares: DataFrame, evenness: float) -> float:
+    """The entropy (nats) that lies ``evenness`` of the way from that of the shares to that of equal weights."""
+    row = shares.agg(F.sum(-F.col("share") * F.log("share")).alias("own"), F.count("*").alias("n")).first()
+    return row["own"] + evenness * (math.log(row["n"]) - row["own"])
+
+
+def plan(rows: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS,
+         evenness: float | None = None) -> tuple[DataFrame, DataFrame, int]:
     """(sources, cuts, rows) for ``rows`` (source key ``src``, ``key`` hash, ``tokens``).
 
     sources: src, rows, tokens, weight, use (how often the source is used), passes (whole ones), blocks.
@@ -86,8 +93,8 @@ def plan(rows: DataFrame, repetition: float | None = REPETITION, entropy: float
     ends = some.agg(F.min("share").alias("low"), F.max("share").alias("high")).first()
     if ends["low"] is None:
         a = 1.0
-    elif entropy is not None:
-        a = exponent_for_entropy(some, entropy)
+    elif entropy is not None or evenness is not None:
+        a = exponent_for_entropy(some, entropy if entropy is not None else entropy_towards_even(some, evenness))
     else:
         a = exponent_for_repetition(ends["low"], ends["high"], repetition or 1.0)
     norm = some.agg(F.sum(F.pow("share", F.lit(a)))).first()[0] or 1.0
@@ -141,7 +148,8 @@ def block_order(sources: DataFrame) -> DataFrame:
     return passes.withColumn("position", F.row_number().over(order).cast("long") - 1)
 
 
-def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS,
+            evenness: float | None = None) -> DataFrame:
     """One row per use of a document: doc_id, source, epoch, block, n_tokens, weight, position.
 
     Every row of ``docs`` is used at least once; sources below their target
@@ -150,13 +158,15 @@ def mixture(docs: DataFrame, repetition: float | None = REPETITION, entropy: flo
     together. Null text has no tokens and is used in whole passes and
     wherever the budget stands. Rows without a source form one source. An
     empty table gives no rows. Ties in a pass are broken by hash, equal
-    hashes go together. ``position`` is the place of the block among the
+    hashes go together. A target ``entropy``, or the ``evenness`` of the way
+    from the shares' own entropy to the greatest one, replaces the limit of
+    ``repetition``. ``position`` is the place of the block among the
     blocks of its source in that pass, from 0.
     """
     rows = columns(docs, doc_id="long", source="string", text="string").select(
         "doc_id", "source", _source(F.col("source")).alias("src"), F.xxhash64("doc_id").alias("key"), n_tokens(F.col("text")).alias("tokens"))
     rows = materialise(rows, "mix-rows")
-    sources, cuts, n = plan(rows, repetition, entropy, block_tokens)
+    sources, cuts, n = plan(rows, repetition, entropy, block_tokens, evenness)
     weights = sources.select("src", "rows", "weight")
     out = draw(rows, sources, cuts, n)
     out = out.join(F.broadcast(weights.drop("rows")), "src") if weights.count() <= BROADCAST_ROWS else \
