@@ -107,6 +107,24 @@ def test_hourly_job_by_hour_equals_one_run(spark, two_batches):
     assert same(mart, hourly_kpis(staging(every), overlapping=True))
 
 
+def test_job_does_days_that_a_stream_has_merged(spark, two_batches):
+    """Counts added up equal the checks over all bars, for any lookback and mode."""
+    first, second, every = two_batches
+    root = scratch_path(spark, "job-merged")
+    paths = JobPaths(*(os.path.join(root, x) for x in ("bars", "reports", "marts")))
+    BS.store_versions(first, 0, paths.bars)
+    BS.store_versions(second, 1, paths.bars)
+    BS.merge_new(spark, paths.bars)
+    ranges = price_ranges(spark)
+    hourly_job(spark, AS_OF, paths, ranges, min_symbols=4, n_symbols=5, overlapping=True, raise_on_failure=False)
+    mart = spark.read.parquet(os.path.join(paths.marts, "mart_market_kpis")).drop("date")
+    assert same(mart, hourly_kpis(staging(every), overlapping=True))
+    for as_of, lookback, coverage, ohlc in ((AS_OF, "2 hours", "1 hour", "tolerant"), (AS_OF, "240 hours", "30 minutes", "strict"), ("2024-01-21 03:15:00", "100 hours", "1 hour", "strict")):
+        got = R.Q.merged_counts(BS.read_checks(spark, paths.bars), BS.read_newest(spark, paths.bars), as_of, lookback, coverage, ohlc).first()
+        assert got.asDict() == R.Q.check_counts(every, ranges, as_of, lookback, coverage, ohlc).first().asDict()
+    assert BS.new_days(spark, paths.bars, "job") == ([], 1)
+
+
 def test_old_bar_created_lately_is_checked(spark):
     root = scratch_path(spark, "store-recent")
     row = R.stored_bars(spark, SF001).limit(1)

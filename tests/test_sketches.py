@@ -18,13 +18,16 @@ from tickflow.streaming.snapshots import read_snapshots, sink_snapshots
 from conftest import SF001, SF01
 
 
-def test_union_of_hours_equals_the_direct_sketch_and_the_error_is_small(spark):
+def test_union_of_hours_agrees_with_the_direct_sketch_and_the_error_is_small(spark):
+    """The union estimates from its registers alone, so the two numbers differ a little."""
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").select(
         F.col("l_orderkey").alias("symbol"), (F.lit(dt.datetime(2024, 1, 1)) + F.expr("make_dt_interval(0, l_partkey % 24)")).alias("event_time"))
     hours = hourly_sketches(li)
     assert hours.count() == 24
     united = distinct_count(hours).first()["n_symbols"]
-    assert united == li.agg(F.hll_sketch_estimate(F.hll_sketch_agg("symbol", 12))).first()[0]
+    direct = li.agg(F.hll_sketch_estimate(F.hll_sketch_agg("symbol", 12))).first()[0]
+    assert abs(united - direct) < 0.01 * direct
+    assert united == distinct_count(hours.repartition(7)).first()["n_symbols"]
     exact = li.select("symbol").distinct().count()
     assert exact > 10_000 and abs(united - exact) < 0.05 * exact
     assert distinct_count(hours.limit(0)).first()["n_symbols"] in (0, None)

@@ -55,11 +55,49 @@ def check_counts(bars: DataFrame, ranges: DataFrame, as_of: str, lookback: str =
     )
 
 
+def partial_counts(bars: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Counts of the checks per (date, window_start, created_at): what any ``as_of`` and lookback can be added up from.
+
+    A stream stamps a micro-batch with one ``created_at``, so a day has a
+    row per bar window and micro-batch, not one per symbol.
+    """
+    b = with_dimension(bars, ranges.select("symbol", "lo", "hi"), "symbol", "left")
+    return b.groupBy("date", "window_start", "created_at").agg(
+        F.count(F.lit(1)).alias("bars"),
+        F.count_if((F.col("close") < F.col("lo")) | (F.col("close") > F.col("hi"))).alias("bad_price"),
+        F.count_if(F.col("volume") <= 0).alias("bad_volume"),
+        F.count_if(F.col("low") > F.col("high") * F.lit(1.01)).alias("bad_tolerant"),
+        F.count_if(~ohlc_valid_expr()).alias("bad_strict"))
+
+
+def merged_counts(partials: DataFrame, bars: DataFrame, as_of: str, lookback: str = "2 hours",
+                  coverage_lookback: str = "1 hour", ohlc: str = "tolerant") -> DataFrame:
+    """The row of ``check_counts``, added up from ``partial_counts``.
+
+    Distinct symbols cannot be added up: they are counted on ``bars``, of
+    which only those started within ``coverage_lookback`` matter.
+    """
+    if ohlc not in ("tolerant", "strict"):
+        raise ValueError(f"unknown ohlc mode {ohlc!r}")
+    until = F.col("window_start") <= F.lit(as_of).cast("timestamp_ntz")
+    fresh, recent = since("window_start", as_of, lookback), since("created_at", as_of, lookback)
+    total = lambda name, when: F.coalesce(F.sum(F.when(when, F.col(name))), F.lit(0)).cast("bigint")
+    counts = partials.filter(until).agg(
+        total("bars", fresh).alias("fresh"), total("bad_price", recent).alias("bad_price"),
+        total("bad_volume", recent).alias("bad_volume"), total(f"bad_{ohlc}", recent).alias("bad_ohlc"))
+    seen = bars.filter(until & since("window_start", as_of, coverage_lookback)).agg(F.count_distinct("symbol").alias("symbols"))
+    return counts.join(F.broadcast(seen))  # one row each
+
+
 def run_checks(bars: DataFrame, ranges: DataFrame, as_of: str, lookback: str = "2 hours",
                coverage_lookback: str = "1 hour", min_symbols: int = 8, n_symbols: int = 10,
                ohlc: str = "tolerant") -> DataFrame:
     """Five checks → rows (name, passed, detail)."""
-    c = check_counts(bars, ranges, as_of, lookback, coverage_lookback, ohlc)
+    return check_rows(check_counts(bars, ranges, as_of, lookback, coverage_lookback, ohlc), min_symbols, n_symbols)
+
+
+def check_rows(c: DataFrame, min_symbols: int = 8, n_symbols: int = 10) -> DataFrame:
+    """The row of counts → rows (name, passed, detail)."""
     rows = [
         ("data_freshness", F.col("fresh") > 0, message("data_freshness", F.col("fresh"))),
         ("price_range_validity", F.col("bad_price") == 0,

@@ -45,6 +45,9 @@ CLUSTER = {
 }
 
 
+_SCRATCH: list[str] = []
+
+
 def build_session(app: str = "tickflow", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
@@ -88,4 +91,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has made so far; returns how many there were.
+
+    For the caller to use once results are written elsewhere: tables that
+    are read back from a scratch folder are gone after it.
+    """
+    gone = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

@@ -8,7 +8,8 @@ Folders under one root, all parquet:
 * ``days/date=D`` one row per day: bars, latest ``created_at``, NULLs per
   checked column;
 * ``hours/date=D`` hour totals of the newest bars;
-* ``commits`` the batches merged so far.
+* ``checks/date=D`` counts of the quality checks per bar window and batch;
+* ``commits/X`` the batches that consumer X (the merge, the job) has done.
 
 ``merge_new`` reads the days that new batches touch and no others: which
 they are stands in the partition columns, and the day filter prunes the
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.operators.quality import partial_counts
 from tickflow.operators.versions import latest_version
 from tickflow.schemas import BAR, BAR_NOT_NULL
 from tickflow.sinks import BatchFn
@@ -42,6 +44,8 @@ _DAY = T.StructType([T.StructField("bars", T.LongType()), T.StructField("last_cr
                      *[T.StructField(f"null_{c}", T.LongType()) for c in CHECKED], _DATE])
 _HOUR = T.StructType([T.StructField("hour_start", T.TimestampNTZType()), T.StructField("symbol", T.StringType()), T.StructField("asset_type", T.StringType()),
                       *[T.StructField(c, T.LongType()) for c in ("hour_volume", "hour_ticks", "hour_alerts", "n_bars")], _DATE])
+_CHECKS = T.StructType([T.StructField("window_start", T.TimestampNTZType()), T.StructField("created_at", T.TimestampNTZType()),
+                        *[T.StructField(c, T.LongType()) for c in ("bars", "bad_price", "bad_volume", "bad_tolerant", "bad_strict")], _DATE])
 _COMMIT = T.StructType([T.StructField("batch_id", T.LongType())])
 
 
@@ -93,7 +97,10 @@ def _overwrite_days(df: DataFrame, path: str, *order: str) -> None:
 
 
 def replace_days(df: DataFrame, path: str, time: str, order: Sequence[str]) -> None:
-    """Write a mart's days anew, by the day of its column ``time``; within a file rows lie in ``order``."""
+    """Write a mart's days anew, by the day of its column ``time``; within a file rows lie in ``order``.
+
+    A day without a row in ``df`` is left as it was.
+    """
     _overwrite_days(df.withColumn("date", day_of(F.col(time))), path, *order)
 
 
@@ -102,14 +109,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def merged_up_to(spark: SparkSession, root: str) -> int:
-    path = os.path.join(root, "commits")
+def done_up_to(spark: SparkSession, root: str, consumer: str) -> int:
+    path = os.path.join(root, "commits", consumer)
     if not _exists(spark, path):
         return -1
     last = spark.read.schema(_COMMIT).parquet(path).agg(F.max("batch_id")).first()[0]
     return -1 if last is None else last
 
 
+def commit(spark: SparkSession, root: str, consumer: str, up_to: int) -> None:
+    """``consumer`` has done all batches up to ``up_to``."""
+    spark.createDataFrame([(up_to,)], _COMMIT).coalesce(1).write.mode("append").parquet(os.path.join(root, "commits", consumer))
+
+
+def new_days(spark: SparkSession, root: str, consumer: str, at_most: int | None = None) -> tuple[list[dt.date], int]:
+    """Days that batches touch which ``consumer`` has not done (up to batch ``at_most``), in order, and the last such batch."""
+    done = done_up_to(spark, root, consumer)
+    if not _exists(spark, os.path.join(root, "versions")):
+        return [], done
+    fresh = read_versions(spark, root).filter(F.col("batch_id") > done)
+    if at_most is not None:
+        fresh = fresh.filter(F.col("batch_id") <= at_most)
+    # only partition columns are read; one row per day comes back
+    touched = fresh.groupBy("date").agg(F.max("batch_id").alias("b")).collect()
+    return sorted(r["date"] for r in touched), max((r["b"] for r in touched), default=done)
+
+
 def newest_of(versions: DataFrame, days: Sequence[dt.date], up_to: int) -> DataFrame:
     """Newest versions of the bars of ``days``, batches up to ``up_to``."""
     kept = versions.filter(F.col("date").isin(list(days)) & (F.col("batch_id") <= up_to))
@@ -117,25 +142,28 @@ def newest_of(versions: DataFrame, days: Sequence[dt.date], up_to: int) -> DataF
 
 
 def merge_new(spark: SparkSession, root: str) -> list[dt.date]:
-    """Merge the batches since the last commit; returns the days they touch, in order."""
-    done = merged_up_to(spark, root)
-    if not _exists(spark, os.path.join(root, "versions")):
-        return []
-    versions = read_versions(spark, root)
-    # only partition columns are read; one row per day comes back
-    touched = versions.filter(F.col("batch_id") > done).groupBy("date").agg(F.max("batch_id").alias("b")).collect()
-    if not touched:
+    """Merge the batches since the last merge; returns the days they touch, in order."""
+    days, up_to = new_days(spark, root, "newest")
+    if not days:
         return []
-    days, up_to = sorted(r["date"] for r in touched), max(r["b"] for r in touched)
-    _overwrite_days(newest_of(versions, days, up_to), os.path.join(root, "newest"), "symbol", "window_start")
+    _overwrite_days(newest_of(read_versions(spark, root), days, up_to), os.path.join(root, "newest"), "symbol", "window_start")
     stats = read_newest(spark, root, days).groupBy("date").agg(
         F.count(F.lit(1)).alias("bars"), F.max("created_at").alias("last_created"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CHECKED])
     _overwrite_days(stats.coalesce(1), os.path.join(root, "days"))
-    spark.createDataFrame([(up_to,)], _COMMIT).coalesce(1).write.mode("append").parquet(os.path.join(root, "commits"))
+    commit(spark, root, "newest", up_to)
     return days
 
 
+def store_checks(spark: SparkSession, root: str, days: Sequence[dt.date], ranges: DataFrame) -> None:
+    """The check counts of ``days`` anew, from their newest bars."""
+    _overwrite_days(partial_counts(read_newest(spark, root, days), ranges).coalesce(1), os.path.join(root, "checks"))
+
+
+def read_checks(spark: SparkSession, root: str, days: Sequence[dt.date] | None = None) -> DataFrame:
+    return _read_days(spark, os.path.join(root, "checks"), _CHECKS, days)
+
+
 def null_counts(spark: SparkSession, root: str) -> DataFrame:
     """NOT NULL test per checked column over the whole store, from one row per day: (column_name, null_count, passed)."""
     total = read_days(spark, root).agg(*[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(c) for c in CHECKED])
