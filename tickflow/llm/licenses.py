@@ -115,8 +115,10 @@ def _anchors(templates: tuple[tuple[str, str], ...], dice: float) -> list[str]:
 
     Of a template with b distinct bigrams, k of them without such a word, a
     text without any can share k bigrams at most: a Dice of 2 k / (k + b).
-    Words are added, long ones first, until that is below ``dice`` for all.
+    Words are added until that is below ``dice`` for all: those of six letters
+    or more that many bigrams have, then short ones that few templates use.
     """
+    often = Counter(w for _, t in templates for w in _words(t))
     left = [(set(zip(w, w[1:], strict=False)), len(set(zip(w, w[1:], strict=False)))) for w in (_words(t) for _, t in templates) if len(w) > 1]
     chosen: list[str] = []
     while True:
@@ -124,14 +126,15 @@ def _anchors(templates: tuple[tuple[str, str], ...], dice: float) -> list[str]:
         if not left:
             return sorted(chosen)
         counts = Counter(w for grams, _ in left for g in grams for w in set(g))
-        best = min(counts, key=lambda w: (-min(len(w), 6), -counts[w], w))
+        best = min(counts, key=lambda w: (len(w) < 6, -counts[w] if len(w) >= 6 else often[w], -counts[w], w))
         chosen.append(best)
         left = [({g for g in grams if best not in g}, b) for grams, b in left]
 
 
 def _may_match(text: Column, templates: tuple[tuple[str, str], ...], dice: float) -> Column:
-    """Whether a text holds one of ``_anchors``, be it within a word: what has none is read no further."""
-    return F.coalesce(F.lower(text).rlike("|".join(map(re.escape, _anchors(templates, dice)))), F.lit(False))
+    """Whether a text holds one of ``_anchors`` as a word: what has none is read no further."""
+    words = "|".join(map(re.escape, _anchors(templates, dice)))
+    return F.coalesce(F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"), F.lit(False))
 
 
 def segments(text: Column) -> Column:
