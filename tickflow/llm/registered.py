@@ -62,8 +62,8 @@ def op3_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half-way from the sources' own entropy to equal weights, in blocks of 65,536 tokens."""
-    return mixture(_table(spark, sf_dir, "documents"), evenness=0.5, block_tokens=1 << 16)
+    """Half-way from the sources' own entropy to equal weights, in blocks of 16,384 tokens, eight sequences."""
+    return mixture(_table(spark, sf_dir, "documents"), evenness=0.5, block_tokens=1 << 14)
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
