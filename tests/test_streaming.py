@@ -13,7 +13,7 @@ from tickflow.operators.bars import bars, round_bars
 from tickflow.plans import registered as R
 from tickflow.schemas import TOPIC_RECORD
 from tickflow.session import scratch_path
-from tickflow.sinks import sink_bars, topic_records, topic_write_options, write_batch
+from tickflow.sinks import read_totals, sink_bars, topic_records, topic_write_options, write_batch
 from tickflow.sources.topic import decode_snapshot, decode_ticks, split_bad, topic_options
 from tickflow.streaming import runner as SR
 from tickflow.streaming.replay import write_replay
@@ -161,6 +161,8 @@ def test_stream_job_two_queries(spark):
     alerts = spark.read.parquet(t.alerts).count()
     assert alerts == R.alerted(spark, SF001).filter("price_alert IS NOT NULL").count()
     assert spark.read.parquet(t.bars).count() > 0
+    totals = {r.symbol: r.sent_ticks for r in read_totals(spark, t.totals).collect()}
+    assert totals == {r.symbol: r["count"] for r in R.ticks(spark, SF001).groupBy("symbol").count().collect()}
 
 
 def test_replay_keeps_ticks_without_a_time(spark):

@@ -128,7 +128,7 @@ def stream_job(spark: SparkSession, raw: DataFrame, t: StreamTargets,
             alert_sink(alert_messages(g), batch_id)
             bad_sink(b, batch_id)
             if total_sink:
-                total_sink(cached, batch_id)
+                total_sink(g, batch_id)
         finally:
             cached.unpersist()
 
