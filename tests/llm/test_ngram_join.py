@@ -103,3 +103,45 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {**{k: 1 for k in range(1, 61)}, **{k: 900 for k in [*range(900, 990), 1000]}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_open_sets_meet_all_others_of_their_block(spark, monkeypatch, seed):
+    """Chains of edits away from a text: only some sets are similar to the hub, the rest are reached through others."""
+    for k, v in {"FREQUENT": 4, "SMALL": 2, "COMBINED": 20, "CHUNK_SETS": 4, "HUB_SETS": 4}.items():
+        monkeypatch.setattr(join, k, v)
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(300)]
+    base, out = [rng.choice(words) for _ in range(120)], []
+    for _ in range(14):
+        step = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            out.append(" ".join(step))
+            k = rng.randrange(len(step) - 2)
+            step[k:k + 2] = [rng.choice(words) for _ in range(rng.choice([1, 2, 3, 9]))]
+    rows = [(k, t, 0, "") for k, t in enumerate(out)]
+    got = similar_groups(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 85)
+
+
+def test_rows_of_a_large_group_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    made, cells = [], join._cells
+
+    def counted(*args):
+        out = cells(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(join, "_cells", counted)
+    n, rng = 20_000, random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(110)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, n):
+        words = list(base)
+        for _ in range(3 if k % 64 == 0 else 1 + k % 2):  # three edits are too far from the text, so those sets stay open
+            words[rng.randrange(110)] = f"x{rng.randrange(10**9)}"
+        rows.append((k, " ".join(words)))
+    groups = similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).toPandas()
+    sizes = groups.component_id.value_counts()
+    assert sizes.iloc[0] > n * 0.98 and sizes.index[0] == 0
+    assert 0 < made[0] <= 6 * n

@@ -19,10 +19,16 @@ a fixed hash range U first, by document frequency, and the rest after it:
    have a kind in common.
 4. Keys of up to SMALL sets give candidate pairs. The tokens in U bound
    each overlap from above; survivors are verified on their full sets.
-   Larger keys never give pairs: the sets that such keys connect form
-   blocks, dealt by size band and chunk into a grid of tasks of bounded
-   size that compare sets by matrix products and return spanning links.
-5. Connected components of the links give the groups.
+5. Larger keys never give pairs. First every set meets one hub, the set
+   that stands for most of its large keys, which links most edited copies
+   of one text with a row for each. Keys whose sets are connected by then
+   are done. The sets that the others connect form blocks; only sets
+   outside the largest group of their block ("open") still need partners.
+   They are dealt by size band and chunk against the sets of the block, to
+   tasks of bounded size that compare sets by matrix products and return
+   spanning links. Sets of the largest group are never compared with each
+   other, so a block of edited copies is linear in rows and in work.
+6. Connected components of the links give the groups.
 """
 
 from __future__ import annotations
@@ -47,6 +53,8 @@ COMBINED = 64
 SMALL = 32
 #: A chunk of a block has about so many sets and tokens at most.
 CHUNK_SETS, CHUNK_TOKENS = 1024, 600_000
+#: So many sets, about, meet one copy of their hub's set in a task.
+HUB_SETS = 1024
 #: Emitted tokens after which a task looks for tokens that it has met HEAVY times.
 FLUSH, HEAVY = 2_000_000, 32
 _TOP = np.uint64(1 << 63)
@@ -178,10 +186,10 @@ def _compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percen
 
 def _block_links(key: tuple, table: pa.Table, percent: int) -> pa.Table:
     """Spanning links of one cell (one chunk against another) of a block's grid."""
-    _, b1, i1, b2, i2 = (k.as_py() for k in key)
-    nodes, band, chunk = (table.column(c).to_numpy() for c in ("node", "band", "chunk"))
+    _, s1, i1, s2, i2 = (k.as_py() for k in key)
+    nodes, slot, chunk = (table.column(c).to_numpy() for c in ("node", "slot", "chunk"))
     sets = [np.asarray(x, np.int64) for x in table.column("full").to_numpy()]
-    left, right = np.flatnonzero((band == b1) & (chunk == i1)), np.flatnonzero((band == b2) & (chunk == i2))
+    left, right = np.flatnonzero((slot == s1) & (chunk == i1)), np.flatnonzero((slot == s2) & (chunk == i2))
     u = v = np.empty(0, np.int64)
     if len(left) and len(right) and len(nodes) > 1:
         linked, none = _compare(sets, left, right, percent), np.iinfo(np.int64).max
@@ -264,7 +272,8 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     # the set with the fewest rare tokens stands for a key: in a group of edited copies, the original
     order = F.shiftleft(F.least("rare", F.lit(65535)), 47).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 17))
     buckets = materialise(keys.groupBy("sig").agg(F.count("*").alias("members"), F.min("node").alias("lo"), F.max("node").alias("hi"),
-                                                  F.min_by("node", order).alias("hub")).filter("lo <> hi").drop("lo", "hi"), "ngram-buckets")
+                                                  F.min_by("node", order).alias("hub"), F.min_by("n", order).alias("hub_n"))
+                          .filter("lo <> hi").drop("lo", "hi"), "ngram-buckets")
     links = _links(docs, sets, classes, keys, buckets, width, percent)
     linked = components(links).join(classes.select("node", "id"), "node")
     linked = linked.join(linked.groupBy("label").agg(F.min("id").alias("least")), "label").select("node", "label", "least")
@@ -305,36 +314,89 @@ def _possible(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: in
     return pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.col("nx"), F.col("ny"), percent)).select("x", "y").distinct()
 
 
-def _cells(stars: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Each set of a block with the cells of the block's grid that compare it: same and neighbouring size bands, chunk by chunk."""
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Per set that large keys hold, one hub to meet (x the set, y the hub): the one of most of its keys, of a size that allows a link."""
+    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    met = members.filter(F.col("node") != F.col("hub")).filter(fits).groupBy("node", "hub").agg(F.count("*").alias("keys"))
+    order = F.shiftleft("keys", 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64("hub"), 24))
+    return met.groupBy(F.col("node").alias("x")).agg(F.max_by("hub", order).alias("y"))
+
+
+def _hub_links(met: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) of sets with their hubs. The set of a hub of many is copied once for every HUB_SETS of them."""
+    copies = _listed(materialise(met.groupBy("y").agg(F.ceil(F.count("*") / HUB_SETS).cast("int").alias("k")), "ngram-hubs"))
+    dealt = met.join(copies, "y").select("x", "y", F.pmod(F.xxhash64("x"), "k").cast("int").alias("copy"))
+    hubs = full.join(copies, full["node"] == copies["y"]).select(
+        "y", F.col("full").alias("fy"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("copy"))
+    pairs = dealt.join(full.select(F.col("node").alias("x"), F.col("full").alias("fx")), "x").join(hubs, ["y", "copy"])
+    common = F.size(F.array_intersect("fx", "fy"))
+    return pairs.filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
+
+
+def _open_blocks(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sets of the large keys whose sets are not all in one group yet: node, block, and whether the set is outside its block's largest group."""
+    labelled = materialise(members.join(groups, "node", "left").select(
+        "sig", "node", "hub", F.coalesce("label", "node").alias("label")), "ngram-labelled")
+    undone = materialise(labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig"),
+                         "ngram-undone")
+    labelled = labelled.join(_listed(undone), "sig", "left_semi")
+    blocks = components(labelled.filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("label", "block")
+    nodes = materialise(blocks.join(labelled.select("node", "label").distinct(), "node"), "ngram-blocks")
+    order = F.shiftleft("sets", 24).bitwiseOR(F.shiftrightunsigned(F.xxhash64("label"), 40))
+    largest = nodes.groupBy("block", "label").agg(F.count("*").alias("sets")).groupBy("block").agg(F.max_by("label", order).alias("largest"))
+    largest = _listed(materialise(largest, "ngram-largest"))
+    return nodes.join(largest, "block").select("node", "block", (F.col("label") != F.col("largest")).alias("open"))
+
+
+def _cells(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Each set of a block with the cells of the block's grid that compare it.
+
+    A slot is a size band and whether its sets are open. Cells compare
+    chunks of open sets with chunks of open and other sets of the same and
+    the neighbouring bands.
+    """
     n = F.shiftright("nm", 32)
     band = F.floor(F.log(n) / F.lit(1.001 * float(np.log(100 / percent)))).cast("int")
-    nodes = materialise(components(stars).withColumnRenamed("label", "block").join(
-        classes.select("node", n.alias("n"), band.alias("band")), "node"), "ngram-blocks")
-    chunks = F.greatest(F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_TOKENS)).cast("int")
-    sizes = materialise(nodes.groupBy("block", "band").agg(chunks.alias("k")), "ngram-bands")
-    for c, step in (("above", -1), ("below", 1)):
-        sizes = sizes.join(sizes.select("block", (F.col("band") + step).alias("band"), F.col("k").alias(c)), ["block", "band"], "left")
-    dealt = nodes.join(sizes.fillna(0), ["block", "band"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "k").cast("int"))
-    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
-    cell = lambda b1, i1, b2, i2: F.struct(b1.alias("b1"), i1.alias("i1"), b2.alias("b2"), i2.alias("i2"))
-    b, i = F.col("band"), F.col("chunk")
-    return dealt.select("node", "block", "band", "chunk", F.explode(F.concat(
-        F.transform(upto("k"), lambda j: cell(b, F.least(i, j), b, F.greatest(i, j))),
-        F.transform(upto("above"), lambda j: cell(b, i, b + 1, j)),
-        F.transform(upto("below"), lambda j: cell(b - 1, j, b, i)))).alias("cell")).select("node", "block", "band", "chunk", "cell.*")
+    nodes = materialise(blocks.join(classes.select("node", n.alias("n"), band.alias("band")), "node"), "ngram-banded")
+
+    def chunks(where: Column) -> Column:
+        return F.greatest(F.ceil(F.count_if(where) / CHUNK_SETS), F.ceil(F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0)) / CHUNK_TOKENS)).cast("int")
+
+    sizes = materialise(nodes.groupBy("block", "band").agg(chunks(F.col("open")).alias("o"), chunks(~F.col("open")).alias("c")), "ngram-bands")
+    near = sizes
+    for side, step in (("above", -1), ("below", 1)):
+        near = near.join(sizes.select("block", (F.col("band") + step).alias("band"), F.col("o").alias("o_" + side), F.col("c").alias("c_" + side)),
+                         ["block", "band"], "left")
+    near = _listed(materialise(near.fillna(0).filter("o + o_above + o_below > 0"), "ngram-near"))
+    dealt = nodes.join(near, ["block", "band"]).withColumn("slot", F.col("band") * 2 + F.col("open").cast("int")).withColumn(
+        "chunk", F.pmod(F.xxhash64("node"), F.when(F.col("open"), F.col("o")).otherwise(F.col("c"))).cast("int"))
+    upto = lambda k: F.when(F.col(k) > 0, F.sequence(F.lit(0), F.col(k) - 1)).otherwise(F.array().cast("array<int>"))
+    cell = lambda s1, i1, s2, i2: F.struct(s1.alias("s1"), i1.alias("i1"), s2.alias("s2"), i2.alias("i2"))
+    s, i = F.col("slot"), F.col("chunk")
+    of_open = F.concat(  # the slot of open sets one band above is s + 2, that of the others in this band s - 1
+        F.transform(upto("o"), lambda j: cell(s, F.least(i, j), s, F.greatest(i, j))),
+        F.transform(upto("o_above"), lambda j: cell(s, i, s + 2, j)),
+        F.transform(upto("o_below"), lambda j: cell(s - 2, j, s, i)),
+        F.transform(upto("c"), lambda j: cell(s, i, s - 1, j)),
+        F.transform(upto("c_above"), lambda j: cell(s, i, s + 1, j)),
+        F.transform(upto("c_below"), lambda j: cell(s, i, s - 3, j)))
+    of_others = F.concat(
+        F.transform(upto("o"), lambda j: cell(s + 1, j, s, i)),
+        F.transform(upto("o_above"), lambda j: cell(s + 3, j, s, i)),
+        F.transform(upto("o_below"), lambda j: cell(s - 1, j, s, i)))
+    return dealt.select("node", "block", "slot", "chunk", F.explode(F.when(F.col("open"), of_open).otherwise(of_others)).alias("cell")).select(
+        "node", "block", "slot", "chunk", "cell.*")
 
 
 def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame, buckets: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified links (u, v): all pairs under small keys, spanning links within the blocks of large keys."""
+    """Verified links (u, v): all pairs under small keys, spanning links of the sets that large keys connect."""
     classes = classes.filter("id IS NOT NULL")
     pairs = materialise(_candidate_pairs(keys, buckets, percent), "ngram-pairs")
     pairs = materialise(_possible(pairs, sets, classes, percent), "ngram-possible")
-    stars = keys.join(buckets.filter(F.col("members") > SMALL).select("sig", "hub"), "sig").filter("node <> hub").select(
-        F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    cells = materialise(_cells(stars, classes, percent), "ngram-cells")
+    members = materialise(keys.join(buckets.filter(F.col("members") > SMALL).select("sig", "hub", "hub_n"), "sig").select(
+        "sig", "node", "n", "hub", "hub_n"), "ngram-members")
     wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).unionByName(
-        cells.select("node")).distinct()
+        members.select("node")).distinct()
     wanted = _listed(materialise(wanted.join(classes.select("node", "id"), "node"), "ngram-full-ids"))
     rows = docs.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     full = map_arrow(rows, partial(_full_sets, width=width), "node long, full array<bigint>")
@@ -343,6 +405,9 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame
     common = F.size(F.array_intersect("fx", "fy"))
     by_pair = pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(
         F.col("x").alias("u"), F.col("y").alias("v"))
-    by_block = cells.join(full, "node").groupBy("block", "b1", "i1", "b2", "i2").applyInArrow(
+    by_hub = _hub_links(materialise(_hub_pairs(members, percent), "ngram-hub-pairs"), full, percent)
+    groups = materialise(components(by_pair.unionByName(by_hub)), "ngram-linked")
+    cells = materialise(_cells(_open_blocks(members, groups), classes, percent), "ngram-cells")
+    by_block = cells.join(full, "node").groupBy("block", "s1", "i1", "s2", "i2").applyInArrow(
         lambda key, table: _block_links(key, table, percent), "u long, v long")
-    return by_pair.unionByName(by_block)
+    return groups.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(by_block)
