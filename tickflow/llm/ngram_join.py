@@ -19,15 +19,18 @@ a fixed hash range U first, by document frequency, and the rest after it:
    have a kind in common.
 4. Keys of up to SMALL sets give candidate pairs. The tokens in U bound
    each overlap from above; survivors are verified on their full sets.
-5. Larger keys never give pairs. First every set meets one hub, the set
-   that stands for most of its large keys, which links most edited copies
-   of one text with a row for each. Keys whose sets are connected by then
-   are done. The sets that the others connect form blocks; only sets
-   outside the largest group of their block ("open") still need partners.
-   They are dealt by size band and chunk against the sets of the block, to
-   tasks of bounded size that compare sets by matrix products and return
-   spanning links. Sets of the largest group are never compared with each
-   other, so a block of edited copies is linear in rows and in work.
+5. Larger keys never give pairs. The sets that such keys hold are grouped
+   by hub (the set that stands for most of the keys), and every set of a
+   group meets one of them, the closest to what most of the group holds:
+   that links most edited copies of one text with two rows for each. Keys
+   whose sets are connected by then are done. The sets that the others
+   connect form blocks; only sets outside the largest group of their block
+   ("open") still need partners. They are dealt by size band and chunk
+   against the sets of the block, to tasks of bounded size that compare
+   sets by matrix products and return spanning links. Sets of the largest
+   group are not compared with each other, so a block whose sets reach its
+   middle is linear in rows; open sets cost a row of the block for every
+   CHUNK_SETS of them.
 6. Connected components of the links give the groups.
 """
 
@@ -55,6 +58,8 @@ SMALL = 32
 CHUNK_SETS, CHUNK_TOKENS = 1024, 600_000
 #: So many sets, about, meet one copy of their hub's set in a task.
 HUB_SETS = 1024
+#: Sets of a hub's group, about, that show which tokens most of the group holds.
+HUB_SAMPLE = 64
 #: Emitted tokens after which a task looks for tokens that it has met HEAVY times.
 FLUSH, HEAVY = 2_000_000, 32
 _TOP = np.uint64(1 << 63)
@@ -322,15 +327,41 @@ def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.groupBy(F.col("node").alias("x")).agg(F.max_by("hub", order).alias("y"))
 
 
-def _hub_links(met: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) of sets with their hubs. The set of a hub of many is copied once for every HUB_SETS of them."""
-    copies = _listed(materialise(met.groupBy("y").agg(F.ceil(F.count("*") / HUB_SETS).cast("int").alias("k")), "ngram-hubs"))
+def _meet(met: DataFrame, full: DataFrame, hubs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Overlaps of sets (x) with the set ``fy`` of their hub (y), which is copied once for every HUB_SETS of them."""
     dealt = met.join(copies, "y").select("x", "y", F.pmod(F.xxhash64("x"), "k").cast("int").alias("copy"))
-    hubs = full.join(copies, full["node"] == copies["y"]).select(
-        "y", F.col("full").alias("fy"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("copy"))
+    hubs = hubs.join(copies, "y").select("y", "fy", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("copy"))
     pairs = dealt.join(full.select(F.col("node").alias("x"), F.col("full").alias("fx")), "x").join(hubs, ["y", "copy"])
-    common = F.size(F.array_intersect("fx", "fy"))
-    return pairs.filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
+    return pairs.select("x", "y", F.size("fx").alias("a"), F.size("fy").alias("b"), F.size(F.array_intersect("fx", "fy")).alias("common"))
+
+
+def _hub_links(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) of sets with the middle of their hub's group.
+
+    A hub may itself be a copy with an edit, too far from the others. The
+    tokens that most of about HUB_SAMPLE sets of its group hold are those
+    of the text that the copies were made from; the set of the group
+    closest to them takes the hub's place. The sample only decides which
+    sets are compared early, not what is found.
+    """
+    met = _hub_pairs(members, percent)
+    met = materialise(met.unionByName(met.select(F.col("y").alias("x"), "y").distinct()), "ngram-hub-pairs")
+    sizes = met.groupBy("y").agg(F.count("*").alias("sets"))
+    sizes = sizes.select("y", F.ceil(F.col("sets") / HUB_SETS).cast("int").alias("k"), F.ceil(F.col("sets") / HUB_SAMPLE).cast("int").alias("one_in"))
+    sizes = _listed(materialise(sizes, "ngram-hubs"))
+    copies = sizes.select("y", "k")
+    sample = met.join(sizes, "y").filter(F.pmod(F.xxhash64("x"), "one_in") == 0).select("x", "y")
+    sample = materialise(sample.join(full.withColumnRenamed("node", "x"), "x").select("y", "full"), "ngram-hub-sample")
+    counted = sample.select("y", F.explode("full").alias("tok")).groupBy("y", "tok").agg(F.count("*").alias("held"))
+    most = counted.join(sample.groupBy("y").agg(F.count("*").alias("of")), "y").filter("held * 2 > of")
+    middle = materialise(most.groupBy("y").agg(F.collect_list("tok").alias("fy")), "ngram-hub-middle")
+    share = (F.col("common") * F.lit(1 << 20) / (F.col("a") + F.col("b"))).cast("long")
+    close = F.shiftleft(share, 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64("x"), 24))
+    closest = _meet(met, full, middle, copies).groupBy("y").agg(F.max_by("x", close).alias("next"))
+    closest = _listed(materialise(copies.join(closest, "y", "left").select("y", F.coalesce("next", "y").alias("next")), "ngram-closest"))
+    chosen = closest.join(full, F.col("next") == F.col("node")).select("y", F.col("full").alias("fy"))
+    found = _meet(met, full, chosen, copies).filter(_enough(F.col("common"), F.col("a"), F.col("b"), percent))
+    return found.join(closest, "y").select(F.col("x").alias("u"), F.col("next").alias("v"))
 
 
 def _open_blocks(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -405,8 +436,7 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame
     common = F.size(F.array_intersect("fx", "fy"))
     by_pair = pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(
         F.col("x").alias("u"), F.col("y").alias("v"))
-    by_hub = _hub_links(materialise(_hub_pairs(members, percent), "ngram-hub-pairs"), full, percent)
-    groups = materialise(components(by_pair.unionByName(by_hub)), "ngram-linked")
+    groups = materialise(components(by_pair.unionByName(_hub_links(members, full, percent))), "ngram-linked")
     cells = materialise(_cells(_open_blocks(members, groups), classes, percent), "ngram-cells")
     by_block = cells.join(full, "node").groupBy("block", "s1", "i1", "s2", "i2").applyInArrow(
         lambda key, table: _block_links(key, table, percent), "u long, v long")
