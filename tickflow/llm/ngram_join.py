@@ -355,7 +355,7 @@ def _hub_links(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     counted = sample.select("y", F.explode("full").alias("tok")).groupBy("y", "tok").agg(F.count("*").alias("held"))
     most = counted.join(sample.groupBy("y").agg(F.count("*").alias("of")), "y").filter("held * 2 > of")
     middle = materialise(most.groupBy("y").agg(F.collect_list("tok").alias("fy")), "ngram-hub-middle")
-    share = (F.col("common") * F.lit(1 << 20) / (F.col("a") + F.col("b"))).cast("long")
+    share = (F.col("common").cast("double") / (F.col("a") + F.col("b")) * F.lit(1 << 20)).cast("long")
     close = F.shiftleft(share, 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64("x"), 24))
     closest = _meet(met, full, middle, copies).groupBy("y").agg(F.max_by("x", close).alias("next"))
     closest = _listed(materialise(copies.join(closest, "y", "left").select("y", F.coalesce("next", "y").alias("next")), "ngram-closest"))
