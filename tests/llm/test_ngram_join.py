@@ -145,3 +145,10 @@ def test_rows_of_a_large_group_of_near_copies_grow_with_the_group(spark, monkeyp
     sizes = groups.component_id.value_counts()
     assert sizes.iloc[0] > n * 0.98 and sizes.index[0] == 0
     assert 0 < made[0] <= 6 * n
+
+
+def test_large_group_of_long_texts(spark):
+    base = [f"w{k}" for k in range(3000)]
+    rows = [(k, " ".join([*base[:70 * k], f"x{k}", *base[70 * k + 1:]])) for k in range(40)]
+    got = similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(k, 2997, 0) for k in range(40)]
