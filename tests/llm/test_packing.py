@@ -95,3 +95,22 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert pack_documents(empty).count() == 0
     assert pack(cut(empty)).count() == 0
+
+
+def test_words_kept_are_few_and_short_and_the_common_ones(monkeypatch):
+    import tickflow.llm.packing as packing
+
+    monkeypatch.setattr(packing, "WORD_CACHE", 500)
+    path = default_tokenizer()
+    packing._tokenizer.cache_clear()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = iter(a + b + c + d for a in letters for b in letters for c in letters for d in "äöxyz")
+    for _ in range(30):
+        docs = [("common Word " + " ".join(next(rare) for _ in range(9)) + " and " + next(rare) * 5000 + ".").encode() for _ in range(10)]
+        got = encode(path, docs)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in WHOLE.encode_batch([d.decode() for d in docs], add_special_tokens=False)]
+    kept = packing._tokenizer(path)[2]
+    assert {b"common", b"word", b"and"} <= set(kept.words.to_pylist())
+    assert len(kept.words) == len(kept.ids) == len(kept.again) <= 500
+    assert kept.words.nbytes + kept.ids.nbytes < 50_000
+    packing._tokenizer.cache_clear()

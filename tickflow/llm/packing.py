@@ -24,9 +24,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +38,14 @@ SEQUENCE = 2048
 #: Pieces of a salt, about, if all had one length; there are at least SALTS.
 SALT_ROWS = 100_000
 SALTS = 16
-#: Words whose ids a worker keeps at hand, about 100 MB; when it has more it starts anew.
-WORD_CACHE = 500_000
+#: Words whose ids a worker keeps at hand, as Arrow arrays of about 5 MB.
+WORD_CACHE = 100_000
+#: Longer words, in bytes, are not kept.
+WORD_BYTES = 64
 #: Words that go to the tokenizer in one call.
 CALL = 1024
+#: The same for plain words.
+PLAIN_CALL = 8192
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -53,13 +59,53 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_NOTHING = pa.array([], pa.large_binary())
+
+
+class _Kept:
+    """Words and their ids, and which of the words were met again since some last went."""
+
+    def __init__(self) -> None:
+        self.words, self.ids, self.again = _NOTHING, _NOTHING, np.zeros(0, bool)
+
+    def add(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
+        self.again = np.concatenate([self.again, np.zeros(len(words), bool)])
+        if len(self.words) > WORD_CACHE:
+            often = pa.array(self.again)
+            self.words, self.ids = self.words.filter(often), self.ids.filter(often)
+            self.again = np.zeros(len(self.words), bool)
+
+
+def _slices(column: pa.Array) -> list[bytes]:
+    """The values of a large binary array without nulls."""
+    _, at, raw = column.buffers()
+    ends = np.frombuffer(at, "<i8", len(column) + 1, 8 * column.offset).tolist() if len(column) else [0]
+    raw = memoryview(raw or b"")[ends[0]:ends[-1]].tobytes()
+    return [raw[a - ends[0]:b - ends[0]] for a, b in pairwise(ends)]
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items() if t.special}
-    return tokenizer, special, {}
+    return tokenizer, special, _Kept()
+
+
+@lru_cache(maxsize=2)
+def _plain_tokenizer(path: str):
+    """The same model without normalizer, for plain words between spaces; which of its ids end a word."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole, _, _ = _tokenizer(path)
+    tokenizer = Tokenizer(whole.model)
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    last = np.zeros(whole.get_vocab_size(), bool)
+    last[[k for t, k in whole.get_vocab(with_added_tokens=False).items() if t.endswith(whole.model.end_of_word_suffix)]] = True
+    return tokenizer, last
 
 
 def _encode_words(tokenizer, special: dict[str, int], words: list[str]) -> Iterator[bytes]:
@@ -80,14 +126,54 @@ def _encode_words(tokenizer, special: dict[str, int], words: list[str]) -> Itera
 
 
 #: ASCII punctuation at the end of a word, which the vocabulary takes apart from the letter or digit before it.
-_TAIL = re.compile(rb"(?<=[a-z0-9])[^a-z0-9\s\x80-\xff]+(?=\s|\Z)")
+#: Begins with the punctuation itself, which is quickly found; the letter before it is looked at then.
+_TAIL = re.compile(rb"[^a-z0-9\s\x80-\xff](?<=[a-z0-9].)[^a-z0-9\s\x80-\xff]*(?=\s|\Z)", re.DOTALL)
+#: Words of the letters a-z, ß-ö and ø-ÿ, in UTF-8: the normalizer leaves them alone, the pre-tokenizer does not cut them.
+_PLAIN = r"^(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+$"
+
+
+def _split(text: bytes) -> bytes:
+    """The text as words between white space whose ids are those of the text: lower case, punctuation after a word apart.
+    Near special tokens nothing is changed."""
+    return text if b"<|" in text else _TAIL.sub(rb" \g<0>", text.lower())
+
 
+def _encode_plain(path: str, words: pa.Array) -> pa.Array:
+    """Ids of each word, all of them plain, in one call."""
+    tokenizer, last = _plain_tokenizer(path)
+    text = b" ".join(_slices(words)).decode()
+    ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    ends = np.concatenate([[0], 4 * np.flatnonzero(last[ids]) + 4]).astype("<i8")
+    return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
 
-def _split(text: bytes) -> list[bytes]:
-    """Words whose ids are those of the text: lower case, punctuation after a word apart. Near special tokens nothing is changed."""
-    if b"<|" in text:
-        return text.split()
-    return _TAIL.sub(rb" \g<0>", text.lower()).split()
+
+def _encode_distinct(path: str, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The words, plain ones first, and the ids of each."""
+    tokenizer, special, _ = _tokenizer(path)
+    is_plain = pc.match_substring_regex(words, _PLAIN)
+    plain, other = words.filter(is_plain), words.filter(pc.invert(is_plain))
+    ids = [_encode_plain(path, plain.slice(k, PLAIN_CALL)) for k in range(0, len(plain), PLAIN_CALL)]
+    for k in range(0, len(other), CALL):
+        part = [w.decode("utf-8", "replace") for w in _slices(other.slice(k, CALL))]
+        ids.append(pa.array(_encode_words(tokenizer, special, part), pa.large_binary()))
+    return pa.concat_arrays([plain, other]), pa.concat_arrays([_NOTHING, *ids])
+
+
+def _word_ids(path: str, words: pa.Array) -> pa.Array:
+    """Ids of each word of an array without repeats.
+
+    Words met before are kept. When they get too many, those not met again
+    since the last time go, so common words stay.
+    """
+    kept = _tokenizer(path)[2]
+    at = pc.index_in(words, value_set=kept.words)
+    kept.again[at.drop_null().to_numpy()] = True
+    new, new_ids = _encode_distinct(path, words.filter(at.is_null()))
+    place = pc.coalesce(at, pc.add(pc.index_in(words, value_set=new), len(kept.words)))
+    found = pa.concat_arrays([kept.ids, new_ids]).take(place)
+    short = pc.less_equal(pc.binary_length(new), WORD_BYTES)
+    kept.add(new.filter(short), new_ids.filter(short))
+    return found
 
 
 def encode(path: str, docs: list[bytes]) -> list[bytes]:
@@ -96,22 +182,17 @@ def encode(path: str, docs: list[bytes]) -> list[bytes]:
     The vocabulary lower-cases, and its pre-tokenizer never joins across
     white space nor letters with punctuation. So the ids of a text are
     those of its words in order, and a word's ids are looked up once per
-    worker rather than once per use.
+    call rather than once per use.
     """
-    tokenizer, special, known = _tokenizer(path)
-    words = [_split(d) for d in docs]
-    if len(known) > WORD_CACHE:
-        known.clear()
-    found = [list(map(known.get, w)) for w in words]
-    gaps = [[k for k, ids in enumerate(f) if ids is None] for f in found]
-    todo = list({w[k] for w, g in zip(words, gaps, strict=True) for k in g})
-    for k in range(0, len(todo), CALL):
-        part = todo[k:k + CALL]
-        known.update(zip(part, _encode_words(tokenizer, special, [w.decode("utf-8", "replace") for w in part]), strict=True))
-    for w, f, g in zip(words, found, gaps, strict=True):
-        for k in g:
-            f[k] = known[w[k]]
-    return [b"".join(f) for f in found]
+    split = pc.ascii_split_whitespace(pa.array(map(_split, docs), pa.large_binary()).view(pa.large_string()))
+    coded = split.flatten().dictionary_encode()
+    if not len(coded):
+        return [b""] * len(docs)
+    ids = _word_ids(path, coded.dictionary.view(pa.large_binary())).take(coded.indices)
+    _, at, raw = ids.buffers()
+    raw = memoryview(raw or b"")
+    ends = np.frombuffer(at, "<i8", len(ids) + 1)[split.offsets.to_numpy()].tolist()
+    return [bytes(raw[a:b]) for a, b in pairwise(ends)]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
@@ -120,14 +201,13 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
     for b in batches:
         ids, all_texts = b.column("doc_id").to_pylist(), texts(b.column("text"))
-        for at in range(0, len(ids), 256):
-            rows: list[tuple] = []
-            for doc, found in zip(ids[at:at + 256], encode(path, all_texts[at:at + 256]), strict=True):
-                found += b"\0\0\0\0"
-                for k, start in enumerate(range(0, len(found), 4 * size)):
-                    piece = found[start:start + 4 * size]
-                    rows.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
-            yield batch(_PIECES, list(zip(*rows, strict=True)))
+        rows: list[tuple] = []
+        for doc, found in zip(ids, encode(path, all_texts), strict=True):
+            found += b"\0\0\0\0"
+            for k, start in enumerate(range(0, len(found), 4 * size)):
+                piece = found[start:start + 4 * size]
+                rows.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
+        yield batch(_PIECES, list(zip(*rows, strict=True)))
 
 
 def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE) -> DataFrame:
