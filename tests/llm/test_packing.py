@@ -114,3 +114,23 @@ def test_words_kept_are_few_and_short_and_the_common_ones(monkeypatch):
     assert len(kept.words) == len(kept.ids) == len(kept.again) <= 500
     assert kept.words.nbytes + kept.ids.nbytes < 50_000
     packing._tokenizer.cache_clear()
+
+
+def test_texts_reach_the_tokenizer_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    import tickflow.llm.packing as packing
+    from tickflow.llm.common import ROWS
+
+    def sizes(docs, tokenizer=None, size=0):
+        return docs.select("doc_id").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())}) for b in batches), "n long")
+
+    seen = []
+    monkeypatch.setattr(packing, "cut", sizes)
+    monkeypatch.setattr(packing, "pack", lambda pieces, size: seen.extend(r.n for r in pieces.collect()))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    pack_documents(spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "'a' AS text"))
+    assert sum(seen) == 3000 and max(seen) <= ROWS
+    assert spark.conf.get(name) == before

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import batch, columns, map_arrow, materialise, texts
+from tickflow.llm.common import batch, columns, map_arrow, materialise, small_batches, texts
 
 SEQUENCE = 2048
 #: Pieces of a salt, about, if all had one length; there are at least SALTS.
@@ -294,4 +294,6 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SE
     Null and empty texts are the single id 0. Repeated rows are packed as
     often as they occur. Rows without an id are packed, their doc_id null.
     """
-    return pack(materialise(cut(docs, tokenizer, size), "pack-pieces"), size)
+    with small_batches(docs.sparkSession):
+        pieces = materialise(cut(docs, tokenizer, size), "pack-pieces")
+    return pack(pieces, size)
