@@ -152,3 +152,29 @@ def test_large_group_of_long_texts(spark):
     rows = [(k, " ".join([*base[:70 * k], f"x{k}", *base[70 * k + 1:]])) for k in range(40)]
     got = similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect())) == [(k, 2997, 0) for k in range(40)]
+
+
+def test_texts_reach_the_shingling_in_small_batches(spark, monkeypatch):
+    from tickflow.llm.common import ROWS
+
+    most = ROWS
+    calls = []
+
+    def strict(df, fn, schema):
+        def small(batches):
+            for b in batches:
+                assert b.num_rows <= most
+                yield b
+
+        calls.append(fn)
+        return df.mapInArrow(lambda batches: fn(small(batches)), schema)
+
+    monkeypatch.setattr(join, "map_arrow", strict)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 3000, 1, 1).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), j -> concat('w', id div 2, 'x', j)), concat('end', id)) AS text")
+    got = {r.doc_id: r.component_id for r in similar_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(3000)}
+    assert len(calls) == 2  # the scan, and the full sets of the candidates
+    assert spark.conf.get(name) == before

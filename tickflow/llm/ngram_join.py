@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.llm.common import BROADCAST_ROWS, batch, columns, join_by_share, map_arrow, materialise, texts
+from tickflow.llm.common import BROADCAST_ROWS, batch, columns, join_by_share, map_arrow, materialise, small_batches, texts
 from tickflow.llm.graph import components
 
 #: Share of the hash range that is U, in units of 1 - p.
@@ -266,8 +266,9 @@ def _with_identity(batches: Iterator[pa.RecordBatch], width: int, name: str) ->
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Row by row: doc_id, cid and nm (identity and size of the set, null and 0 without a word), grp (its group) and component_id."""
     limit = int(min(1.0, SPREAD * (100 - percent) / 100) * 2**64) - 2**63
-    sets = materialise(map_arrow(docs, partial(_scan, width=width, percent=percent, limit=limit),
-                                 "doc_id long, cid long, nm long, tokens array<bigint>, heavy boolean"), "ngram-sets")
+    with small_batches(docs.sparkSession):
+        sets = materialise(map_arrow(docs, partial(_scan, width=width, percent=percent, limit=limit),
+                                     "doc_id long, cid long, nm long, tokens array<bigint>, heavy boolean"), "ngram-sets")
     rows = sets.filter("NOT heavy").select("doc_id", "cid", "nm")
     # a node of the graph is a set, by its identity; ``id`` is the smallest id that has it
     classes = materialise(rows.filter("cid IS NOT NULL").groupBy("cid", "nm").agg(
@@ -431,7 +432,8 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, keys: DataFrame
     wanted = _listed(materialise(wanted.join(classes.select("node", "id"), "node"), "ngram-full-ids"))
     rows = docs.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     full = map_arrow(rows, partial(_full_sets, width=width), "node long, full array<bigint>")
-    full = materialise(full.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-full")
+    with small_batches(docs.sparkSession):
+        full = materialise(full.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-full")
     side = lambda c: full.select(F.col("node").alias(c), F.col("full").alias("f" + c))
     common = F.size(F.array_intersect("fx", "fy"))
     by_pair = pairs.join(side("x"), "x").join(side("y"), "y").filter(_enough(common, F.size("fx"), F.size("fy"), percent)).select(
