@@ -5,13 +5,16 @@ last return the columns of ``documents``. ``run`` writes each result to the
 shared scratch folder and reads it back for the next stage. The language
 model and the token ids have no SQL form, so there is no oracle; the tests
 hold the stages against brute force.
+
+A stage is computed by its caller, so the limit that the first two set on
+Arrow batches outlasts them; ``run`` restores it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm.common import materialise
+from tickflow.llm.common import limit_batches, materialise, small_batches
 from tickflow.llm.exact_dedup import exact_dedup
 from tickflow.llm.langid import keep_identified
 from tickflow.llm.mixing import mix
@@ -21,11 +24,13 @@ from tickflow.llm.packing import pack_documents
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those without a letter or a clear language go."""
+    limit_batches(spark)
     return keep_identified(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the largest id."""
+    limit_batches(spark)
     return exact_dedup(docs)
 
 
@@ -57,6 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

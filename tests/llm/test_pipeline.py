@@ -70,3 +70,17 @@ def test_run_equals_the_stages_and_takes_empty_tables(spark, docs, tmp_path):
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
     docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.language_id, corpus_pipeline.exact_duplicates])
+def test_stages_get_texts_in_small_batches(spark, docs, stage):
+    from tickflow.llm.common import ROWS
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        stage(spark, docs, "")
+        assert int(spark.conf.get(name)) == ROWS
+    finally:
+        spark.conf.set(name, before)
