@@ -21,3 +21,13 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickflow-test-ckpt-"))
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_cached():
+    """What a module's tests cache is gone for the next module."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    if s is not None:
+        s.catalog.clearCache()
